@@ -73,9 +73,14 @@ def shot_zone() -> Column:
     return F.when(is_attempt(), F.when(says_three(F.col("desc")), three).otherwise(two))
 
 
+def is_three() -> Column:
+    """A classified shot is a three exactly when its zone is a three-point zone."""
+    return F.col("shot_zone").isin(*S.THREE_ZONES)
+
+
 def shot_value() -> Column:
-    """Points of a made field goal by its label; 0 on anything else."""
-    return F.when(is_made(), F.when(says_three(F.col("desc")), 3).otherwise(2)).otherwise(0)
+    """Points of a made field goal by its zone; 0 on anything else."""
+    return F.when(is_made(), F.when(is_three(), 3).otherwise(2)).otherwise(0)
 
 
 def made_flag() -> Column:

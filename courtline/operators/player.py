@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import events as E
 
 
-def build_fact_player_metrics(classified: DataFrame) -> DataFrame:
-    """Counts from the event columns, without the free text.
+def _points(classified: DataFrame) -> Column:
+    """Field goals by zone, free throws by text, or by the event points that hold the same."""
+    if "points_scored_event" in classified.columns:
+        free_throw = F.when(F.col("type") == S.FREE_THROW, F.col("points_scored_event"))
+    else:
+        free_throw = F.when(E.free_throw_made(), 1)
+    return F.sum(E.shot_value() + F.coalesce(free_throw, F.lit(0)))
+
 
-    Wants the columns of ``classify_shots``; a shot is a three exactly when its zone is a
-    three-point zone. Free-throw points are read from the text unless the frame has them.
-    """
-    if "free_throw_points" not in classified.columns:
-        classified = with_free_throws(classified)
-    made = F.col("made_flag") == 1
-    three = F.col("shot_zone").isin(*S.THREE_ZONES)
+def build_fact_player_metrics(classified: DataFrame) -> DataFrame:
+    """Counts over classified events. Players without a name are dropped before the aggregate."""
+    made, attempt, three = E.is_made(), E.is_attempt(), E.is_three()
     named = classified.filter(F.col("player").isNotNull() & (F.col("player") != ""))
     return (
         named.groupBy("player", "season", "is_clutch")
         .agg(
-            F.sum(F.col("shot_value") + F.col("free_throw_points")).alias("pts"),
-            F.count("made_flag").alias("fga"),
+            _points(classified).alias("pts"),
+            F.count_if(attempt).alias("fga"),
             F.count_if(made).alias("fgm"),
             F.count_if(made & three).alias("fg3m"),
             F.count_if(three).alias("fg3a"),
@@ -33,7 +35,3 @@ def build_fact_player_metrics(classified: DataFrame) -> DataFrame:
         )
         .select(*S.FACT_SCHEMAS["fact_player_metrics"].fieldNames())
     )
-
-
-def with_free_throws(events: DataFrame) -> DataFrame:
-    return events.withColumn("free_throw_points", F.when(E.free_throw_made(), 1).otherwise(0))

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import events as E
-from .game_order import TICK, GameProfile, by_event, by_game_size, by_tick, up_to_here, with_chunks
+from .game_order import (
+    TICK,
+    GameProfile,
+    before_here,
+    by_event,
+    by_game_size,
+    by_tick,
+    up_to_here,
+    with_chunks,
+)
 
 MARKS = (
     "possession_team",
@@ -18,12 +27,8 @@ MARKS = (
 )
 
 
-def _holder() -> Column:
-    """Team of the latest on-ball event up to and including the clock peers of the row."""
-    clock_left = F.coalesce(-F.col("seconds_remaining"), F.lit(float("inf")))
-    when = F.struct(F.col("period"), clock_left.alias("c"), F.col("event_seq"))
-    known = F.when(F.col("action_team").isNotNull(), when)
-    return F.max_by("action_team", known).over(by_tick())
+def with_action_team(events: DataFrame) -> DataFrame:
+    return events.withColumn("action_team", E.action_team())
 
 
 def _starts_possession() -> Column:
@@ -34,20 +39,32 @@ def _starts_possession() -> Column:
 
 
 def mark_per_game(events: DataFrame) -> DataFrame:
-    # One shuffle on gameid and one sort serve all the windows below. Clock peers share a holder,
-    # so only the first of them can start a possession and the running count by rows is already
-    # the same for all peers.
+    """Window plan: one shuffle on gameid and one sort for all the windows below.
+
+    Clock peers share a holder, the team of the latest on-ball event up to and including the whole
+    tick. So only the first row of a tick can start a possession, the holder before it is known by
+    rows, and the running count by rows is already the same for all peers.
+    """
     row = by_event()
+    earlier = {
+        "_n": F.row_number().over(row),
+        "_holder": F.last("action_team", ignorenulls=True).over(before_here(row)),
+        "_clock": F.lag("seconds_remaining").over(row),
+        "prev_period": F.lag("period").over(row),
+    }
+    same_tick = F.col("period").eqNullSafe(F.col("prev_period")) & F.col(
+        "seconds_remaining"
+    ).eqNullSafe(F.col("_clock"))
+    opens_tick = (F.col("_n") == 1) | ~same_tick
+    on_ball = F.when(F.col("action_team").isNotNull(), F.col("_n"))
+    holder = F.col("possession_team")
     return (
-        events.withColumn("possession_team", _holder())
-        .withColumns(
-            {
-                "prev_possession_team": F.lag("possession_team").over(row),
-                "prev_period": F.lag("period").over(row),
-            }
-        )
+        events.withColumns(earlier)
+        .withColumn("possession_team", F.max_by("action_team", on_ball).over(by_tick()))
+        .withColumn("prev_possession_team", F.when(opens_tick, F.col("_holder")).otherwise(holder))
         .withColumn("is_new_possession", _starts_possession())
         .withColumn("possession_id_game", F.sum("is_new_possession").over(up_to_here(row)))
+        .select(*events.columns, *MARKS)
     )
 
 
@@ -91,8 +108,8 @@ def reconstruct_possessions(
 ) -> DataFrame:
     """Cleaned events -> the same rows with possession marks, id and points per event."""
     # Row-wise columns first: the free text is then read below the shuffle.
-    scored = cleaned.withColumns(
-        {"action_team": E.action_team(), "points_scored_event": E.event_points(three_point_rule)}
+    scored = with_action_team(
+        cleaned.withColumn("points_scored_event", E.event_points(three_point_rule))
     )
     return mark_possessions(scored, profile).withColumn("possession_id", possession_id())
 

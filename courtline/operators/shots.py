@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import events as E
 
 
+def with_shot_zone(events: DataFrame) -> DataFrame:
+    return events.withColumn("shot_zone", E.shot_zone())
+
+
+def with_shot_outcome(zoned: DataFrame) -> DataFrame:
+    """Value and flag follow from type and zone, so they need not travel through a shuffle."""
+    return zoned.withColumns({"shot_value": E.shot_value(), "made_flag": E.made_flag()})
+
+
 def classify_shots(events: DataFrame) -> DataFrame:
-    return events.withColumns(
-        {"shot_zone": E.shot_zone(), "shot_value": E.shot_value(), "made_flag": E.made_flag()}
-    )
+    return with_shot_outcome(with_shot_zone(events))
 
 
 def build_fact_shots(classified: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import events as E
 from ..operators.clean import clean_columns, scores_per_game, scores_split, with_margin
 from ..operators.game_order import GameProfile, by_game_size, profile_games
-from ..operators.player import build_fact_player_metrics, with_free_throws
+from ..operators.player import build_fact_player_metrics
 from ..operators.possessions import (
     build_fact_possessions,
     game_season_dim,
@@ -18,44 +19,45 @@ from ..operators.possessions import (
     mark_split,
     possessions_with_season,
     season_of_possession,
+    with_action_team,
 )
-from ..operators.shots import build_fact_shots, classify_shots
+from ..operators.shots import build_fact_shots, with_shot_outcome, with_shot_zone
 from ..operators.team import build_fact_team_metrics
 from ..schema import FACT_SCHEMAS
 from ..sources.event_files import DEFAULT_PATH, ingest_data
 from ..sources.fact_store import FactStore
-from .staging import Staging
+from .staging import Staging, shuffles_sized_for
 
-# What the windows and the facts need. The free text, the clock text and the unused columns of the
-# feed are dropped before the first shuffle.
+# What the windows and the facts need. The free text, the clock text, the unused columns of the
+# feed and whatever follows from these columns are left out before the first shuffle.
 MEASURED = (
     "gameid", "season", "period", "seconds_remaining", "event_seq", "h_pts", "a_pts", "team",
-    "player", "type", "x", "y", "shot_zone", "shot_value", "made_flag", "action_team",
-    "points_scored_event", "free_throw_points",
+    "player", "type", "x", "y", "shot_zone", "points_scored_event",
 )
 MARKED = (
     "gameid", "season", "period", "seconds_remaining", "score_margin", "is_clutch", "team",
-    "player", "type", "x", "y", "shot_zone", "shot_value", "made_flag", "points_scored_event",
-    "free_throw_points", "possession_team", "possession_id_game",
+    "player", "type", "x", "y", "shot_zone", "points_scored_event", "possession_team",
+    "possession_id_game",
 )
 
 
 def measure_events(events: DataFrame, three_point_rule: str = "points") -> DataFrame:
-    """Every row-wise column of the pipeline in one projection, before any shuffle."""
-    measured = with_free_throws(classify_shots(clean_columns(events))).withColumns(
-        {"action_team": E.action_team(), "points_scored_event": E.event_points(three_point_rule)}
+    """The row-wise columns that read the text, in one projection, before any shuffle."""
+    measured = with_shot_zone(clean_columns(events)).withColumn(
+        "points_scored_event", E.event_points(three_point_rule)
     )
     return measured.select(*MEASURED)
 
 
 def mark_events(measured: DataFrame, profile: GameProfile | None = None) -> DataFrame:
     """Scores, clutch flag and possessions: all windows on one shuffle of narrow rows."""
-    return by_game_size(
-        measured,
+    marked = by_game_size(
+        with_action_team(measured),
         profile,
-        lambda rows: mark_per_game(with_margin(scores_per_game(rows))),
-        lambda rows: mark_split(with_margin(scores_split(rows))),
-    ).select(*MARKED)
+        lambda rows: mark_per_game(scores_per_game(rows)),
+        lambda rows: mark_split(scores_split(rows)),
+    )
+    return with_margin(marked).select(*MARKED)
 
 
 def seasonal_possessions(marked: DataFrame, profile: GameProfile) -> DataFrame:
@@ -71,7 +73,7 @@ def fact_frames(
     """The four facts as lazy frames over raw events (16 columns and event_seq)."""
     profile = profile_games(events) if profile is None else profile
     marked = mark_events(measure_events(events, three_point_rule), profile)
-    shots, possessions = build_fact_shots(marked), seasonal_possessions(marked, profile)
+    shots, possessions = build_fact_shots(with_shot_outcome(marked)), seasonal_possessions(marked, profile)
     return {
         "fact_shots": shots,
         "fact_possessions": possessions,
@@ -109,30 +111,44 @@ def run_pipeline(
             events = ingest_data(spark, source)
             measured = staging.keep(measure_events(events, three_point_rule), "measured")
             done("ingest")
-        profile = profile_games(measured)
-        done("profile")
-        marked = staging.keep(mark_events(measured, profile), "marked")
-        done("mark")
-        store.write("fact_shots", build_fact_shots(marked), overwrite)
-        done("fact_shots")
-        store.write("fact_possessions", seasonal_possessions(marked, profile), overwrite)
-        done("fact_possessions")
-        shots, possessions = store.read("fact_shots"), store.read("fact_possessions")
-        if overwrite == "dynamic":
-            seasons = [r.season for r in marked.select("season").distinct().collect()]
-            named = [s for s in seasons if s is not None]
-            mine = F.coalesce(F.col("season").isin(*named), F.lit(None in seasons))
-            shots, possessions = shots.filter(mine), possessions.filter(mine)
-        store.write("fact_team_metrics", build_fact_team_metrics(possessions, shots), overwrite)
-        done("fact_team_metrics")
-        store.write("fact_player_metrics", build_fact_player_metrics(marked), overwrite)
-        done("fact_player_metrics")
+        with shuffles_sized_for(spark, measured):
+            profile = profile_games(measured)
+            done("profile")
+            marked = staging.keep(mark_events(measured, profile), "marked")
+            done("mark")
+            independent = {
+                "fact_shots": build_fact_shots(with_shot_outcome(marked)),
+                "fact_possessions": seasonal_possessions(marked, profile),
+                "fact_player_metrics": build_fact_player_metrics(marked),
+            }
+            # Three jobs over one staged table: running together they fill each other's tails.
+            with ThreadPoolExecutor(len(independent)) as pool:
+                for job in [
+                    pool.submit(store.write, table, rows, overwrite)
+                    for table, rows in independent.items()
+                ]:
+                    job.result()
+            done("facts")
+            shots, possessions = store.read("fact_shots"), store.read("fact_possessions")
+            if overwrite == "dynamic":
+                shots, possessions = _seasons_of(marked, shots, possessions)
+            team_metrics = build_fact_team_metrics(possessions, shots)
+            store.write("fact_team_metrics", team_metrics, overwrite)
+            done("team_metrics")
     finally:
         staging.drop()
     seconds["total"] = time.monotonic() - started
     return seconds
 
 
+def _seasons_of(events: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """The part of each table that belongs to the seasons of ``events`` (a short list)."""
+    seasons = [r.season for r in events.select("season").distinct().collect()]
+    named = F.col("season").isin(*(s for s in seasons if s is not None))
+    mine = F.coalesce(named, F.lit(None in seasons))
+    return [table.filter(mine) for table in tables]
+
+
 def table_counts(store: FactStore) -> DataFrame:
     """Rows per fact table."""
     counts = [

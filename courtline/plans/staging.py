@@ -6,8 +6,11 @@ executors and cut the lineage, and each reader scans only the columns it needs.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,32 @@ class Staging:
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(
             path, True
         )
+
+
+SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of a frame, from file sizes and row width; None if it has
+    none (it then falls back on spark.sql.defaultSizeInBytes, beyond any real input)."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    size = int(str(stats.sizeInBytes()))
+    return size if size < 2**60 else None
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, df: DataFrame) -> Iterator[int]:
+    """Enough shuffle partitions for ``df``, never fewer than the session asks for.
+
+    Adaptive execution merges partitions that turn out small but cannot split those of a window,
+    so the number must be right for large inputs before the job starts.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    size = estimated_bytes(df) or 0
+    wanted = max(int(before), math.ceil(size / SHUFFLE_BYTES_PER_PARTITION))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, before)

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from ..schema import RAW_EVENTS
 
+# Fixed value: monotonically_increasing_id counts the rows of a task in its lower 33 bits.
+ROW_BITS = (1 << 33) - 1
 # Only the event files: metadata files that lie in the same folder are not events.
 DEFAULT_PATH = "data/raw/play_by_play*.csv"
 
@@ -25,9 +27,10 @@ def ingest_data(
     ``check_header`` a file whose header does not name the 16 columns fails instead of being read
     by position.
 
-    ``event_seq`` is the place of a row in its file: file, start of the split, row of the split.
-    Its order does not depend on how files are cut into splits. It is taken at the scan and must
-    be kept with the rows from there on.
+    ``event_seq`` is the place of a row: its file, and its position there (start of the split plus
+    row number). A split has more bytes than rows, so positions of one file are unique and follow
+    the file whatever its splits. Files are told apart by a hash of their path, which is narrower
+    than the path. It is taken at the scan and must be kept with the rows from there on.
     """
     rows = (
         spark.read.schema(RAW_EVENTS)
@@ -35,9 +38,9 @@ def ingest_data(
         .option("enforceSchema", not check_header)
         .csv(data_path)
     )
+    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
     place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") + row_of_task).alias("position"),
     )
     return rows.withColumn("event_seq", place)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import FACT_SCHEMAS
 
 # Columns that order the rows inside a season, so that row-group statistics can skip most of a
-# season when a query asks for one shooter, team or game.
+# season when a query asks for one shooter, and the rows of a game lie together.
 CLUSTERING = {
     "fact_shots": ("shooter",),
-    "fact_possessions": ("team", "gameid"),
+    "fact_possessions": ("gameid",),
     "fact_team_metrics": ("team",),
     "fact_player_metrics": ("player",),
 }
