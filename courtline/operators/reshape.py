@@ -56,12 +56,12 @@ def pace_series(league: DataFrame, teams: DataFrame | None = None) -> DataFrame:
     base = league.select("season", F.lit("League Average").alias("series"), "pace")
     if teams is None:
         return base
-    # Few rows per season and team: whether one or several teams are present is an aggregate that
-    # is looked up as a scalar subquery.
-    several = teams.agg((F.count_distinct("team") + F.max(F.col("team").isNull().cast("int")) > 1)
-                        .alias("v")).scalar()
+    # One row per season and team: a window over all of them is a window over few rows.
+    everyone = Window.partitionBy(F.lit(0))
+    several = F.min("_t").over(everyone) != F.max("_t").over(everyone)
+    named = teams.select("season", "team", "pace", F.coalesce("team", F.lit("")).alias("_t"))
     name = F.when(several, F.col("team")).otherwise(F.lit("Team Pace"))
-    return base.unionByName(teams.select("season", name.alias("series"), "pace"))
+    return base.unionByName(named.select("season", name.alias("series"), "pace"))
 
 
 def league_average_label(league: DataFrame) -> DataFrame:
@@ -200,6 +200,24 @@ def sample_points(
     return keyed.orderBy("_key", *columns).limit(n).select(*columns)
 
 
+def _cells(placed: DataFrame, edge: dict[str, Column], bins: int) -> DataFrame:
+    def cell(axis: str) -> Column:
+        low, high = edge[f"lo_{axis}"], edge[f"hi_{axis}"]
+        pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
+        slot = F.floor((F.col(axis) - (low - pad)) / ((high + pad) - (low - pad)) * F.lit(bins))
+        return F.least(slot, F.lit(bins - 1)).cast("int")
+
+    return placed.withColumns({"x_bin": cell("x"), "y_bin": cell("y")})
+
+
+def _edges() -> dict[str, Column]:
+    return {f"{name}_{a}": f(a) for a in "xy" for name, f in (("lo", F.min), ("hi", F.max))}
+
+
+def _placed(points: DataFrame) -> DataFrame:
+    return points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+
+
 def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
     """Add ``Density``: how many points share the cell of an equal-width grid over the data.
 
@@ -207,32 +225,31 @@ def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
     rows without coordinates are left out. The counts have at most bins x bins rows, so looking
     them up is a broadcast of fixed size.
     """
-    placed = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    edges = placed.agg(
-        F.struct(*(f(a).alias(f"{n}_{a}") for a in "xy" for n, f in (("lo", F.min), ("hi", F.max)))).alias("e")
-    ).scalar()
-
-    def cell(axis: str) -> Column:
-        low, high = F.col(f"_e.lo_{axis}"), F.col(f"_e.hi_{axis}")
-        pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-        low, high = low - pad, high + pad
-        slot = F.floor((F.col(axis) - low) / (high - low) * F.lit(bins))
-        return F.least(slot, F.lit(bins - 1)).cast("int")
-
-    binned = (
-        placed.withColumn("_e", edges)
-        .withColumns({"x_bin": cell("x"), "y_bin": cell("y")})
-        .drop("_e")
-    )
+    placed = _placed(points)
+    edges = placed.agg(F.struct(*(c.alias(n) for n, c in _edges().items())).alias("e")).scalar()
+    binned = _cells(
+        placed.withColumn("_e", edges), {n: F.col(f"_e.{n}") for n in _edges()}, bins
+    ).drop("_e")
     counts = binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("Density"))
     return binned.join(F.broadcast(counts), ["x_bin", "y_bin"]).select(
         *points.columns, "x_bin", "y_bin", "Density"
     )
 
 
-def shot_chart(points: DataFrame, result: str = "All") -> DataFrame:
-    """Filter, then sample, then density on the sample, all on executors."""
-    return density_grid(shots_by_result(sample_points(shots_by_result(points, result).drop("Result"))))
+def shot_chart(points: DataFrame, result: str = "All", n: int = S.SAMPLE_POINTS) -> DataFrame:
+    """Filter, then sample, then density on the sample.
+
+    The sample has at most ``n`` rows and lies in one task already, so its density is two windows
+    over those rows, with the same cells as ``density_grid``.
+    """
+    kept = shots_by_result(points, result)
+    sample = _placed(shots_by_result(sample_points(kept.drop("Result"), n)))
+    whole, cell = Window.partitionBy(F.lit(0)), Window.partitionBy("x_bin", "y_bin")
+    edges = {f"_{name}": c.over(whole) for name, c in _edges().items()}
+    binned = _cells(
+        sample.withColumns(edges), {name: F.col(f"_{name}") for name in _edges()}, S.GRID_BINS
+    )
+    return binned.drop(*edges).withColumn("Density", F.count(F.lit(1)).over(cell))
 
 
 # ---- eras ------------------------------------------------------------------------------------

@@ -41,52 +41,33 @@ def game_sides(possessions: DataFrame) -> DataFrame:
     A team defends the possessions of every other known team of its game, so its share is the
     game's total minus its own. Possessions of an unknown team, of a game without id and of a team
     without opponent are defended by nobody (team NULL). Possessions are summed per game and team
-    first and no pairs are formed.
+    first, so a game is a few rows by the time of the window, and no pairs are formed.
     """
-    flags = (0, 1)
     own = possessions.groupBy("gameid", "season", "team").agg(
-        *(F.count_if(F.col("is_clutch") == c).alias(f"n{c}") for c in flags),
-        *(
-            F.sum(F.when(F.col("is_clutch") == c, F.col("points_scored")).otherwise(0)).alias(f"p{c}")
-            for c in flags
-        ),
+        F.expr("count_if(is_clutch = 0) as n0"),
+        F.expr("count_if(is_clutch = 1) as n1"),
+        F.expr("coalesce(sum(points_scored) filter (where is_clutch = 0), 0) as p0"),
+        F.expr("coalesce(sum(points_scored) filter (where is_clutch = 1), 0) as p1"),
     )
     game = Window.partitionBy("gameid", "season")
-    known = F.col("team").isNotNull()
-    measures = [f"{m}{c}" for c in flags for m in "np"]
-    totals = {f"all_{m}": F.sum(F.when(known, F.col(m))).over(game) for m in measures}
-    per_game = own.withColumns({**totals, "teams": F.count("team").over(game)})
-
-    opposed = F.col("gameid").isNotNull() & known & (F.col("teams") > 1)
-    sides = []
-    for c in flags:
-        n, p = F.col(f"n{c}"), F.col(f"p{c}")
-        sides.append((OFFENSE, F.col("team"), c, n, p, F.col("gameid").isNotNull().cast("long")))
-        sides.append(
-            (
-                DEFENSE,
-                F.when(opposed, F.col("team")),
-                c,
-                F.when(opposed, F.col(f"all_n{c}") - n).otherwise(n),
-                F.when(opposed, F.col(f"all_p{c}") - p).otherwise(p),
-                F.lit(0).cast("long"),
-            )
-        )
-    names = ("side", "team", "is_clutch", "n", "points", "games")
-    structs = [
-        F.struct(
-            *(
-                (v if hasattr(v, "alias") else F.lit(v)).alias(name)
-                for name, v in zip(names, values)
-            )
-        )
-        for values in sides
-    ]
-    return (
-        per_game.select("season", F.explode(F.array(*structs)).alias("s"))
-        .select("season", "s.*")
-        .filter(F.col("n") > 0)
+    totals = {
+        f"all_{m}": F.sum(F.expr(f"if(team is not null, {m}, 0)")).over(game)
+        for m in ("n0", "p0", "n1", "p1")
+    }
+    per_game = own.withColumns({**totals, "teams": F.count("team").over(game)}).withColumn(
+        "opposed", F.expr("gameid is not null and team is not null and teams > 1")
     )
+    return per_game.selectExpr(
+        "season",
+        f"""stack(4,
+            '{OFFENSE}', team, 0, n0, p0, cast(gameid is not null as bigint),
+            '{OFFENSE}', team, 1, n1, p1, cast(gameid is not null as bigint),
+            '{DEFENSE}', if(opposed, team, null), 0,
+                if(opposed, all_n0 - n0, n0), if(opposed, all_p0 - p0, p0), 0L,
+            '{DEFENSE}', if(opposed, team, null), 1,
+                if(opposed, all_n1 - n1, n1), if(opposed, all_p1 - p1, p1), 0L
+        ) as (side, team, is_clutch, n, points, games)""",
+    ).filter("n > 0")
 
 
 def team_defense(possessions: DataFrame) -> DataFrame:

@@ -23,9 +23,11 @@ def team_page(
 ) -> dict[str, DataFrame]:
     """Lazy frames of the team page. Without a choice of teams the league stands in."""
     metrics, shots = store.read("fact_team_metrics"), store.read("fact_shots")
-    league = serving.league_evolution(metrics, start, end, clutch)
-    per_team = serving.team_evolution(metrics, start, end, clutch, teams)
-    pooled = serving.league_evolution(metrics, start, end, clutch, teams) if teams else league
+    league = serving.league_evolution(metrics, start, end, clutch, ordered=False)
+    per_team = serving.team_evolution(metrics, start, end, clutch, teams, ordered=False)
+    pooled = league
+    if teams:
+        pooled = serving.league_evolution(metrics, start, end, clutch, teams, ordered=False)
     points = serving.team_shot_points(
         shots, teams, start, end, clutch, clutch_minutes, clutch_margin
     )
@@ -54,10 +56,10 @@ def player_page(
 ) -> dict[str, DataFrame]:
     """Lazy frames of the player page."""
     metrics, shots = store.read("fact_player_metrics"), store.read("fact_shots")
-    mine = serving.player_stats(metrics, player, start, end, clutch)
-    league = serving.league_player_stats(metrics, start, end, clutch)
+    mine = serving.player_stats(metrics, player, start, end, clutch, ordered=False)
+    league = serving.league_player_stats(metrics, start, end, clutch, ordered=False)
     window = (clutch, clutch_minutes, clutch_margin)
-    profile = serving.player_shot_profile(shots, player, start, end, *window)
+    profile = serving.player_shot_profile(shots, player, start, end, *window, ordered=False)
     points = serving.player_shot_points(shots, player, start, end, *window)
     return {
         "efficiency": reshape.efficiency_compare(reshape.latest_efficiency(mine, league)),

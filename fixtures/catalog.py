@@ -468,17 +468,17 @@ _LEAGUE_PLAYERS = ("league_evo", _player_sql())
 
 
 def _team_averages(f: Frames) -> DataFrame:
-    return reshape.team_averages(serving.team_evolution(f.team_metrics, FIRST, LAST))
+    return reshape.team_averages(serving.team_evolution(f.team_metrics, FIRST, LAST, ordered=False))
 
 
 def _league(f: Frames) -> DataFrame:
-    return serving.league_evolution(f.team_metrics, FIRST, LAST)
+    return serving.league_evolution(f.team_metrics, FIRST, LAST, ordered=False)
 
 
 def _player_pair(f: Frames) -> tuple[DataFrame, DataFrame]:
     return (
-        serving.player_stats(f.player_metrics, PLAYER, FIRST, LAST),
-        serving.league_player_stats(f.player_metrics, FIRST, LAST),
+        serving.player_stats(f.player_metrics, PLAYER, FIRST, LAST, ordered=False),
+        serving.league_player_stats(f.player_metrics, FIRST, LAST, ordered=False),
     )
 
 
@@ -528,7 +528,7 @@ register(
 register(
     "pace_series",
     lambda f: reshape.pace_series(
-        _league(f), serving.team_evolution(f.team_metrics, FIRST, LAST, teams=TEAMS)
+        _league(f), serving.team_evolution(f.team_metrics, FIRST, LAST, teams=TEAMS, ordered=False)
     ),
     O.sql(
         "select season, 'League Average' as series, pace from league"
@@ -565,7 +565,7 @@ register(
 register(
     "offensive_radar",
     lambda f: _rounded(
-        reshape.offensive_radar(serving.team_evolution(f.team_metrics, FIRST, LAST))
+        reshape.offensive_radar(serving.team_evolution(f.team_metrics, FIRST, LAST, ordered=False))
     ),
     O.sql(
         " union all ".join(
@@ -637,7 +637,7 @@ register(
 register(
     "shot_profile_long",
     lambda f: reshape.shot_profile_long(
-        serving.player_shot_profile(f.shots, PLAYER, FIRST, LAST)
+        serving.player_shot_profile(f.shots, PLAYER, FIRST, LAST, ordered=False)
     ),
     O.sql(
         " union all ".join(
