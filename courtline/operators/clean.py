@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import events as E
-from .game_order import (
-    GameProfile,
-    before_here,
-    by_event,
-    by_game_size,
-    tick_order,
-    up_to_here,
-    with_chunks,
-)
-
-SCORES = ("h_pts", "a_pts")
+from .game_order import GameProfile, by_game_size
+from .game_scan import SCORES, per_game_scores, split_scan
 
 
 def clean_columns(events: DataFrame, strict_assist: bool = False) -> DataFrame:
@@ -31,40 +22,6 @@ def clean_columns(events: DataFrame, strict_assist: bool = False) -> DataFrame:
     )
 
 
-def scores_per_game(events: DataFrame) -> DataFrame:
-    running = up_to_here(by_event())
-    return events.withColumns({f"{c}_ff": F.max(c).over(running) for c in SCORES})
-
-
-def scores_split(events: DataFrame) -> DataFrame:
-    """Running maximum = max(own chunk so far, earlier chunks of the tick, earlier ticks)."""
-    rows = with_chunks(events)
-    chunks = rows.groupBy("_tick", "_chunk").agg(*(F.max(c).alias(c) for c in SCORES))
-    ticks = (
-        chunks.groupBy("_tick")
-        .agg(*(F.max(c).alias(c) for c in SCORES))
-        .select("_tick", "_tick.*", *SCORES)
-    )
-    earlier_ticks = before_here(Window.partitionBy("gameid").orderBy(*tick_order()))
-    earlier_chunks = before_here(Window.partitionBy("_tick").orderBy("_chunk.slot"))
-    ticks = ticks.select("_tick", *(F.max(c).over(earlier_ticks).alias(f"{c}_t") for c in SCORES))
-    carried = (
-        chunks.select(
-            "_tick", "_chunk", *(F.max(c).over(earlier_chunks).alias(f"{c}_c") for c in SCORES)
-        )
-        .join(ticks, "_tick")
-        .select("_chunk", *(F.greatest(f"{c}_t", f"{c}_c").alias(f"{c}_before") for c in SCORES))
-    )
-    inside = up_to_here(Window.partitionBy("_chunk").orderBy("event_seq"))
-    return (
-        rows.join(carried, "_chunk")
-        .withColumns(
-            {f"{c}_ff": F.greatest(F.max(c).over(inside), f"{c}_before") for c in SCORES}
-        )
-        .select(*events.columns, *(f"{c}_ff" for c in SCORES))
-    )
-
-
 def with_margin(events: DataFrame) -> DataFrame:
     """No score yet counts as 0; margin is home minus away; then the clutch flag."""
     home, away = (F.coalesce(F.col(f"{c}_ff"), F.lit(0.0)) for c in SCORES)
@@ -74,9 +31,9 @@ def with_margin(events: DataFrame) -> DataFrame:
 
 
 def running_scores(events: DataFrame, profile: GameProfile | None = None) -> DataFrame:
-    """Add the running maximum of both scores in game order (not a fill: corrections downward
-    do not lower it)."""
-    return by_game_size(events, profile, scores_per_game, scores_split)
+    return by_game_size(
+        events, profile, per_game_scores, lambda rows: split_scan(rows, scores=True)
+    )
 
 
 def clean_events(

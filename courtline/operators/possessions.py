@@ -7,95 +7,17 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import events as E
-from .game_order import (
-    TICK,
-    GameProfile,
-    before_here,
-    by_event,
-    by_game_size,
-    by_tick,
-    up_to_here,
-    with_chunks,
-)
-
-MARKS = (
-    "possession_team",
-    "prev_possession_team",
-    "prev_period",
-    "is_new_possession",
-    "possession_id_game",
-)
+from .game_order import GameProfile, by_game_size
+from .game_scan import per_game_marks, split_scan
 
 
 def with_action_team(events: DataFrame) -> DataFrame:
     return events.withColumn("action_team", E.action_team())
 
 
-def _starts_possession() -> Column:
-    """Change of team, change of period, or first team of the game. No team yet: 0."""
-    team, before = F.col("possession_team"), F.col("prev_possession_team")
-    starts = (team != before) | (F.col("period") != F.col("prev_period")) | before.isNull()
-    return F.when(team.isNotNull() & starts, 1).otherwise(0)
-
-
-def mark_per_game(events: DataFrame) -> DataFrame:
-    """Window plan: one shuffle on gameid and one sort for all the windows below.
-
-    Clock peers share a holder, the team of the latest on-ball event up to and including the whole
-    tick. So only the first row of a tick can start a possession, the holder before it is known by
-    rows, and the running count by rows is already the same for all peers.
-    """
-    row = by_event()
-    earlier = {
-        "_n": F.row_number().over(row),
-        "_holder": F.last("action_team", ignorenulls=True).over(before_here(row)),
-        "_clock": F.lag("seconds_remaining").over(row),
-        "prev_period": F.lag("period").over(row),
-    }
-    same_tick = F.col("period").eqNullSafe(F.col("prev_period")) & F.col(
-        "seconds_remaining"
-    ).eqNullSafe(F.col("_clock"))
-    opens_tick = (F.col("_n") == 1) | ~same_tick
-    on_ball = F.when(F.col("action_team").isNotNull(), F.col("_n"))
-    holder = F.col("possession_team")
-    return (
-        events.withColumns(earlier)
-        .withColumn("possession_team", F.max_by("action_team", on_ball).over(by_tick()))
-        .withColumn("prev_possession_team", F.when(opens_tick, F.col("_holder")).otherwise(holder))
-        .withColumn("is_new_possession", _starts_possession())
-        .withColumn("possession_id_game", F.sum("is_new_possession").over(up_to_here(row)))
-        .select(*events.columns, *MARKS)
-    )
-
-
-def mark_split(events: DataFrame) -> DataFrame:
-    """Possessions change between ticks only: mark the ticks, then hand the marks to the rows.
-
-    Ticks of a game are bounded by the resolution of the game clock, whatever the row count. The
-    hand-over joins on chunks, so that a tick with very many rows is spread as well.
-    """
-    rows = with_chunks(events)
-    on_ball = F.when(F.col("action_team").isNotNull(), F.col("event_seq"))
-    ticks = rows.groupBy("_tick", *TICK).agg(
-        F.max_by("action_team", on_ball).alias("action_team"),
-        F.min("event_seq").alias("event_seq"),
-    )
-    marked = mark_per_game(ticks).select("_tick", F.col("event_seq").alias("_first"), *MARKS)
-    chunks = rows.select("_tick", "_chunk").distinct().join(marked, "_tick").drop("_tick")
-    opens = F.col("event_seq") == F.col("_first")
-    inside = {
-        "prev_possession_team": F.when(opens, F.col("prev_possession_team")).otherwise(
-            F.col("possession_team")
-        ),
-        "prev_period": F.when(opens, F.col("prev_period")).otherwise(F.col("period")),
-        "is_new_possession": F.when(opens, F.col("is_new_possession")).otherwise(0),
-    }
-    return rows.join(chunks, "_chunk").withColumns(inside).select(*events.columns, *MARKS)
-
-
 def mark_possessions(events: DataFrame, profile: GameProfile | None = None) -> DataFrame:
     """Add holder, previous holder and period, boundary flag and possession number."""
-    return by_game_size(events, profile, mark_per_game, mark_split)
+    return by_game_size(events, profile, per_game_marks, lambda rows: split_scan(rows, marks=True))
 
 
 def possession_id() -> Column:

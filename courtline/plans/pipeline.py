@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import events as E
-from ..operators.clean import clean_columns, scores_per_game, scores_split, with_margin
+from ..operators.clean import clean_columns, with_margin
 from ..operators.game_order import GameProfile, by_game_size, profile_games
+from ..operators.game_scan import per_game_marks, per_game_scores, split_scan
 from ..operators.player import build_fact_player_metrics
 from ..operators.possessions import (
     build_fact_possessions,
     game_season_dim,
-    mark_per_game,
-    mark_split,
     possessions_with_season,
     season_of_possession,
     with_action_team,
@@ -54,8 +53,8 @@ def mark_events(measured: DataFrame, profile: GameProfile | None = None) -> Data
     marked = by_game_size(
         with_action_team(measured),
         profile,
-        lambda rows: mark_per_game(scores_per_game(rows)),
-        lambda rows: mark_split(scores_split(rows)),
+        lambda rows: per_game_marks(per_game_scores(rows)),
+        lambda rows: split_scan(rows, scores=True, marks=True),
     )
     return with_margin(marked).select(*MARKED)
 

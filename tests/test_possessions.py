@@ -96,8 +96,7 @@ def _awkward(spark, frames):
     )
 
 
-@pytest.mark.parametrize("chunk", [3, 1_000_000])
-@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+@pytest.mark.parametrize("chunk, broadcast", [(3, "-1"), (1_000_000, "10m")])
 def test_split_plan_equals_per_game_plan(spark, frames, monkeypatch, chunk, broadcast):
     monkeypatch.setattr(game_order, "CHUNK_ROWS", chunk)
     raw = _awkward(spark, frames)
