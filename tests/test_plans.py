@@ -2,12 +2,15 @@
 
 import re
 
+import pytest
+
 from courtline.operators.clean import clean_events
 from courtline.operators.game_order import GameProfile
 from courtline.operators.possessions import build_fact_possessions, reconstruct_possessions
 from courtline.operators.shots import build_fact_shots, classify_shots
 from courtline.operators.team import game_sides
 from courtline.plans.pipeline import fact_frames, mark_events, measure_events
+from fixtures import catalog
 
 PROFILE = GameProfile((), True)
 
@@ -59,10 +62,8 @@ def test_team_aggregate_is_partial_before_its_shuffle(frames):
     assert "PartitionFilters: [isnotnull(season" in text
 
 
-def test_no_python_in_any_query(frames):
-    from fixtures import catalog
-
-    for key in ("fact_team_metrics", "fact_player_metrics", "shot_chart_points", "era_league_summary"):
-        text = plan(catalog.QUERIES[key](frames))
-        assert "Python" not in text and "InPandas" not in text and "CartesianProduct" not in text
-        assert "BroadcastNestedLoopJoin" not in text, key
+@pytest.mark.parametrize("key", list(catalog.QUERIES))
+def test_no_python_and_no_pairwise_join(frames, key):
+    text = plan(catalog.QUERIES[key](frames))
+    assert "Python" not in text and "InPandas" not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

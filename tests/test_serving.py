@@ -137,6 +137,15 @@ def test_sample_gives_copies_their_share(spark):
     assert all(0.27 < s < 0.40 for s in share)
 
 
+def test_chart_of_all_points_has_the_grid_density(spark):
+    df = points(spark, [(float(i % 13), float(i * i % 17), i % 2) for i in range(200)] + [(None, 1.0, 1)])
+    columns = ("x", "y", "made_flag", "x_bin", "y_bin", "Density")
+    assert rows(reshape.shot_chart(df), *columns) == rows(reshape.density_grid(df), *columns)
+    few = reshape.shot_chart(df, "Made", n=30)
+    assert few.count() == few.filter("made_flag = 1 and Result = 'Made'").count()
+    assert few.count() in (29, 30) and few.filter("x is null").count() == 0
+
+
 def test_results(spark):
     df = points(spark, [(1.0, 1.0, 1), (2.0, 1.0, 0), (3.0, 1.0, None)])
     count = {r: reshape.shots_by_result(df, r).count() for r in ("All", "Made", "Missed")}
