@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,15 @@ _QUALITY_CTES = rf"""
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(documents(spark, sf_dir))
     return judged.select("doc_id", *quality.FEATURES, "base_failed", "host_failed", "kept")
+
+
+@query("op6_hilbert_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.contract(sharding.shard(documents(spark, sf_dir)))
+
+
+@query("op9_entropy_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken"
+    )
