@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding
+from . import decontamination, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,36 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken"
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _shingle_sql(name: str, key: str, table: str, text: str = "text") -> str:
+    """Two expressions: <name>_words (key, w) and <name> (key, s): distinct shingles of five words."""
+    return rf"""
+    {name}_words as (
+      select {key}, regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '[^{_SPACE}]+') as w
+      from {table}
+    ),
+    {name} as (
+      select distinct {key}, array_to_string(w[i : i + 4], ' ') as s from (
+        select *, unnest(range(1, greatest(len(w) - 3, 2))) as i from {name}_words where len(w) > 0
+      )
+    )"""
+
+
+@query(
+    "op1_benchmark_decontamination",
+    "with "
+    + _shingle_sql("item", "item_id", "benchmark")
+    + ","
+    + _shingle_sql("doc", "doc_id", "documents")
+    + """, sizes as (select item_id, count(*) as n from item group by 1)
+    select doc_id, item_id, n as n_shingles, count(*) as shared
+    from item join doc using (s) join sizes using (item_id)
+    group by doc_id, item_id, n having 10 * count(*) >= 8 * n""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contained_items(documents(spark, sf_dir), items)
