@@ -80,6 +80,19 @@ def lookup(
     return joined.drop(*renamed.values(), *(x for pair in extra for x in pair))
 
 
+def having(df: DataFrame, key: str, ids: DataFrame, limit: int = 2_000_000) -> DataFrame:
+    """Rows of ``df`` whose key, NULL included, is in the staged one-column table ``ids`` of numbers.
+
+    Up to ``limit`` ids (16 MB of numbers) are broadcast; more are joined by a shuffle.
+    """
+    (name,) = ids.columns
+    other = unused(df, "_id_of")
+    right = ids.select(F.col(name).alias(other)).distinct()
+    if ids.limit(limit + 1).count() <= limit:
+        right = F.broadcast(right)
+    return df.join(right, df[key].eqNullSafe(right[other]), "semi")
+
+
 def global_positions(
     df: DataFrame, order: list[Column], sums: dict[str, Column], parts: int | None = None,
     within: list[str] | None = None,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, quality, sharding
+from . import decontamination, jaccard, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +135,8 @@ def _shingle_sql(name: str, key: str, table: str, text: str = "text") -> str:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.contained_items(documents(spark, sf_dir), items)
+
+
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(documents(spark, sf_dir))

@@ -43,6 +43,9 @@ class _Powers:
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __reduce__(self):
+        return _Powers, ()  # the tables are made anew where they are needed
+
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, SLICE_BYTES + 1)
