@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, sharding
+from . import decontamination, jaccard, mixing, quality, records, sharding
+from .common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,3 +143,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ngram_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(documents(spark, sf_dir))
+
+
+@query("op8_token_records")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    records.write_records(documents(spark, sf_dir), f"{folder}/records", tokenizer)
+    records.write_index(spark, f"{folder}/records", f"{folder}/index")
+    index = records.token_starts(spark.read.parquet(f"{folder}/index"))
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
