@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, records, sharding
+from . import decontamination, jaccard, mixing, quality, records, sharding, token_counts
 from .common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.write_index(spark, f"{folder}/records", f"{folder}/index")
     index = records.token_starts(spark.read.parquet(f"{folder}/index"))
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op7_edit_aware_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.counts_after_edits(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
