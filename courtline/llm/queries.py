@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, records, sharding, token_counts
+from . import decontamination, jaccard, language, mixing, pii, quality, records, sharding, token_counts
 from .common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_counts.counts_after_edits(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+@query("op4_byte_bigru_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+@query("op5_disclosure_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
