@@ -37,15 +37,24 @@ NUMERATOR, DENOMINATOR = 80, 100
 CHUNK = 2_000_000
 #: ... if its counts add up to this; the list of frequent ones is cut to the most frequent. It only
 #: steers the order, so results do not depend on it.
-FREQUENT, FREQUENT_LIST = 32, 500_000
+FREQUENT, FREQUENT_LIST = 8, 500_000
 #: Candidates of one set that a task lays out in one trie.
-TRIE = 512
+TRIE = 128
+#: Times that sets with too few meetings are left out, which may leave others with too few.
+PRUNINGS = 2
 #: Rounds of meetings with a first set before the sets still apart are compared with each other.
 ROUNDS = 2
 
 
+def extra(n: int) -> int:
+    """Prefix shingles beyond the first that must be shared: a tenth of the set."""
+    return max(1, n // 10)
+
+
 def prefix_length(n: int) -> int:
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1
+    """Of n elements at most n - ceil(0.8 n) are missing from a linked set, so that two linked sets
+    share at least the lesser of their extra(n) elements within these prefixes."""
+    return min(n, n - -(-NUMERATOR * n // DENOMINATOR) + extra(n))
 
 
 def needed_overlap(n: np.ndarray | int, m: int) -> np.ndarray | int:
@@ -149,30 +158,45 @@ def profile(docs: DataFrame, order: Order) -> DataFrame:
 
 
 def meetings(described: DataFrame) -> DataFrame:
-    """Staged (t, s, n): sets under every prefix shingle that at least two different sets have.
+    """Staged (t, pos, s, n): sets under every prefix shingle that at least two different sets have,
+    with the shingle's place in the set's order.
 
     Rare shingles have few sets: one shuffle and a window. Frequent ones are counted before the
     shuffle and joined back, where adaptive execution splits the hot ones.
     """
     sets = described.filter("n > 0")
-    rare = sets.select(F.explode(F.slice("prefix", 1, F.size("prefix") - F.col("often"))).alias("t"), "s", "n")
+    head = F.size("prefix") - F.col("often")
+    rare = sets.select(F.posexplode(F.slice("prefix", 1, head)).alias("pos", "t"), "s", "n")
     under = Window.partitionBy("t")
     rare = (
         rare.withColumns({"_a": F.min("s").over(under), "_b": F.max("s").over(under)})
         .filter("_a <> _b")
-        .select("t", "s", "n")
+        .select("t", "pos", "s", "n")
         .distinct()
     )
     often = sets.filter("often > 0").select(
-        F.explode(F.slice("prefix", F.size("prefix") - F.col("often") + 1, F.col("often"))).alias("t"), "s", "n"
-    ).distinct()
+        F.posexplode(F.slice("prefix", head + 1, F.col("often"))).alias("pos", "t"), head.alias("head"), "s", "n"
+    )
+    often = often.select("t", (F.col("pos") + F.col("head")).alias("pos"), "s", "n").distinct()
     several = often.groupBy("t").agg(F.min("s").alias("_a"), F.max("s").alias("_b")).filter("_a <> _b")
     often = often.join(several.select("t"), "t")
-    return stage(rare.unionByName(often), "meetings")
+    met = stage(rare.unionByName(often), "meetings")
+    for _ in range(PRUNINGS):
+        # A linked set of n meets another, of 0.8 n at least, under extra(0.8 n) shingles or more.
+        least = F.expr("greatest(1, least(n div 10, (n * 8 + 9) div 10 div 10))")
+        enough = met.groupBy("s", "n").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= least)
+        met = met.join(enough.select("s"), "s", "semi")
+        several = met.groupBy("t").agg(F.min("s").alias("_a"), F.max("s").alias("_b")).filter("_a <> _b")
+        met = stage(met.join(several.select("t"), "t", "semi"), "met")
+    return met
 
 
-def _close(a: str, b: str) -> str:
-    return f"{DENOMINATOR} * least({a}, {b}) >= {NUMERATOR} * greatest({a}, {b})"
+def _may_link(a: str, b: str) -> str:
+    """Whether the shingle that two sets meet under may be the first that they have in common: at most
+    n - v elements of a set of n come before it, v being the needed overlap. Linked sets meet under
+    their first common shingle, so testing all pairs that may link under some shingle misses none."""
+    v = f"(({NUMERATOR} * ({a}n + {b}n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
+    return f"{v} <= least({a}n, {b}n) and {a}pos <= {a}n - {v} and {b}pos <= {b}n - {v}"
 
 
 def first_pairs(met: DataFrame, by_weight: bool) -> DataFrame:
@@ -185,17 +209,17 @@ def first_pairs(met: DataFrame, by_weight: bool) -> DataFrame:
         weighed = met.join(weight, "s")
     else:
         weighed = met.withColumn("w", F.xxhash64("s", "t"))
-    first = weighed.groupBy("t").agg(F.max(F.struct("w", "s", "n", "c")).alias("f"))
-    pairs = weighed.join(first, "t").filter(F.expr("c <> f.c and " + _close("n", "f.n")))
+    first = weighed.groupBy("t").agg(F.max(F.struct("w", "s", "n", "pos", "c")).alias("f"))
+    pairs = weighed.join(first, "t").filter(F.expr("c <> f.c and " + _may_link("", "f.")))
     return pairs.select(F.greatest("s", "f.s").alias("b"), F.least("s", "f.s").alias("a")).distinct()
 
 
 def remaining_pairs(met: DataFrame) -> DataFrame:
     """(a, b), a < b: sets of different components under one shingle whose sizes may link."""
-    left = met.select("t", F.col("s").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = met.select("t", F.col("s").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = left.join(right, "t").filter(F.expr("a < b and ca <> cb and " + _close("na", "nb")))
-    return pairs.select("a", "b").distinct()
+    early = met.filter(f"pos <= n - ({NUMERATOR} * n + {DENOMINATOR - 1}) div {DENOMINATOR}")
+    x, y = early.alias("x"), early.alias("y")
+    meet = F.expr("x.t = y.t and x.s < y.s and x.c <> y.c and " + _may_link("x.", "y."))
+    return x.join(y, meet).select(F.col("x.s").alias("a"), F.col("y.s").alias("b")).distinct()
 
 
 def possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
