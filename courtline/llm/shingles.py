@@ -15,7 +15,7 @@ import pyarrow as pa
 
 WORDS = 5
 #: Text handled at once in a task; a longer text is handled on its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
