@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, language, mixing, pii, quality, records, sharding, token_counts
+from . import decontamination, jaccard, language, mixing, pii, quality, records, sharding, substrings, token_counts
 from .common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_disclosure_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(documents(spark, sf_dir)).drop("kept")
