@@ -1,22 +1,49 @@
 """Encoding of many texts with a word-level tokenizer: every distinct word is encoded once per task.
 
-For tokenizers that take a space as a break and drop it, break between letters and other characters,
-lower the case of each character and mark the end of a word in its last token, the ids of a text are
-those of its words put together. Words are split at ASCII spaces and newlines only; a word of letters
-with one full stop or comma behind has the ids of the letters and of the mark.
+For tokenizers that compose characters (NFC), lower their case, take white space as a break and drop it,
+break between letters and other characters and mark the end of a word in its last token, the ids of a
+text are those of its words put together. Words are split at spaces and newlines. Where that cannot change
+the ids, case is lowered first and a mark behind a letter begins a word of its own, so that a word is one
+entry in all its guises.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from itertools import chain
 
 import numpy as np
 
 #: Distinct words held in a task; when there are more, the cache starts anew.
-HELD_WORDS = 700_000
-#: Capitals whose lower case depends on the place in the word, or is longer.
-_ODD = "Σİ"
+HELD_WORDS = 800_000
+#: A mark behind a letter, where the tokenizer breaks too; the apostrophe may begin a contraction.
+_MARK = re.compile(r"(?<=[^\W\d_])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~])")
+
+
+def plain(text: str) -> str:
+    """The text in fewer guises with the same ids. Left alone: texts that may hold special tokens, whose
+    case counts, and characters whose lower case depends on others or on their composition."""
+    text = text.replace("\n", " ")
+    if "<|" in text:
+        return text
+    if text.isascii():
+        text = text.lower()
+    elif not unicodedata.is_normalized("NFC", text):
+        return text
+    elif "Σ" not in text and "İ" not in text:
+        low = text.lower()
+        if unicodedata.is_normalized("NFC", low):
+            text = low
+    return _MARK.sub(r" \1", text)
+
+
+def one_word(word: str) -> bool:
+    """Letters only, whatever is composed and lowered: one word to the tokenizer."""
+    if not word.isalpha():
+        return False
+    return word.isascii() or ("İ" not in word and unicodedata.is_normalized("NFC", word))
 
 
 class WordCache:
@@ -33,80 +60,47 @@ class WordCache:
 
     def _clear(self) -> None:
         self.codes: dict[str, int] = {}
-        self.known: dict[str, tuple[int, int]] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
-        self.used = self.words = 0
+        self.used = 0
 
-    def _room(self, ids: int, words: int) -> None:
-        while len(self.flat) < self.used + ids:
+    def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first, n = len(self.codes), len(words)
+        while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.starts) < self.words + words:
+        while len(self.starts) < first + n:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-
-    def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self._room(len(ids), len(words))
         self.flat[self.used : self.used + len(ids)] = ids
-        at = slice(self.words, self.words + len(words))
-        self.starts[at] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[at] = lengths
-        self.codes.update(zip(words, range(self.words, self.words + len(words))))
+        self.starts[first : first + n] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first : first + n] = lengths
+        self.codes.update(zip(words, range(first, first + n)))
         self.used += len(ids)
-        self.words += len(words)
 
-    def _add_letters(self, words: list[str]) -> None:
-        """Words of letters only: one text of them all, cut after the tokens that end a word."""
-        if words:
-            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+    def _add(self, words: set[str]) -> None:
+        letters = list(filter(one_word, words))
+        others = words.difference(letters)
+        if letters:
+            # One text of them all, cut after the tokens that end a word.
+            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids])
-            self._append(words, ids, np.diff(ends, prepend=-1))
-
-    def _add_others(self, words: list[str]) -> None:
-        if words:
-            ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            if len(ends) == len(letters):
+                self._append(letters, ids, np.diff(ends, prepend=-1))
+            else:  # a letter to one library is none to the other
+                others = words
+        if others:
+            named = list(others)
+            ids = [e.ids for e in self.tokenizer.encode_batch(named, add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-            self._append(words, flat, lengths)
-
-    def _add(self, words: set[str]) -> None:
-        plain, others, letters = {}, [], set()
-        for w in words:
-            core, mark = (w[:-1], w[-1]) if w[-1:] in (".", ",") else (w, "")
-            if core.isalpha() and not any(c in core for c in _ODD):
-                core = core.lower()
-                plain[w] = (core, mark)
-                if core not in self.codes:
-                    letters.add(core)
-            else:
-                others.append(w)
-        if any(m for _, m in plain.values()):
-            others += [m for m in (".", ",") if m not in self.codes and m not in words]
-        self._add_letters(sorted(letters))
-        self._add_others(sorted(others))
-        made = [w for w in plain if w not in self.codes]
-        parts = [plain[w] for w in made]
-        core = np.fromiter((self.codes[c] for c, _ in parts), np.int64, len(parts))
-        mark = np.fromiter((self.codes[m] if m else -1 for _, m in parts), np.int64, len(parts))
-        bare = [w for w, m in zip(made, mark) if m < 0]
-        self.codes.update(zip(bare, core[mark < 0].tolist()))  # another case of a known word
-        marked = [w for w, m in zip(made, mark) if m >= 0]
-        both = np.column_stack([core, mark])[mark >= 0].ravel()
-        ids = self._gather(both)
-        self._append(marked, ids, self.lengths[both].reshape(-1, 2).sum(axis=1))
-
-    def _gather(self, codes: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
+            self._append(named, flat, lengths)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, n + 1 bounds of each text's ids)."""
         if len(self.codes) > self.held:
             self._clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [plain(t).split(" ") for t in texts]
         new = set().union(*split).difference(self.codes)
         if new:
             self._add(new)
@@ -114,5 +108,8 @@ class WordCache:
         codes = np.fromiter(
             map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())
         )
-        ends = np.concatenate([[0], np.cumsum(self.lengths[codes])])
-        return self._gather(codes), ends[np.concatenate([[0], np.cumsum(counts)])]
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
