@@ -31,63 +31,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_positions, having, shuffle_parts, small, stage
+from .common import global_positions, having, shuffle_parts, small, stage, text_batches
 from .shingles import _VALUES, mix64, running_hash, span_hash, text_slices
 from .suffixes import suffix_arrays
 
 LENGTH = 50
 GRAM = 16
+#: Windows hashed at once, and the bits for a place among their bytes.
+PART, PLACE_BITS = 8_000_000, 23
 #: Different fragments of one anchor that are ordered as one bucket.
 BUCKET = 64
 #: Bytes of buckets that a task orders side by side.
-SIDE_BY_SIDE = 400_000
+SIDE_BY_SIDE = 2_000_000
 #: Bits for rows that share a doc_id, where any do.
 TIE_BITS = 20
 
-_FRAGMENT = "key bigint, ctx bigint, doc bigint, at bigint, n int"
+_FRAGMENT = "key bigint, ctx bigint, doc bigint, at bigint, shape int"
 
 
 # ---- fragments -------------------------------------------------------------------------------
 
 
 def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start, windows, anchor hash, content hash) of all fragments of a slice of texts; starts count
-    from the text's first byte, and a fragment ends LENGTH - 1 bytes behind its last window's start."""
+    """(row, start, shape, anchor hash, content hash) of all fragments of a slice of texts; starts count
+    from the text's first byte, a fragment ends LENGTH - 1 bytes behind its last window's start, and shape
+    is the number of windows plus 64 times the anchor's place in the fragment.
+
+    A slice is taken in parts of at most PART windows, so that a place fits the bits that it shares with
+    the hash in the search for the smallest; a fragment that a part's end cuts is two.
+    """
+    parts = [_part(data, offsets, i) for i in range(0, max(len(data) - LENGTH + 1, 0), PART)]
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _part(whole: np.ndarray, offsets: np.ndarray, base: int) -> tuple[np.ndarray, ...]:
     span = LENGTH - GRAM + 1
+    data = whole[base : base + PART + LENGTH - 1]
     n = len(data) - LENGTH + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     sums = running_hash(data, _VALUES)
     at = np.arange(len(data) - GRAM + 1)
     hashes = mix64(span_hash(sums, at, at + GRAM))
-    # Leftmost smallest of every run of ``span`` hashes: minima of doubling runs, then of two that overlap.
-    best, where, done = hashes, at, 1
+    # The smallest of every ``span`` hashes, by their upper bits and then from the left: minima of
+    # doubling runs, then of two that overlap.
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    best, done = (hashes & ~low) | at.astype(np.uint64), 1
     while 2 * done <= span:
-        best, where = _lesser(best[:-done], where[:-done], best[done:], where[done:])
+        best = np.minimum(best[:-done], best[done:])
         done *= 2
     if done < span:
-        gap = span - done
-        best, where = _lesser(best[: len(best) - gap], where[: len(where) - gap], best[gap:], where[gap:])
-    lengths = np.diff(offsets)
-    starts = np.arange(n)
-    rows = np.repeat(np.arange(len(lengths)), lengths)[:n]
-    whole = np.flatnonzero(starts + LENGTH <= offsets[rows + 1])
-    where, rows = where[whole], rows[whole]
-    new = np.ones(len(whole), bool)
+        best = np.minimum(best[: done - span], best[span - done :])
+    where = (best & low).astype(np.int64)
+    # Windows that lie within one row; the row of each.
+    starts, ends = offsets[:-1] - base, offsets[1:] - base
+    first_row, last_row = np.searchsorted(ends, 0, "right"), np.searchsorted(starts, n, "left")
+    from_, to = np.maximum(starts[first_row:last_row], 0), np.minimum(ends[first_row:last_row] - LENGTH + 1, n)
+    counts = np.maximum(to - from_, 0)
+    rows = np.repeat(np.arange(first_row, last_row), counts)
+    window = np.repeat(from_ - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    where = where[window]
+    new = np.ones(len(window), bool)
     new[1:] = (where[1:] != where[:-1]) | (rows[1:] != rows[:-1])
     begin = np.flatnonzero(new)
-    count = np.diff(np.append(begin, len(whole)))
-    first, anchor = whole[begin], where[begin]
+    count = np.diff(np.append(begin, len(window)))
+    first, anchor, row = window[begin], where[begin], rows[begin]
+    shape = (anchor - first) << 6 | count
     content = span_hash(sums, first, first + count + LENGTH - 1)
-    mark = ((anchor - first) << 6 | count).astype(np.uint64)
-    content = mix64(content + mark * np.uint64(0x9E3779B97F4A7C15))
-    row = rows[begin]
-    return row, first - offsets[row], count, hashes[anchor], content
-
-
-def _lesser(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    left = a <= b
-    return np.where(left, a, b), np.where(left, wa, wb)
+    content = mix64(content + shape.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return row, first + base - offsets[row], shape, hashes[anchor], content
 
 
 def _fragment_rows(own: DataFrame) -> DataFrame:
@@ -95,13 +107,13 @@ def _fragment_rows(own: DataFrame) -> DataFrame:
         for batch in batches:
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_slices(batch.column(1)):
-                row, at, n, key, ctx = fragments(data, offsets)
+                row, at, shape, key, ctx = fragments(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)),
-                        pa.array(docs[first:last][row]), pa.array(at), pa.array(n.astype(np.int32)),
+                        pa.array(docs[first:last][row]), pa.array(at), pa.array(shape.astype(np.int32)),
                     ],
-                    ["key", "ctx", "doc", "at", "n"],
+                    ["key", "ctx", "doc", "at", "shape"],
                 )
 
     return own.select("doc", "text").mapInArrow(cut, _FRAGMENT)
@@ -111,9 +123,9 @@ def _fragment_rows(own: DataFrame) -> DataFrame:
 
 
 def _texts_of(own: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, ctx, n, m, most, bytes): the classes with the bytes of their first fragment."""
+    """(key, ctx, shape, m, most, bytes): the classes with the bytes of their first fragment."""
     by_doc = classes.groupBy(F.col("first.doc").alias("doc")).agg(
-        F.collect_list(F.struct(F.col("first.at").alias("at"), "n", "key", "ctx", "most")).alias("cuts")
+        F.collect_list(F.struct(F.col("first.at").alias("at"), "shape", "key", "ctx", "most")).alias("cuts")
     )
     wanted = stage(by_doc, "cuts")
     texts = having(own.select("doc", "text"), "doc", wanted.select("doc"))
@@ -124,17 +136,17 @@ def _texts_of(own: DataFrame, classes: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 doc, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_buffer().to_pybytes()
                 cuts = batch.column(2)[i].values
-                at, n = cuts.field(0).to_numpy(), cuts.field(1).to_numpy()
+                at, n = cuts.field(0).to_numpy(), cuts.field(1).to_numpy() & 63
                 yield pa.RecordBatch.from_arrays(
                     [
                         cuts.field(2), cuts.field(3), cuts.field(1),
                         pa.array(np.full(len(at), doc)), cuts.field(4),
                         pa.array([text[a : a + k + LENGTH - 1] for a, k in zip(at, n)], pa.binary()),
                     ],
-                    ["key", "ctx", "n", "m", "most", "bytes"],
+                    ["key", "ctx", "shape", "m", "most", "bytes"],
                 )
 
-    return joined.mapInArrow(take, "key bigint, ctx bigint, n int, m bigint, most bigint, bytes binary")
+    return joined.mapInArrow(take, "key bigint, ctx bigint, shape int, m bigint, most bigint, bytes binary")
 
 
 def equal_windows(
@@ -162,56 +174,98 @@ def equal_windows(
     return of, order - strings[of], per_window
 
 
+def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(lengths)
+    n = int(ends[-1]) if len(ends) else 0
+    return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(n)]
+
+
+def _may_repeat(keys: np.ndarray, anchor: np.ndarray, n: np.ndarray, starts: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Fragments that share with another of their bucket what any window they had in common would hold:
+    half of the bytes around the anchor before it, or half behind it."""
+    half = (LENGTH - GRAM) // 2
+    sums = running_hash(data, _VALUES)
+    place = starts + anchor
+    keep = np.zeros(len(keys), bool)
+    for has, low, high in (
+        (anchor >= half, place - half, place + GRAM),
+        (anchor - (n - 1) <= half, place, place + GRAM + half),
+    ):
+        at = np.flatnonzero(has)
+        code = mix64(span_hash(sums, low[at], high[at]) + mix64(keys[at].view(np.uint64)))
+        _, of, count = np.unique(code, return_inverse=True, return_counts=True)
+        keep[at] |= count[of] > 1
+    return keep
+
+
+def judge_buckets(keys: np.ndarray, ctx: np.ndarray, shape: np.ndarray, m: np.ndarray, most: np.ndarray,
+                  starts: np.ndarray, data: np.ndarray) -> list[np.ndarray] | None:
+    """[key, ctx, first window, last window, smallest doc] of whole buckets of fragments sorted by key."""
+    n, anchor = shape & 63, shape >> 6
+    compare = _may_repeat(keys, anchor, n, starts, data)
+    # A fragment of several documents that shares nothing with others repeats by itself, in all windows.
+    alone = np.flatnonzero((m < most) & ~compare)
+    out = [(keys[alone], ctx[alone], np.zeros(len(alone), np.int64), n[alone] - 1, m[alone])]
+    keep = np.flatnonzero(compare)
+    if not len(keep):
+        return list(out[0]) if len(alone) else None
+    keys, ctx, m, most, starts = (x[keep] for x in (keys, ctx, m, most, starts))
+    lengths = n[keep] + LENGTH - 1
+    # Buckets of like size side by side: a step is one group of each.
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    members = np.diff(np.append(first, len(keys)))
+    level = np.repeat(np.ceil(np.log2(np.add.reduceat(lengths, first))).astype(np.int64), members)
+    for k in np.unique(level):
+        part = np.flatnonzero(level == k)
+        text = _gather(data, starts[part], lengths[part])
+        of, window, least = equal_windows(keys[part], lengths[part], text, m[part])
+        of = part[of]
+        hit = least < most[of]
+        of, window, least = of[hit], window[hit], least[hit]
+        if len(of):
+            by = np.lexsort((window, of))
+            of, window, least = of[by], window[by], least[by]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (window[1:] != window[:-1] + 1) | (least[1:] != least[:-1])
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(of)) - 1
+            out.append((keys[of[begin]], ctx[of[begin]], window[begin], window[end], least[begin]))
+    return [np.concatenate(c) for c in zip(*out)]
+
+
 def _verdicts_of_buckets(pieces: DataFrame) -> DataFrame:
     """(key, ctx, a, b, m): windows a to b of the class also start in document m, the smallest."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        names = ["key", "ctx", "a", "b", "m"]
+
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            columns = [table.column(i).to_numpy() for i in range(5)]
+            text = table.column(5).combine_chunks()
+            ends = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1, text.offset * 4).astype(np.int64)
+            data = np.frombuffer(text.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+            columns[2] = columns[2].astype(np.int64)
+            found = judge_buckets(*columns, ends[:-1] - ends[0], data)
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names)
+
+        held: list[pa.RecordBatch] = []
         size = 0
-
-        def flush(rows: list[tuple]) -> pa.RecordBatch | None:
-            # Buckets of like size side by side: a step is one group of each.
-            count: dict[int, int] = {}
-            for r in rows:
-                count[r[0]] = count.get(r[0], 0) + len(r[4])
-            rows.sort(key=lambda r: (count[r[0]].bit_length(), r[0]))
-            classes = np.array([count[r[0]].bit_length() for r in rows])
-            out = []
-            for level in np.unique(classes):
-                part = [rows[i] for i in np.flatnonzero(classes == level)]
-                keys = np.array([r[0] for r in part])
-                text = np.frombuffer(b"".join(r[4] for r in part), np.uint8)
-                docs, most = (np.array([r[k] for r in part]) for k in (2, 3))
-                of, window, least = equal_windows(keys, np.array([len(r[4]) for r in part]), text, docs)
-                hit = least < most[of]
-                of, window, least = of[hit], window[hit], least[hit]
-                by = np.lexsort((window, of))
-                of, window, least = of[by], window[by], least[by]
-                if len(of):
-                    new = np.ones(len(of), bool)
-                    new[1:] = (of[1:] != of[:-1]) | (window[1:] != window[:-1] + 1) | (least[1:] != least[:-1])
-                    begin = np.flatnonzero(new)
-                    end = np.append(begin[1:], len(of)) - 1
-                    ctx = np.array([r[1] for r in part])
-                    out.append((keys[of[begin]], ctx[of[begin]], window[begin], window[end], least[begin]))
-            if not out:
-                return None
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], ["key", "ctx", "a", "b", "m"]
-            )
-
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size >= SIDE_BY_SIDE and r[0] != held[-1][0]:
-                    if (done := flush(held)) is not None:
-                        yield done
-                    held, size = [], 0
-                held.append(r)
-                size += len(r[4])
-        if held and (done := flush(held)) is not None:
-            yield done
-
-    dealt = pieces.select("key", "ctx", "m", "most", "bytes").repartition(shuffle_parts(pieces), "key")
+            held.append(batch)
+            size += batch.nbytes
+            if size >= SIDE_BY_SIDE:
+                table = pa.Table.from_batches(held)
+                keys = table.column(0).to_numpy()
+                cut = int(np.argmax(keys == keys[-1]))  # the last bucket may go on
+                if cut:
+                    yield from flush(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
+                size = sum(b.nbytes for b in held)
+        if held:
+            yield from flush(pa.Table.from_batches(held))
+
+    dealt = pieces.select("key", "ctx", "shape", "m", "most", "bytes").repartition(shuffle_parts(pieces), "key")
     schema = "key bigint, ctx bigint, a bigint, b bigint, m bigint"
     return dealt.sortWithinPartitions("key", "ctx").mapInArrow(judge, schema)
 
@@ -219,7 +273,7 @@ def _verdicts_of_buckets(pieces: DataFrame) -> DataFrame:
 def _verdicts_of_windows(pieces: DataFrame) -> DataFrame:
     """The same for large buckets: every window meets its equals by its own bytes."""
     each = pieces.select(
-        "key", "ctx", "m", "most", F.posexplode(F.sequence(F.lit(1), F.col("n"))).alias("a", "_p"), "bytes"
+        "key", "ctx", "m", "most", F.posexplode(F.expr("sequence(1, shape & 63)")).alias("a", "_p"), "bytes"
     )
     window = F.substring("bytes", F.col("_p"), LENGTH)
     each = each.select("key", "ctx", "m", "most", F.col("a").cast("long").alias("a"), window.alias("w"))
@@ -264,13 +318,13 @@ def removed_intervals(own: DataFrame, shift: int = 0) -> DataFrame:
     }
     shared = _fragment_rows(own).withColumns(extremes).filter(smaller("_first", "_last"))
     shared = shared.withColumn("alike", F.expr("_a = _b"))
-    shared = stage(shared.select("key", "ctx", "doc", "at", "n", "alike", "_first"), "shared")
+    shared = stage(shared.select("key", "ctx", "doc", "at", "shape", "alike", "_first"), "shared")
     # One kind of fragment: all its windows repeat the first document's.
     plain = shared.filter("alike").filter(smaller("_first", "doc"))
-    intervals = plain.select("doc", F.col("at").alias("a"), F.expr(f"at + n + {LENGTH - 1}").alias("b"))
+    intervals = plain.select("doc", F.col("at").alias("a"), F.expr(f"at + (shape & 63) + {LENGTH - 1}").alias("b"))
     several = shared.filter("not alike")
     classes = several.groupBy("key", "ctx").agg(
-        F.min(F.struct("doc", "at")).alias("first"), F.any_value("n").alias("n"), F.max("doc").alias("most")
+        F.min(F.struct("doc", "at")).alias("first"), F.any_value("shape").alias("shape"), F.max("doc").alias("most")
     )
     pieces = stage(_texts_of(own, classes), "pieces")
     pieces = pieces.dropDuplicates(["key", "ctx"]) if shift else pieces
@@ -298,6 +352,7 @@ def _runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is binary."""
+    text_batches(docs.sparkSession)
     own, shift = _numbered(docs)
     cuts = removed_intervals(own, shift).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
     cuts = stage(cuts, "intervals")
