@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; where it is unset (tests), one is made and set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="llm-shared-"))
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -30,6 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
 _OWN: dict[str, str] = {}
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Let rows with whole texts go to Python in batches of some MB, not of 10,000 rows or 64 MB. The
+    settings stay: they are read when the plan runs, and only lower what a task holds at once."""
+    for key, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

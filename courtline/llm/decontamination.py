@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
 from .shingles import WORDS, grams, row_bounds, shingles, text_slices, word_hashes
 
 THRESHOLD = 0.8
@@ -109,6 +110,7 @@ def contained_items(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """(doc_id, item_id, n_shingles, shared): every pair with shared >= threshold * n_shingles."""
+    text_batches(docs.sparkSession)
     schema = "doc_id bigint, item_id bigint, n_shingles bigint, shared bigint"
     own = docs.select(F.col("doc_id").cast("long"), "text")
     result = None
@@ -135,6 +137,7 @@ def decontaminate(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The documents that contain no item, with all their columns; row-wise, without a shuffle."""
+    text_batches(docs.sparkSession)
     at = docs.columns.index("text")
     for index in _blocks(items, threshold, block_bytes):
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import having, small, stage, unused
+from .common import having, small, stage, text_batches, unused
 from .components import components
 from .shingles import mix64, row_bounds, shingles, text_slices
 
@@ -316,6 +316,7 @@ def links(pairs: DataFrame, described: DataFrame, docs: DataFrame, order: Order)
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, copies) of every document: the size of its set, the least
     doc_id reachable by links, and how many documents have this very set."""
+    text_batches(docs.sparkSession)
     order = frequent_shingles(docs)
     described = profile(docs, order)
     met = meetings(described).withColumn("c", F.col("s"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, small
+from .common import lookup, small, text_batches
 from .shingles import text_slices
 
 HIDDEN = 8
@@ -207,6 +207,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[BiGRU | None
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score, and the share of bytes that are labelled lang_pred."""
+    text_batches(docs.sparkSession)
     net, labels = fit(docs, per_language)
     own = docs.select(
         F.col("doc_id").cast("long"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lookup, small
+from .common import lookup, small, text_batches
 from .shingles import text_slices
 from .wordcache import WordCache
 
@@ -71,6 +71,7 @@ def unframe(data: bytes | memoryview, offset: int = 0) -> tuple[int, int | None,
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Encode every text, append the end id and write the records, one file per range of doc_id."""
+    text_batches(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long"), "text")
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 

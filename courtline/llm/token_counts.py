@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 #: Pre-tokens in a block of a new tree; a block that grows to four times as many has the tree made anew.
 BLOCK = 64
 #: Characters that the longest look-ahead of the pattern reaches beyond the end of a pre-token.
@@ -209,6 +211,7 @@ def counts_after_edits(
 ) -> DataFrame:
     """(doc_id, n_tokens, n_edits, n_tokens_edited, n_pieces, n_reencoded) of every document: tokens
     before and after its edits, pre-tokens before, and how many pre-tokens the edits encoded again."""
+    text_batches(docs.sparkSession)
     names = ("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_pieces", "n_reencoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
