@@ -50,6 +50,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Staged tables of one computation in a database of their own in the shared folder. On leaving the
+    ``with`` block the database goes with its files: what is returned must not read them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.n = spark, 0
+        self.name = f"llm_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {self.name} LOCATION '{shared_dir(spark)}/{self.name}'")
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        table = f"{self.name}.{name}_{self.n}"
+        df.write.format("parquet").saveAsTable(table)
+        return self.spark.table(table)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.name} CASCADE")
+
+
 def small(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder, for tables that are small next to the input."""
     shared_dir(df.sparkSession)

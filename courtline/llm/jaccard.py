@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import having, small, stage, text_batches, unused
+from .common import Workspace, having, small, stage, text_batches, unused
 from .components import components
 from .shingles import mix64, row_bounds, shingles, text_slices
 
@@ -126,7 +126,7 @@ def frequent_shingles(docs: DataFrame) -> Order:
     return Order(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
 
 
-def profile(docs: DataFrame, order: Order) -> DataFrame:
+def profile(docs: DataFrame, order: Order, work: Workspace) -> DataFrame:
     """Staged (doc_id, n, s, prefix, often) of every document: set size, set id, prefix shingles and
     how many of them, at the end, are frequent."""
 
@@ -151,13 +151,13 @@ def profile(docs: DataFrame, order: Order) -> DataFrame:
             )
 
     schema = "doc_id bigint, n bigint, s bigint, prefix array<bigint>, often int"
-    return stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(describe, schema), "profile")
+    return work.stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(describe, schema), "profile")
 
 
 # ---- candidates ------------------------------------------------------------------------------
 
 
-def meetings(described: DataFrame) -> DataFrame:
+def meetings(described: DataFrame, work: Workspace) -> DataFrame:
     """Staged (t, pos, s, n): sets under every prefix shingle that at least two different sets have,
     with the shingle's place in the set's order.
 
@@ -180,14 +180,14 @@ def meetings(described: DataFrame) -> DataFrame:
     often = often.select("t", (F.col("pos") + F.col("head")).alias("pos"), "s", "n").distinct()
     several = often.groupBy("t").agg(F.min("s").alias("_a"), F.max("s").alias("_b")).filter("_a <> _b")
     often = often.join(several.select("t"), "t")
-    met = stage(rare.unionByName(often), "meetings")
+    met = work.stage(rare.unionByName(often), "meetings")
     for _ in range(PRUNINGS):
         # A linked set of n meets another, of 0.8 n at least, under extra(0.8 n) shingles or more.
         least = F.expr("greatest(1, least(n div 10, (n * 8 + 9) div 10 div 10))")
         enough = met.groupBy("s", "n").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= least)
         met = met.join(enough.select("s"), "s", "semi")
         several = met.groupBy("t").agg(F.min("s").alias("_a"), F.max("s").alias("_b")).filter("_a <> _b")
-        met = stage(met.join(several.select("t"), "t", "semi"), "met")
+        met = work.stage(met.join(several.select("t"), "t", "semi"), "met")
     return met
 
 
@@ -222,7 +222,7 @@ def remaining_pairs(met: DataFrame) -> DataFrame:
     return x.join(y, meet).select(F.col("x.s").alias("a"), F.col("y.s").alias("b")).distinct()
 
 
-def possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
+def possible(pairs: DataFrame, described: DataFrame, work: Workspace) -> DataFrame:
     """The pairs whose prefixes share as much as those of sets that link must.
 
     Sets of n and m elements with the needed overlap v have at most n - v and m - v elements of their
@@ -233,7 +233,7 @@ def possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
     sets = having(described.select("s", "n", "prefix"), "s", ids).groupBy("s").agg(
         F.any_value("n").alias("n"), F.any_value("prefix").alias("p")
     )
-    sets = stage(sets, "prefixes")
+    sets = work.stage(sets, "prefixes")
     both = pairs.join(sets.toDF("a", "na", "pa"), "a").join(sets.toDF("b", "nb", "pb"), "b")
     whole = NUMERATOR + DENOMINATOR
     both = both.withColumn("v", F.expr(f"({NUMERATOR} * (na + nb) + {whole - 1}) div {whole}"))
@@ -273,7 +273,9 @@ def walk(query: np.ndarray, members: list[np.ndarray], order: Order) -> np.ndarr
     return linked
 
 
-def links(pairs: DataFrame, described: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
+def links(
+    pairs: DataFrame, described: DataFrame, docs: DataFrame, order: Order, work: Workspace
+) -> DataFrame:
     """The pairs (a, b) that link. Sets are made again from one document of each, so that whole sets
     are held only for candidates; the candidates of one set are verified in tries of bounded size."""
     wanted = small(pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct())
@@ -290,13 +292,13 @@ def links(pairs: DataFrame, described: DataFrame, docs: DataFrame, order: Order)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], ["s", "own"])
 
     sets = texts.mapInArrow(whole, "s bigint, own binary").join(wanted, "s", "semi")
-    sets = stage(sets.groupBy("s").agg(F.any_value("own").alias("own")), "sets")
+    sets = work.stage(sets.groupBy("s").agg(F.any_value("own").alias("own")), "sets")
     # Candidates of a set with very many are dealt out over tries by a salt.
     many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
     dealt = pairs.join(many, "a").withColumn(
         "part", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / TRIE)).cast("int")
     ).drop("_n")
-    dealt = stage(dealt, "dealt")
+    dealt = work.stage(dealt, "dealt")
     members = dealt.join(sets.withColumnRenamed("s", "b"), "b").select("a", "part", "b", "own")
     queries = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("s", "a"), "a")
     # The searched set comes to each of its tries as a member that is itself.
@@ -317,34 +319,36 @@ def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, copies) of every document: the size of its set, the least
     doc_id reachable by links, and how many documents have this very set."""
     text_batches(docs.sparkSession)
-    order = frequent_shingles(docs)
-    described = profile(docs, order)
-    met = meetings(described).withColumn("c", F.col("s"))
-    found = tried = labels = None
-    for i in range(ROUNDS + 1):
-        pairs = first_pairs(met, i == 0) if i < ROUNDS else remaining_pairs(met)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "anti")
-        pairs = stage(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stage(links(stage(possible(pairs, described), "possible"), described, docs, order), "links")
-        if not new.isEmpty():
-            found = new if found is None else found.unionByName(new)
-            labels = components(found)
-        if i < ROUNDS:
-            met = _apart(met, labels)
-    return _assigned(described, labels)
-
-
-def _apart(met: DataFrame, labels: DataFrame | None) -> DataFrame:
+    with Workspace(docs.sparkSession) as work:
+        order = frequent_shingles(docs)
+        described = profile(docs, order, work)
+        met = meetings(described, work).withColumn("c", F.col("s"))
+        found = tried = labels = None
+        for i in range(ROUNDS + 1):
+            pairs = first_pairs(met, i == 0) if i < ROUNDS else remaining_pairs(met)
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "anti")
+            pairs = work.stage(pairs, "pairs")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            likely = work.stage(possible(pairs, described, work), "possible")
+            new = work.stage(links(likely, described, docs, order, work), "links")
+            if not new.isEmpty():
+                found = new if found is None else found.unionByName(new)
+                labels = components(found)
+            if i < ROUNDS:
+                met = _apart(met, labels, work)
+        return stage(_assigned(described, labels, work), "documents")
+
+
+def _apart(met: DataFrame, labels: DataFrame | None, work: Workspace) -> DataFrame:
     """Meetings with components, only under shingles where different components meet."""
     if labels is not None:
         met = met.drop("c").join(labels.toDF("s", "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
     mixed = met.groupBy("t").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).filter("_a <> _b")
-    return stage(met.join(mixed.select("t"), "t"), "met")
+    return work.stage(met.join(mixed.select("t"), "t"), "met")
 
 
-def _assigned(described: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _assigned(described: DataFrame, labels: DataFrame | None, work: Workspace) -> DataFrame:
     sets = described.filter("n > 0").groupBy("s").agg(
         F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("copies")
     )
@@ -352,9 +356,9 @@ def _assigned(described: DataFrame, labels: DataFrame | None) -> DataFrame:
         sets = sets.join(labels.toDF("s", "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
     else:
         sets = sets.withColumn("c", F.col("s"))
-    sets = stage(sets, "classes")
+    sets = work.stage(sets, "classes")
     least = sets.groupBy("c").agg(F.min("_first").alias("_least"))
-    classes = stage(sets.join(least, "c").select("s", "_least", "copies"), "components")
+    classes = work.stage(sets.join(least, "c").select("s", "_least", "copies"), "components")
     known = described.filter("n > 0").select("doc_id", "n", "s").join(classes, "s")
     known = known.select("doc_id", F.col("n").alias("n_shingles"), F.col("_least").alias("component_id"), "copies")
     empty = described.filter("n = 0").select(

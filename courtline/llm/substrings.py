@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_positions, having, shuffle_parts, small, stage, text_batches
+from .common import Workspace, global_positions, having, shuffle_parts, small, stage, text_batches
 from .shingles import _VALUES, mix64, running_hash, span_hash, text_slices
 from .suffixes import suffix_arrays
 
@@ -122,12 +122,12 @@ def _fragment_rows(own: DataFrame) -> DataFrame:
 # ---- buckets ---------------------------------------------------------------------------------
 
 
-def _texts_of(own: DataFrame, classes: DataFrame) -> DataFrame:
+def _texts_of(own: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
     """(key, ctx, shape, m, most, bytes): the classes with the bytes of their first fragment."""
     by_doc = classes.groupBy(F.col("first.doc").alias("doc")).agg(
         F.collect_list(F.struct(F.col("first.at").alias("at"), "shape", "key", "ctx", "most")).alias("cuts")
     )
-    wanted = stage(by_doc, "cuts")
+    wanted = work.stage(by_doc, "cuts")
     texts = having(own.select("doc", "text"), "doc", wanted.select("doc"))
     joined = texts.join(wanted, "doc").select("doc", F.col("text").cast("binary").alias("text"), "cuts")
 
@@ -305,7 +305,7 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     return stage(held.join(numbers, "_row").select("doc", "doc_id", "text"), "numbered"), TIE_BITS
 
 
-def removed_intervals(own: DataFrame, shift: int = 0) -> DataFrame:
+def removed_intervals(own: DataFrame, work: Workspace, shift: int = 0) -> DataFrame:
     """(doc, a, b): bytes a to b, exclusive, of the document's text are covered by one repeated window."""
 
     def smaller(a: str, b: str) -> str:
@@ -318,7 +318,7 @@ def removed_intervals(own: DataFrame, shift: int = 0) -> DataFrame:
     }
     shared = _fragment_rows(own).withColumns(extremes).filter(smaller("_first", "_last"))
     shared = shared.withColumn("alike", F.expr("_a = _b"))
-    shared = stage(shared.select("key", "ctx", "doc", "at", "shape", "alike", "_first"), "shared")
+    shared = work.stage(shared.select("key", "ctx", "doc", "at", "shape", "alike", "_first"), "shared")
     # One kind of fragment: all its windows repeat the first document's.
     plain = shared.filter("alike").filter(smaller("_first", "doc"))
     intervals = plain.select("doc", F.col("at").alias("a"), F.expr(f"at + (shape & 63) + {LENGTH - 1}").alias("b"))
@@ -326,7 +326,7 @@ def removed_intervals(own: DataFrame, shift: int = 0) -> DataFrame:
     classes = several.groupBy("key", "ctx").agg(
         F.min(F.struct("doc", "at")).alias("first"), F.any_value("shape").alias("shape"), F.max("doc").alias("most")
     )
-    pieces = stage(_texts_of(own, classes), "pieces")
+    pieces = work.stage(_texts_of(own, classes, work), "pieces")
     pieces = pieces.dropDuplicates(["key", "ctx"]) if shift else pieces
     large = small(pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > BUCKET).select("key"))
     if large.isEmpty():
@@ -335,7 +335,7 @@ def removed_intervals(own: DataFrame, shift: int = 0) -> DataFrame:
         right = large.withColumnRenamed("key", "_large")
         usual = pieces.join(right, pieces["key"] == right["_large"], "anti")
         verdicts = _verdicts_of_buckets(usual).unionByName(_verdicts_of_windows(having(pieces, "key", large)))
-    verdicts = stage(verdicts, "verdicts")
+    verdicts = work.stage(verdicts, "verdicts")
     met = several.join(verdicts, ["key", "ctx"]).filter(smaller("m", "doc"))
     more = met.select("doc", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + LENGTH).alias("b"))
     return intervals.unionByName(more)
@@ -354,8 +354,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is binary."""
     text_batches(docs.sparkSession)
     own, shift = _numbered(docs)
-    cuts = removed_intervals(own, shift).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
-    cuts = stage(cuts, "intervals")
+    with Workspace(docs.sparkSession) as work:
+        cuts = removed_intervals(own, work, shift).groupBy("doc")
+        cuts = stage(cuts.agg(F.collect_list(F.struct("a", "b")).alias("cuts")), "intervals")
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     touched = having(own, "doc", cuts.select("doc")).join(cuts, "doc").select("doc_id", text, "cuts")
 
