@@ -27,6 +27,8 @@ TOLERANCE = 1e-9
 STEPS = 40
 #: Rounds of single-copy changes after rounding, one change per source and round.
 REPAIRS = 4
+#: Documents whose copies are sent to all tasks (three numbers each); more are joined by a shuffle.
+COPIES_SENT = 500_000
 #: Rates are added up in units of 2^-20.
 UNIT_BITS = 20
 
@@ -201,14 +203,33 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 
 
 def repeat_to_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it."""
-    row = unused(docs, "_row")
-    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    sized = held.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(row).alias("_row"))
-    taken = mixed(stage(sized, "sized"), weights, most).filter("copies > 0")
-    copies, other = unused(docs, "_copies"), unused(docs, "_of")
-    joined = held.join(
-        taken.select(F.col("_row").alias(other), F.col("copies").alias(copies)), F.col(row) == F.col(other)
+    """The documents themselves, each as often as the mix takes it.
+
+    Rows are known by doc_id and a hash of all columns, so texts are neither written nor, up to
+    COPIES_SENT such pairs, shuffled. Rows that are equal in both are one document in several rows: the
+    copies of all of them are made from the first.
+    """
+    hash_ = unused(docs, "_hash")
+    hashed = docs.withColumn(hash_, F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    sized = hashed.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(hash_).alias("_hash"))
+    sized = stage(sized.withColumn("_row", F.monotonically_increasing_id()), "sized")
+    taken = stage(
+        mixed(sized, weights, most).groupBy("doc_id", "_hash")
+        .agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+        .filter("_copies > 0"),
+        "taken",
     )
-    again = joined.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return again.drop(row, other, copies)
+    copies, rows, place = (unused(docs, x) for x in ("_copies", "_rows", "_place"))
+    other, other_hash = unused(docs, "_of"), unused(docs, "_hash_of")
+    right = taken.toDF(other, other_hash, copies, rows)
+    if taken.limit(COPIES_SENT + 1).count() <= COPIES_SENT:
+        right = F.broadcast(right)
+    same = (hashed[hash_] == right[other_hash]) & hashed["doc_id"].eqNullSafe(right[other])
+    joined = hashed.join(right, same)
+    again = joined.filter(F.col(rows) == 1)
+    if not taken.filter("_rows > 1").isEmpty():
+        first = Window.partitionBy("doc_id", hash_).orderBy(F.lit(0))
+        several = joined.filter(F.col(rows) > 1).withColumn(place, F.row_number().over(first))
+        again = again.unionByName(several.filter(F.col(place) == 1).drop(place))
+    again = again.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return again.drop(hash_, other, other_hash, copies, rows)
