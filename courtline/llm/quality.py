@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, lookup, small, stage
+from .common import SPACES, lookup, small, stage, unused
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -144,34 +144,38 @@ def host_verdicts(features: DataFrame, host: str = "source", rate: float = HOST_
     return out.select(host, "n_docs", *(f"{k}_{r}" for r in HOST_RULES for k in ("rate", "bad")))
 
 
-def judge(features: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
-    """Add base_failed, host_failed and kept to staged features."""
-    verdicts = small(host_verdicts(features, host, rate))
-    bad = verdicts.select(host, *(f"bad_{r}" for r in HOST_RULES))
-    joined = lookup(features, bad, [host])
+def judge(features: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
+    """Add base_failed, host_failed and kept, the verdicts being a staged table of the hosts."""
+    bad = {r: unused(features, f"_bad_{r}") for r in HOST_RULES}
+    named = verdicts.select(host, *(F.col(f"bad_{r}").alias(b) for r, b in bad.items()))
+    joined = lookup(features, named, [host])
     failed = F.lit(False)
     for r, c in HOST_RULES.items():
-        failed |= F.expr(c) & F.coalesce(F.col(f"bad_{r}"), F.lit(False))
+        failed |= F.expr(c) & F.coalesce(F.col(bad[r]), F.lit(False))
     judged = joined.withColumn("base_failed", base_failed()).withColumn("host_failed", failed)
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
-    return judged.drop(*(f"bad_{r}" for r in HOST_RULES))
+    return judged.drop(*bad.values())
 
 
 def quality_rules(docs: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
     """doc_id, host, the features and the verdicts of every document."""
-    features = text_features(docs.select("doc_id", host, "text")).drop("text")
-    return judge(stage(features, "features"), host, rate)
+    measured = text_features(docs.select("doc_id", host, "text")).drop("text")
+    features = stage(measured, "features")
+    return judge(features, small(host_verdicts(features, host, rate)), host)
 
 
 def keep_good(docs: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
-    """The documents that pass, with their own columns.
+    """The documents that pass, with their own columns, of whatever names.
 
-    Features are staged with the documents, so that text is measured once.
+    Texts are measured twice, once for the hosts and once for themselves, so that none is written or
+    shuffled (hosts beyond the bound of a broadcast apart).
     """
-    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    verdicts = small(host_verdicts(text_features(docs.select(host, "text")), host, rate))
     held = docs.select(
-        F.col("text"), F.col(host), F.struct(*(F.col(f"`{c}`").alias(a) for c, a in own.items())).alias("_doc")
+        "text", host, F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("_doc")
     )
-    judged = judge(stage(text_features(held).drop("text"), "measured"), host, rate)
-    kept = judged.filter("kept")
-    return kept.select(*(F.col(f"_doc.{a}").alias(c) for c, a in own.items()))
+    # A predicate is not moved below a column of this kind: it would take the counts with it, once for
+    # every time that it names them.
+    measured = text_features(held).drop("text").withColumn("_fixed", F.monotonically_increasing_id())
+    kept = judge(measured, verdicts, host).filter("kept and _fixed >= 0")
+    return kept.select(*(F.col(f"_doc.c{i}").alias(c) for i, c in enumerate(docs.columns)))
