@@ -15,8 +15,12 @@ def main() -> None:
     parser.add_argument("--output", default="data/processed")
     parser.add_argument("--three-point-rule", choices=("points", "3PT"), default="points")
     parser.add_argument("--overwrite", choices=("static", "dynamic"), default="static")
+    parser.add_argument(
+        "--work", help="folder for intermediate tables that all executors share; on a cluster needed"
+    )
     args = parser.parse_args()
-    spark = create_spark_session()
+    conf = {"spark_checkpoint_dir": args.work} if args.work else {}
+    spark = create_spark_session(**conf)
     seconds = run_pipeline(spark, args.input, args.output, args.three_point_rule, args.overwrite)
     for step, value in seconds.items():
         print(f"{step:<22}{value:9.2f} s")

@@ -30,17 +30,17 @@ def with_margin(events: DataFrame) -> DataFrame:
     ).withColumn("is_clutch", E.clutch_flag())
 
 
-def running_scores(events: DataFrame, profile: GameProfile | None = None) -> DataFrame:
+def running_scores(events: DataFrame, profile: GameProfile) -> DataFrame:
     return by_game_size(
         events, profile, per_game_scores, lambda rows: split_scan(rows, scores=True)
     )
 
 
 def clean_events(
-    events: DataFrame, profile: GameProfile | None = None, strict_assist: bool = False
+    events: DataFrame, profile: GameProfile, strict_assist: bool = False
 ) -> DataFrame:
     """Raw events (16 columns and event_seq) -> cleaned events.
 
-    ``profile`` comes from ``profile_games``; it is taken here when not given.
+    ``profile`` comes from ``profile_games``.
     """
     return with_margin(running_scores(clean_columns(events, strict_assist), profile))

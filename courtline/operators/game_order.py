@@ -1,18 +1,19 @@
 """Ordering of the events of a game, and how games are spread over tasks.
 
-Order inside a game is (period, clock counting down, event_seq). A real game has a few hundred
-events, so one task per game is the cheapest plan: one shuffle on gameid serves every window. A
-damaged feed can still put a large share of all rows under one id (or under NULL). Those games are
-found by a count per game and take a second plan, which cuts a game into ticks (one clock value)
-and a tick into chunks of at most ``CHUNK_ROWS`` consecutive event numbers, scans the chunks in
-parallel and carries the state between them through two small summaries. Both plans give the same
-rows.
+Order inside a game is (period, clock counting down, event_seq), and ``event_seq`` is unique and known
+within a game: ``profile_games`` checks that, so every plan has one order to follow. A real game has a
+few hundred events, so one task per game is the cheapest plan: one shuffle on gameid serves every
+window. A damaged feed can still put a large share of all rows under one id (or under NULL). Those
+games are found by a count per game and take a second plan, which cuts a game into segments (one
+minute of one period), a segment into ticks (one clock value) and a tick into chunks of at most
+``CHUNK_ROWS`` consecutive event numbers, scans the chunks in parallel and carries the state between
+them through small summaries. Both plans give the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,11 +21,9 @@ from pyspark.sql import types as T
 
 # A game above this many rows takes the split plan; a task sorts that many rows with ease.
 HOT_GAME_ROWS = 1_000_000
-# The largest games are listed up to this number. A game outside the list then holds at most one
-# row in MAX_HOT_GAMES + 1, about a fair share of one executor, and the per-game plan is right
-# for it too: the bound limits the list on the driver, not what is computed.
-MAX_HOT_GAMES = 1024
 CHUNK_ROWS = 1_000_000
+# Clock seconds in a segment of a game.
+SEGMENT_SECONDS = 60
 
 TICK = ("gameid", "period", "seconds_remaining")
 
@@ -52,26 +51,39 @@ def before_here(window):
 
 @dataclass(frozen=True)
 class GameProfile:
-    """What one pass over (gameid, season) tells about a feed."""
+    """What a pass over a feed tells: the oversized games, as a frame of their ids (None where there
+    are none), and whether seasons follow games."""
 
-    hot_games: tuple = ()
+    hot_games: DataFrame | None = field(default=None, compare=False)
     one_season_per_game: bool = False
 
-    def is_hot(self) -> Column:
-        named = [g for g in self.hot_games if g is not None]
-        hot = F.coalesce(F.col("gameid").isin(*named), F.lit(False)) if named else F.lit(False)
-        return hot | F.col("gameid").isNull() if None in self.hot_games else hot
+
+def check_event_order(events: DataFrame) -> None:
+    """Raise unless ``event_seq`` is known and unique within each game. One job, counts are
+    pre-aggregated; not needed for files read by ``ingest_data``, where it holds by construction."""
+    repeated = events.groupBy("gameid", "event_seq").agg(F.count(F.lit(1)).alias("n"))
+    wrong = repeated.filter("n > 1 or event_seq is null").limit(1).collect()
+    if wrong:
+        raise ValueError(
+            f"event_seq must be unique and not NULL within a game: {wrong[0].event_seq} occurs"
+            f" {wrong[0].n} times in game {wrong[0].gameid}"
+        )
 
 
 def profile_games(
-    events: DataFrame, hot_rows: int | None = None, max_hot: int | None = None
+    events: DataFrame,
+    hot_rows: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    check_order: bool = True,
 ) -> GameProfile:
-    """Run one job over two columns: the oversized games, and whether seasons follow games.
+    """Run a job over two columns: the oversized games, and whether seasons follow games.
 
-    Counts are pre-aggregated before the shuffle, and at most ``max_hot + 1`` rows come back.
+    Counts are pre-aggregated before the shuffle. Two flags come to the driver; the ids of the
+    oversized games stay a frame, however many they are, which ``keep`` may stage.
     """
+    if check_order:
+        check_event_order(events)
     hot_rows = HOT_GAME_ROWS if hot_rows is None else hot_rows
-    max_hot = MAX_HOT_GAMES if max_hot is None else max_hot
     games = events.groupBy("gameid").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("season").alias("dated"),
@@ -79,31 +91,40 @@ def profile_games(
         F.max("season").alias("last"),
     )
     mixed = (F.col("first") != F.col("last")) | (F.col("dated").between(1, F.col("n") - 1))
-    ids = F.col("gameid").alias("gameid")
-    hot = games.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), "gameid").limit(max_hot)
-    odd = games.filter(F.col("gameid").isNotNull() & mixed).limit(1)
-    found = hot.select(F.lit("hot").alias("why"), ids).unionByName(
-        odd.select(F.lit("mixed").alias("why"), ids)
-    )
-    rows = found.collect()
+    flags = games.agg(
+        F.coalesce(F.bool_or(F.col("n") > hot_rows), F.lit(False)).alias("hot"),
+        F.coalesce(F.bool_or(F.col("gameid").isNotNull() & mixed), F.lit(False)).alias("mixed"),
+    ).first()
+    hot = games.filter(F.col("n") > hot_rows).select("gameid") if flags.hot else None
     return GameProfile(
-        hot_games=tuple(r.gameid for r in rows if r.why == "hot"),
-        one_season_per_game=all(r.why != "mixed" for r in rows),
+        hot_games=keep(hot) if hot is not None and keep else hot,
+        one_season_per_game=not flags.mixed,
     )
 
 
 def by_game_size(
     events: DataFrame,
-    profile: GameProfile | None,
+    profile: GameProfile,
     per_game: Callable[[DataFrame], DataFrame],
     split: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Apply ``per_game`` to ordinary games and ``split`` to the oversized ones."""
-    profile = profile_games(events) if profile is None else profile
-    if not profile.hot_games:
+    """Apply ``per_game`` to ordinary games and ``split`` to the oversized ones.
+
+    The ids of oversized games are few beside the rows, so adaptive execution may broadcast them; by
+    its size, it decides. A NULL id is an id like any other.
+    """
+    if profile.hot_games is None:
         return per_game(events)
-    hot = profile.is_hot()
-    return per_game(events.filter(~hot)).unionByName(split(events.filter(hot)))
+    hot = profile.hot_games.select(F.col("gameid").alias("_hot_game")).distinct()
+    same = events["gameid"].eqNullSafe(hot["_hot_game"])
+    ordinary, large = events.join(hot, same, "anti"), events.join(hot, same, "semi")
+    return per_game(ordinary).unionByName(split(large))
+
+
+def segment() -> Column:
+    """Key of a segment: NULLs are values of their own inside the struct."""
+    minute = F.floor(F.col("seconds_remaining") / SEGMENT_SECONDS)
+    return F.struct("gameid", "period", minute.alias("minute"))
 
 
 def with_chunks(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .game_order import TICK, before_here, by_event, by_tick, tick_order, up_to_here, with_chunks
+from .game_order import TICK, before_here, by_event, by_tick, segment, up_to_here, with_chunks
 
 SCORES = ("h_pts", "a_pts")
 RUNNING = tuple(f"{c}_ff" for c in SCORES)
@@ -65,14 +65,67 @@ def per_game_marks(events: DataFrame) -> DataFrame:
     )
 
 
+def _scan_ticks(ticks: DataFrame, scores: bool, marks: bool) -> DataFrame:
+    """State of ticks (one row each) without a window over a whole game.
+
+    Ticks are summarised per segment; windows over the segments of a game give each segment what
+    came before it, and windows over the ticks of a segment do the rest. Numbers of possessions
+    take a second pass, as a segment's first flag depends on what came before.
+    """
+    ticks = ticks.withColumns({"_seg": segment(), **{c: F.col(f"_tick.{c}") for c in TICK}})
+    clock = F.coalesce("seconds_remaining", F.lit(0.0))
+    parts: list[Column] = []
+    if scores:
+        parts += [F.max(c).alias(c) for c in SCORES]
+    if marks:
+        on_ball = F.when(F.col("action_team").isNotNull(), clock)
+        parts += [F.min_by("action_team", on_ball).alias("action_team")]
+    order = [F.col("_seg.period").asc_nulls_first(), F.col("_seg.minute").desc_nulls_last()]
+    in_game = Window.partitionBy("_seg.gameid").orderBy(*order)
+    in_segment = Window.partitionBy("_seg").orderBy(F.col("seconds_remaining").desc_nulls_last())
+    segments = ticks.groupBy("_seg").agg(*(parts or [F.count(F.lit(1)).alias("_n")]))
+    carried = {}
+    if scores:
+        carried |= {f"_s_{c}": F.max(c).over(before_here(in_game)) for c in SCORES}
+    if marks:
+        carried |= {
+            "_s_team": F.last("action_team", ignorenulls=True).over(before_here(in_game)),
+            "_s_period": F.lag("_seg.period").over(in_game),
+        }
+    known = ticks.join(segments.select("_seg", *(c.alias(n) for n, c in carried.items())), "_seg")
+    if scores:
+        earlier = before_here(in_segment)
+        known = known.withColumns(
+            {f"_t_{c}": F.greatest(F.max(c).over(earlier), f"_s_{c}") for c in SCORES}
+        )
+    if not marks:
+        return known
+    inside = F.last("action_team", ignorenulls=True).over(before_here(in_segment))
+    opens_segment = F.row_number().over(in_segment) == 1
+    flagged = known.withColumns(
+        {
+            "prev_possession_team": F.coalesce(inside, "_s_team"),
+            "prev_period": F.when(opens_segment, F.col("_s_period")).otherwise(F.col("period")),
+        }
+    )
+    flagged = flagged.withColumn(
+        "possession_team", F.coalesce("action_team", "prev_possession_team")
+    ).withColumn("is_new_possession", _starts_possession())
+    counts = flagged.groupBy("_seg").agg(F.sum("is_new_possession").alias("_started"))
+    before = F.coalesce(F.sum("_started").over(before_here(in_game)), F.lit(0))
+    numbered = flagged.join(counts.select("_seg", before.alias("_before")), "_seg")
+    number = F.sum("is_new_possession").over(up_to_here(in_segment)) + F.col("_before")
+    return numbered.withColumn("possession_id_game", number)
+
+
 def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) -> DataFrame:
     """Running scores and/or possession marks without a task that holds a whole game.
 
     Rows are summarised per chunk and chunks per tick, before any shuffle of rows. The state before
-    a row is what earlier ticks of the game and earlier chunks of its tick left behind. Ticks of a
-    game are bounded by the resolution of the game clock and chunks of a tick by the number of
-    rows over CHUNK_ROWS, so no window holds more than a small part of a game. The state joins the
-    rows by chunk, so a tick that holds very many rows is spread as well.
+    a row is what earlier ticks of the game and earlier chunks of its tick left behind. No window
+    holds all ticks of a game, see ``_scan_ticks``, and chunks of a tick are bounded by the number
+    of rows over CHUNK_ROWS. The state joins the rows by chunk, so a tick that holds very many rows
+    is spread as well.
     """
     rows = with_chunks(events)
     on_ball = F.when(F.col("action_team").isNotNull(), F.col("event_seq"))
@@ -93,17 +146,13 @@ def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) ->
         ]
     chunks = rows.groupBy("_tick", "_chunk").agg(*by_row)
 
-    ticks = chunks.groupBy("_tick").agg(*merged)
-    ticks = ticks.withColumns({c: F.col(f"_tick.{c}") for c in TICK})
     tick_state: list[Column] = []
     if scores:
-        earlier_ticks = before_here(Window.partitionBy("gameid").orderBy(*tick_order()))
-        ticks = ticks.withColumns({f"_t_{c}": F.max(c).over(earlier_ticks) for c in SCORES})
         tick_state += [F.col(f"_t_{c}") for c in SCORES]
     if marks:
-        # A tick is one row here: its first event number stands for it.
-        ticks = per_game_marks(ticks)
+        # A tick's first event number stands for it.
         tick_state += [F.col("event_seq").alias("_first"), *map(F.col, MARKS)]
+    ticks = _scan_ticks(chunks.groupBy("_tick").agg(*merged).select("_tick.*", "*"), scores, marks)
     ticks = ticks.select("_tick", *tick_state)
 
     chunk_state = ["_tick", "_chunk"]

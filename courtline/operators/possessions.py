@@ -15,7 +15,7 @@ def with_action_team(events: DataFrame) -> DataFrame:
     return events.withColumn("action_team", E.action_team())
 
 
-def mark_possessions(events: DataFrame, profile: GameProfile | None = None) -> DataFrame:
+def mark_possessions(events: DataFrame, profile: GameProfile) -> DataFrame:
     """Add holder, previous holder and period, boundary flag and possession number."""
     return by_game_size(events, profile, per_game_marks, lambda rows: split_scan(rows, marks=True))
 
@@ -26,7 +26,7 @@ def possession_id() -> Column:
 
 
 def reconstruct_possessions(
-    cleaned: DataFrame, profile: GameProfile | None = None, three_point_rule: str = "points"
+    cleaned: DataFrame, profile: GameProfile, three_point_rule: str = "points"
 ) -> DataFrame:
     """Cleaned events -> the same rows with possession marks, id and points per event."""
     # Row-wise columns first: the free text is then read below the shuffle.

@@ -51,15 +51,14 @@ def shot_distribution_long(league: DataFrame) -> DataFrame:
 def pace_series(league: DataFrame, teams: DataFrame | None = None) -> DataFrame:
     """(season, series, pace): the league line, then one line per chosen team.
 
-    A single team is labelled "Team Pace"; several carry their own names.
+    A single team is labelled "Team Pace"; several carry their own names. Rows without a team
+    draw no line.
     """
     base = league.select("season", F.lit("League Average").alias("series"), "pace")
     if teams is None:
         return base
-    # One row per season and team: a window over all of them is a window over few rows.
-    everyone = Window.partitionBy(F.lit(0))
-    several = F.min("_t").over(everyone) != F.max("_t").over(everyone)
-    named = teams.select("season", "team", "pace", F.coalesce("team", F.lit("")).alias("_t"))
+    named = teams.filter(F.col("team").isNotNull())
+    several = named.agg(F.min("team") != F.max("team")).scalar()
     name = F.when(several, F.col("team")).otherwise(F.lit("Team Pace"))
     return base.unionByName(named.select("season", name.alias("series"), "pace"))
 
@@ -119,8 +118,10 @@ def latest_efficiency(player: DataFrame, league: DataFrame) -> DataFrame:
 def efficiency_compare(latest: DataFrame) -> DataFrame:
     """(metric, player, league, delta, labels): percent text of both and the difference.
 
-    A player without rows gives no bars, like an empty chart.
+    A player without rows gives no bars, like an empty chart; a league without rows gives a
+    player's bars alone, its own and the difference being NULL.
     """
+    league = F.count_if(F.col("series") == "League Avg") > 0
 
     def of(series: str, column: str) -> Column:
         return F.max(F.when(F.col("series") == series, F.col(column)))
@@ -129,7 +130,7 @@ def efficiency_compare(latest: DataFrame) -> DataFrame:
         F.struct(
             F.lit(label).alias("metric"),
             F.coalesce(of("Player", c), F.lit(0.0)).alias("player"),
-            F.coalesce(of("League Avg", c), F.lit(0.0)).alias("league"),
+            F.when(league, F.coalesce(of("League Avg", c), F.lit(0.0))).alias("league"),
         )
         for c, label in EFFICIENCY.items()
     ]
@@ -138,7 +139,7 @@ def efficiency_compare(latest: DataFrame) -> DataFrame:
     rows = wide.filter("present").select(F.explode("bars").alias("b")).select("b.*")
 
     def percent(c: str) -> Column:
-        return F.format_string("%.1f%%", F.col(c) * 100.0)
+        return F.when(F.col(c).isNotNull(), F.format_string("%.1f%%", F.col(c) * 100.0))
 
     return rows.withColumns(
         {
@@ -175,7 +176,8 @@ def sample_points(
 ) -> DataFrame:
     """Uniform sample of exactly ``n`` rows, or all rows when there are no more than that.
 
-    The draw depends on the rows and the seed only, not on their partitioning. Equal rows are
+    The draw is an MD5 of the row's text and the seed, so any engine can repeat it and partitions do
+    not matter. Equal rows are
     counted before the shuffle, and each of the ``c`` copies of a row draws an exponential key:
     the j-th smallest of c such keys is a sum of independent draws over c, c-1, .. . The n smallest
     keys overall make the sample. They lie in the n rows with the smallest first key, so only
@@ -183,9 +185,11 @@ def sample_points(
     """
     columns = points.columns
 
-    def draw(*parts: Column) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns, *parts), 11)
-        return -F.log((bits.cast("double") + 0.5) / F.lit(float(2**53)))
+    def draw(number: Column) -> Column:
+        values = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)
+        text = F.concat_ws("|", F.lit(str(seed)), *values, number.cast("string"))
+        bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double")
+        return -F.log((bits + 0.5) / F.lit(float(2**52)))
 
     counted = points.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     first = counted.withColumn("_key", draw(F.lit(1)) / F.col("_copies"))
@@ -222,8 +226,8 @@ def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
     """Add ``Density``: how many points share the cell of an equal-width grid over the data.
 
     The last edge belongs to the last cell; a range of zero width is widened by 0.5 both ways;
-    rows without coordinates are left out. The counts have at most bins x bins rows, so looking
-    them up is a broadcast of fixed size.
+    rows without coordinates are left out. Points are counted per place before the shuffle; how the
+    counts, bins x bins rows at most, are joined is left to adaptive execution.
     """
     placed = _placed(points)
     edges = placed.agg(F.struct(*(c.alias(n) for n, c in _edges().items())).alias("e")).scalar()
@@ -231,7 +235,7 @@ def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
         placed.withColumn("_e", edges), {n: F.col(f"_e.{n}") for n in _edges()}, bins
     ).drop("_e")
     counts = binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("Density"))
-    return binned.join(F.broadcast(counts), ["x_bin", "y_bin"]).select(
+    return binned.join(counts, ["x_bin", "y_bin"]).select(
         *points.columns, "x_bin", "y_bin", "Density"
     )
 
@@ -256,8 +260,11 @@ def shot_chart(points: DataFrame, result: str = "All", n: int = S.SAMPLE_POINTS)
 
 
 def era_range(era: str) -> tuple[int, int]:
-    """First and last season of a named era; anything else means all seasons."""
-    return S.ERAS.get(era, S.ERAS["All Time"])
+    """First and last season of a named era, with or without the seasons behind the name."""
+    for name, (first, last) in S.ERAS.items():
+        if era in (name, f"{name} ({first}-{last})"):
+            return first, last
+    raise ValueError(f"unknown era {era!r}; known: {', '.join(S.ERAS)}")
 
 
 def era_league_summary(team_metrics: DataFrame) -> DataFrame:

@@ -21,8 +21,9 @@ def team_page(
     clutch_margin: float = S.CLUTCH_MARGIN,
     result: str = "All",
 ) -> dict[str, DataFrame]:
-    """Lazy frames of the team page. Without a choice of teams the league stands in."""
-    metrics, shots = store.read("fact_team_metrics"), store.read("fact_shots")
+    """Lazy frames of the team page. Without a choice of teams the league stands in; tables that
+    were never written are empty."""
+    metrics, shots = store.read_or_empty("fact_team_metrics"), store.read_or_empty("fact_shots")
     league = serving.league_evolution(metrics, start, end, clutch, ordered=False)
     per_team = serving.team_evolution(metrics, start, end, clutch, teams, ordered=False)
     pooled = league
@@ -55,7 +56,7 @@ def player_page(
     result: str = "All",
 ) -> dict[str, DataFrame]:
     """Lazy frames of the player page."""
-    metrics, shots = store.read("fact_player_metrics"), store.read("fact_shots")
+    metrics, shots = store.read_or_empty("fact_player_metrics"), store.read_or_empty("fact_shots")
     mine = serving.player_stats(metrics, player, start, end, clutch, ordered=False)
     league = serving.league_player_stats(metrics, start, end, clutch, ordered=False)
     window = (clutch, clutch_minutes, clutch_margin)

@@ -25,7 +25,7 @@ from ..operators.team import build_fact_team_metrics
 from ..schema import FACT_SCHEMAS
 from ..sources.event_files import DEFAULT_PATH, ingest_data
 from ..sources.fact_store import FactStore
-from .staging import Staging, shuffles_sized_for
+from .staging import Staging, partitions_for, shuffle_partitions
 
 # What the windows and the facts need. The free text, the clock text, the unused columns of the
 # feed and whatever follows from these columns are left out before the first shuffle.
@@ -48,7 +48,7 @@ def measure_events(events: DataFrame, three_point_rule: str = "points") -> DataF
     return measured.select(*MEASURED)
 
 
-def mark_events(measured: DataFrame, profile: GameProfile | None = None) -> DataFrame:
+def mark_events(measured: DataFrame, profile: GameProfile) -> DataFrame:
     """Scores, clutch flag and possessions: all windows on one shuffle of narrow rows."""
     marked = by_game_size(
         with_action_team(measured),
@@ -67,10 +67,9 @@ def seasonal_possessions(marked: DataFrame, profile: GameProfile) -> DataFrame:
 
 
 def fact_frames(
-    events: DataFrame, profile: GameProfile | None = None, three_point_rule: str = "points"
+    events: DataFrame, profile: GameProfile, three_point_rule: str = "points"
 ) -> dict[str, DataFrame]:
     """The four facts as lazy frames over raw events (16 columns and event_seq)."""
-    profile = profile_games(events) if profile is None else profile
     marked = mark_events(measure_events(events, three_point_rule), profile)
     shots, possessions = build_fact_shots(with_shot_outcome(marked)), seasonal_possessions(marked, profile)
     return {
@@ -103,17 +102,21 @@ def run_pipeline(
 
     store, staging = FactStore(spark, out), Staging(spark)
     try:
-        if isinstance(source, DataFrame):
-            measured = measure_events(source, three_point_rule)
-        else:
-            # Text is parsed once, and event_seq is fixed on disk before anything reads it.
-            events = ingest_data(spark, source)
-            measured = staging.keep(measure_events(events, three_point_rule), "measured")
-            done("ingest")
-        with shuffles_sized_for(spark, measured):
-            profile = profile_games(measured)
+        # Rows are measured once, and event_seq is fixed on disk before anything reads it.
+        from_files = not isinstance(source, DataFrame)
+        events = ingest_data(spark, source) if from_files else source
+        measured = staging.keep(measure_events(events, three_point_rule), "measured")
+        partitions = partitions_for(spark, staging.bytes("measured"))
+        done("ingest")
+        with shuffle_partitions(spark, partitions):
+            profile = profile_games(
+                measured, keep=lambda ids: staging.keep(ids, "hot_games"), check_order=not from_files
+            )
             done("profile")
-            marked = staging.keep(mark_events(measured, profile), "marked")
+            # Bucketed like the windows' shuffle: possessions then group by game without another. A
+            # bucket is read by one task, so oversized games keep the rows apart instead.
+            buckets = partitions if profile.hot_games is None else None
+            marked = staging.keep(mark_events(measured, profile), "marked", "gameid", buckets)
             done("mark")
             independent = {
                 "fact_shots": build_fact_shots(with_shot_outcome(marked)),
@@ -141,11 +144,9 @@ def run_pipeline(
 
 
 def _seasons_of(events: DataFrame, *tables: DataFrame) -> list[DataFrame]:
-    """The part of each table that belongs to the seasons of ``events`` (a short list)."""
-    seasons = [r.season for r in events.select("season").distinct().collect()]
-    named = F.col("season").isin(*(s for s in seasons if s is not None))
-    mine = F.coalesce(named, F.lit(None in seasons))
-    return [table.filter(mine) for table in tables]
+    """The part of each table that belongs to the seasons of ``events``; no season is a season."""
+    mine = events.select(F.col("season").alias("_season")).distinct()
+    return [t.join(mine, t["season"].eqNullSafe(mine["_season"]), "semi") for t in tables]
 
 
 def table_counts(store: FactStore) -> DataFrame:

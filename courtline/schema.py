@@ -4,38 +4,96 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType()}
 
-
-def _struct(columns: str) -> T.StructType:
-    """``"name:s other:d"`` -> StructType of nullable fields."""
-    pairs = (c.split(":") for c in columns.split())
-    return T.StructType([T.StructField(name, _TYPES[code], True) for name, code in pairs])
+def _struct(columns: dict[str, str]) -> T.StructType:
+    """Nullable fields; no session is needed to build them, unlike with a DDL string."""
+    fields = T.StructType()
+    for name, kind in columns.items():
+        fields.add(name, kind)
+    return fields
 
 
 # The 16 columns of the raw feed, in file order.
 RAW_EVENTS = _struct(
-    "gameid:s period:i clock:s h_pts:d a_pts:d team:s playerid:s player:s type:s "
-    "subtype:s result:s x:d y:d dist:d desc:s season:i"
+    {
+        "gameid": "string",
+        "period": "integer",
+        "clock": "string",
+        "h_pts": "double",
+        "a_pts": "double",
+        "team": "string",
+        "playerid": "string",
+        "player": "string",
+        "type": "string",
+        "subtype": "string",
+        "result": "string",
+        "x": "double",
+        "y": "double",
+        "dist": "double",
+        "desc": "string",
+        "season": "integer",
+    }
 )
 
 # The four fact tables. `season` is the partition column and comes last.
 FACT_SCHEMAS = {
     "fact_shots": _struct(
-        "shooter:s team:s x:d y:d shot_zone:s made_flag:i shot_value:i is_clutch:i period:i "
-        "seconds_remaining:d score_margin:d season:i"
+        {
+            "shooter": "string",
+            "team": "string",
+            "x": "double",
+            "y": "double",
+            "shot_zone": "string",
+            "made_flag": "integer",
+            "shot_value": "integer",
+            "is_clutch": "integer",
+            "period": "integer",
+            "seconds_remaining": "double",
+            "score_margin": "double",
+            "season": "integer",
+        }
     ),
     "fact_possessions": _struct(
-        "possession_id:s gameid:s team:s possession_length:d points_scored:l is_clutch:i "
-        "possession_result:s season:i"
+        {
+            "possession_id": "string",
+            "gameid": "string",
+            "team": "string",
+            "possession_length": "double",
+            "points_scored": "long",
+            "is_clutch": "integer",
+            "possession_result": "string",
+            "season": "integer",
+        }
     ),
     "fact_team_metrics": _struct(
-        "team:s is_clutch:i games_played:l total_possessions:l points_scored:l def_possessions:l "
-        "points_allowed:l three_pt_attempts:l rim_attempts:l midrange_attempts:l total_fga:l "
-        "season:i"
+        {
+            "team": "string",
+            "is_clutch": "integer",
+            "games_played": "long",
+            "total_possessions": "long",
+            "points_scored": "long",
+            "def_possessions": "long",
+            "points_allowed": "long",
+            "three_pt_attempts": "long",
+            "rim_attempts": "long",
+            "midrange_attempts": "long",
+            "total_fga": "long",
+            "season": "integer",
+        }
     ),
     "fact_player_metrics": _struct(
-        "player:s is_clutch:i pts:l fga:l fgm:l fg3m:l fg3a:l fta:l tov:l season:i"
+        {
+            "player": "string",
+            "is_clutch": "integer",
+            "pts": "long",
+            "fga": "long",
+            "fgm": "long",
+            "fg3m": "long",
+            "fg3a": "long",
+            "fta": "long",
+            "tov": "long",
+            "season": "integer",
+        }
     ),
 }
 
@@ -62,7 +120,8 @@ CLUTCH_FIRST_PERIOD, CLUTCH_MINUTES, CLUTCH_MARGIN = 4, 5, 5
 # Weights of the efficiency formulas.
 FREE_THROW_WEIGHT, THREE_BONUS = 0.44, 0.5
 
-# Named eras as (first season, last season), both inclusive.
+# Named eras as (first season, last season), both inclusive. Each may also be named with
+# its seasons behind, as in "2000s (2000-2009)".
 ERAS = {
     "All Time": (1997, 2026),
     "Late 90s": (1997, 1999),

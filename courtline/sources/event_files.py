@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import posixpath
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +14,8 @@ from ..schema import RAW_EVENTS
 
 # Fixed value: monotonically_increasing_id counts the rows of a task in its lower 33 bits.
 ROW_BITS = (1 << 33) - 1
+# File names sent to all tasks: some 20 MB at most.
+FILES_SENT = 100_000
 # Only the event files: metadata files that lie in the same folder are not events.
 DEFAULT_PATH = "data/raw/play_by_play*.csv"
 
@@ -27,10 +33,12 @@ def ingest_data(
     ``check_header`` a file whose header does not name the 16 columns fails instead of being read
     by position.
 
-    ``event_seq`` is the place of a row: its file, and its position there (start of the split plus
-    row number). A split has more bytes than rows, so positions of one file are unique and follow
-    the file whatever its splits. Files are told apart by a hash of their path, which is narrower
-    than the path. It is taken at the scan and must be kept with the rows from there on.
+    ``event_seq`` is the place of a row: the number of its file, and its position there (start of
+    the split plus row number). A split has more bytes than rows, so positions of one file are
+    unique and follow the file whatever its splits. Files are numbered by their names below the
+    folder that holds them all, numbers within names by value ("part_2" before "part_10"), so the
+    order does not depend on where the folder lies. It is taken at the scan and must be kept with
+    the rows from there on.
     """
     rows = (
         spark.read.schema(RAW_EVENTS)
@@ -39,8 +47,43 @@ def ingest_data(
         .csv(data_path)
     )
     row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
-    place = F.struct(
-        F.xxhash64("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") + row_of_task).alias("position"),
+    placed = rows.withColumns(
+        {
+            "_path": _plain_path(F.col("_metadata.file_path")),
+            "_position": F.col("_metadata.file_block_start") + row_of_task,
+        }
+    )
+    numbers = file_numbers(rows.inputFiles())
+    # The driver lists these names anyway. Up to a bound they go to all tasks, beyond it by a shuffle.
+    files = spark.createDataFrame(
+        list(numbers.items()) or [("", 0)], "_file_path string, _file_number int"
     )
-    return rows.withColumn("event_seq", place)
+    if len(numbers) <= FILES_SENT:
+        files = F.broadcast(files)
+    named = placed.join(files, F.col("_path") == F.col("_file_path"), "left")
+    number = F.coalesce("_file_number", F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int"))
+    place = F.struct(number.alias("file"), F.col("_position").alias("position"))
+    return named.withColumn("event_seq", place).select(*RAW_EVENTS.fieldNames(), "event_seq")
+
+
+def _plain_path(path: Column) -> Column:
+    """Without scheme, with single slashes in front and percent codes resolved."""
+    bare = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    # A plus sign stands for itself in a path.
+    return F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
+
+
+def natural_key(name: str) -> list[tuple]:
+    """Digits compare by value, other characters by code point."""
+    parts = re.findall(r"[0-9]+|[^0-9]+", name)
+    return [(0, int(p), p) if p[0].isdigit() else (1, 0, p) for p in parts]
+
+
+def file_numbers(paths: list[str]) -> dict[str, int]:
+    """Dense numbers of the files by their names relative to the folder that holds them all."""
+    plain = {re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", unquote(p)) for p in paths}
+    if not plain:
+        return {}
+    top = posixpath.commonpath([posixpath.dirname(p) for p in plain])
+    ordered = sorted(plain, key=lambda p: natural_key(posixpath.relpath(p, top)))
+    return {p: i for i, p in enumerate(ordered)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import FACT_SCHEMAS
 
@@ -16,6 +17,8 @@ CLUSTERING = {
     "fact_player_metrics": ("player",),
 }
 
+RANGED = ("fact_shots",)
+
 
 class FactStore:
     """Fact tables under one root path."""
@@ -46,14 +49,20 @@ class FactStore:
         """Replace the table, or with ``overwrite="dynamic"`` only the seasons in ``rows``.
 
         The rebalance gathers a season into files of the advisory size and splits large seasons,
-        instead of one small file per task and season.
+        instead of one small file per task and season. Shots are dealt out by ranges of season and
+        shooter instead, so that in a season of many files one player's shots lie in few of them;
+        a hash of the row splits a shooter, or NULL, that fills a range alone.
         """
         if overwrite not in ("static", "dynamic"):
             raise ValueError(f"overwrite must be static or dynamic, not {overwrite!r}")
+        named = rows.select(*FACT_SCHEMAS[table].fieldNames())
+        if table in RANGED:
+            spread = F.xxhash64(*named.columns)
+            dealt = named.repartitionByRange("season", *CLUSTERING[table], spread)
+        else:
+            dealt = named.hint("rebalance", "season")
         (
-            rows.select(*FACT_SCHEMAS[table].fieldNames())
-            .hint("rebalance", "season")
-            .sortWithinPartitions("season", *CLUSTERING[table])
+            dealt.sortWithinPartitions("season", *CLUSTERING[table])
             .write.option("partitionOverwriteMode", overwrite)
             .partitionBy("season")
             .mode("overwrite")

@@ -11,13 +11,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtline import schema as S
 from courtline.operators import adhoc, clean, possessions, reshape, serving, shots, team
 from courtline.operators.game_order import profile_games
-from courtline.plans import pipeline
+from courtline.plans import pages, pipeline
 from courtline.plans.staging import Staging
 from courtline.sources.event_files import ingest_data
 from courtline.sources.fact_store import FactStore
@@ -37,6 +37,8 @@ class Frames:
     spark: SparkSession
     sf_dir: str
     _store: FactStore | None = field(default=None, repr=False)
+    _csv_store: FactStore | None = field(default=None, repr=False)
+    _stagings: list[Staging] = field(default_factory=list, repr=False)
 
     @cached_property
     def events(self) -> DataFrame:
@@ -62,14 +64,41 @@ class Frames:
     def facts(self) -> dict[str, DataFrame]:
         return pipeline.fact_frames(self.events, self.profile)
 
+    def folder(self) -> str:
+        """A folder that goes with ``release``."""
+        self._stagings.append(Staging(self.spark))
+        return self._stagings[-1].root
+
+    def release(self) -> None:
+        """Drop whatever was written for these frames; they write it again when asked."""
+        while self._stagings:
+            self._stagings.pop().drop()
+        self._store = self._csv_store = None
+
     @property
     def store(self) -> FactStore:
         if self._store is None:
-            root = Staging(self.spark).root
+            root = self.folder()
             pipeline.run_pipeline(self.spark, self.events, root)
             self._store = FactStore(self.spark, root)
         return self._store
 
+    def csv_files(self) -> str:
+        """The feed as three CSV files, events in their order."""
+        root = f"{self.folder()}/feed"
+        ordered = self.events.repartitionByRange(3, "event_seq").sortWithinPartitions("event_seq")
+        ordered.select(*_RAW).write.option("header", True).csv(root)
+        return root
+
+    @property
+    def csv_store(self) -> FactStore:
+        """Facts from CSV files, as users build them."""
+        if self._csv_store is None:
+            root = self.folder()
+            pipeline.run_pipeline(self.spark, f"{self.csv_files()}/*.csv", root)
+            self._csv_store = FactStore(self.spark, root)
+        return self._csv_store
+
     def read(self, table: str) -> DataFrame:
         return self.store.read(table)
 
@@ -121,20 +150,23 @@ _RAW_FROM_CSV = ", ".join(
 
 
 def _csv_round_trip(f: Frames) -> DataFrame:
-    path = f"{Staging(f.spark).root}/play_by_play.csv"
-    f.events.select(*_RAW).write.option("header", True).csv(path)
-    return ingest_data(f.spark, f"{path}/*.csv").select(*_RAW)
+    """The 16 columns and the rank of each event's place: files in order, rows in order."""
+    scanned = ingest_data(f.spark, f"{f.csv_files()}/*.csv")
+    return scanned.withColumn("event_rank", F.row_number().over(Window.orderBy("event_seq"))).drop("event_seq")
 
 
 register(
     "src_csv_scan",
     _csv_round_trip,
-    O.sql(f"select {_RAW_FROM_CSV} from pbp", upto="pbp"),
+    O.sql(
+        f"select {_RAW_FROM_CSV}, row_number() over (order by event_seq)::integer as event_rank from pbp",
+        upto="pbp",
+    ),
 )
 
 
 def _sink_round_trip(f: Frames) -> DataFrame:
-    store = FactStore(f.spark, Staging(f.spark).root)
+    store = FactStore(f.spark, f.folder())
     store.write("fact_possessions", f.facts["fact_possessions"])
     return store.read("fact_possessions")
 
@@ -162,6 +194,17 @@ register(
     ),
 )
 
+register(
+    "pipeline_csv_team_metrics",
+    lambda f: f.csv_store.read("fact_team_metrics"),
+    O.sql("select * from tm", upto="tm"),
+)
+register(
+    "pipeline_csv_possessions",
+    lambda f: f.csv_store.read("fact_possessions"),
+    O.sql(f"select {_POSS}, season from pws", upto="pws"),
+)
+
 # ---- cleaning --------------------------------------------------------------------------------
 
 
@@ -218,6 +261,23 @@ _event_columns(
     "seg as possession_id_game, possession_id",
     "segmented",
 )
+
+
+def _all_split(f: Frames) -> DataFrame:
+    """Every game through the plan for oversized games."""
+    profile = profile_games(f.events, hot_rows=0)
+    cleaned = clean.clean_events(f.events, profile)
+    return possessions.reconstruct_possessions(cleaned, profile)
+
+
+_event_columns(
+    "possessions_split_plan",
+    _all_split,
+    "h_pts_ff a_pts_ff prev_possession_team prev_period is_new_possession possession_id_game possession_id",
+    "h_ff as h_pts_ff, a_ff as a_pts_ff, prev_team as prev_possession_team, prev_period,"
+    " is_new as is_new_possession, seg as possession_id_game, possession_id",
+    "segmented",
+)
 _event_columns("poss_event_points", _marked, "points_scored_event", "pts_event as points_scored_event", "ev")
 register(
     "fact_possessions",
@@ -369,8 +429,27 @@ register(
 
 # ---- ad-hoc reports --------------------------------------------------------------------------
 
-register("preview_shots", lambda f: adhoc.preview(f.shots))
-register("preview_possessions", lambda f: adhoc.preview(f.read("fact_possessions")))
+
+
+def _some_of(part: DataFrame, whole: DataFrame) -> DataFrame:
+    """(n_rows, n_unknown): rows of an unordered limit, and how many of them are not in the table."""
+    unknown = part.exceptAll(whole).agg(F.count(F.lit(1))).scalar()
+    return part.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_unknown", unknown)
+
+
+def _some_sql(table: str, n: int, where: str = "true") -> str:
+    return O.sql(
+        f"select least(count(*), {n})::bigint as n_rows, 0::bigint as n_unknown from {table} where {where}",
+        upto=table,
+    )
+
+
+register("preview_shots", lambda f: _some_of(adhoc.preview(f.shots), f.shots), _some_sql("shots", 100))
+register(
+    "preview_possessions",
+    lambda f: _some_of(adhoc.preview(f.read("fact_possessions")), f.read("fact_possessions")),
+    _some_sql("pws", 100),
+)
 register(
     "topk_team_seasons",
     lambda f: adhoc.top_team_seasons(f.team_metrics),
@@ -437,7 +516,13 @@ register(
     lambda f: adhoc.player_stats_regular(f.player_metrics, PLAYER, FIRST, LAST),
     O.sql(_player_sql(f"player = '{PLAYER}' and is_clutch = 0"), upto="pm"),
 )
-register("shot_points_limited", lambda f: adhoc.shot_points_limited(f.shots, 2020, TEAM))
+register(
+    "shot_points_limited",
+    lambda f: _some_of(
+        adhoc.shot_points_limited(f.shots, 2020, TEAM), serving.team_shot_points(f.shots, TEAM, 2020, 2020)
+    ),
+    _some_sql("shots", 5000, f"season = 2020 and team = '{TEAM}' and is_clutch = 0"),
+)
 register(
     "player_shot_profile_regular",
     lambda f: adhoc.player_shot_profile_regular(f.shots, PLAYER, FIRST, LAST),
@@ -494,6 +579,17 @@ register(
         upto="tm",
     ),
 )
+register(
+    "efficiency_table",
+    lambda f: reshape.efficiency_table(_team_averages(f)),
+    O.sql(
+        "select team, "
+        + ", ".join(f"round(avg({c}), {2 if c.endswith('rate') else 1}) as {c}" for c in _RATE_NAMES)
+        + " from evo where team is not null group by team",
+        _TEAM_EVO,
+        upto="tm",
+    ),
+)
 register(
     "ortg_drtg_points",
     lambda f: _rounded(reshape.ratings_scatter(_team_averages(f))),
@@ -513,6 +609,24 @@ register(
         upto="shots",
     ),
 )
+register(
+    "shots_by_result_missed",
+    lambda f: reshape.shots_by_result(serving.team_shot_points(f.shots, None, FIRST, LAST), "Missed"),
+    O.sql(
+        f"""select x, y, made_flag, shot_zone, team, 'Missed' as "Result" from shots
+        where {_SEASONS} and made_flag = 0""",
+        upto="shots",
+    ),
+)
+register(
+    "shots_by_result_all",
+    lambda f: reshape.shots_by_result(serving.team_shot_points(f.shots, None, FIRST, LAST)),
+    O.sql(
+        f"""select x, y, made_flag, shot_zone, team,
+        case when made_flag = 1 then 'Made' else 'Missed' end as "Result" from shots where {_SEASONS}""",
+        upto="shots",
+    ),
+)
 register(
     "shot_distribution_long",
     lambda f: reshape.shot_distribution_long(_league(f)),
@@ -538,11 +652,52 @@ register(
         upto="tm",
     ),
 )
-register("shot_sample_fixed", lambda f: reshape.sample_points(serving.team_shot_points(f.shots, None, FIRST, LAST)))
-register("shot_chart_points", lambda f: reshape.shot_chart(serving.team_shot_points(f.shots, None, FIRST, LAST)))
 _CELL = (
     "least(floor(({0} - lo_{0}) / (hi_{0} - lo_{0}) * 25), 24)::integer as {0}_bin"
 )
+# The sample: an MD5 of row, seed and number of the copy gives each copy's place in the draw.
+_POINT = "x, y, made_flag, shot_zone, team"
+_TEXT = "concat_ws('|', '{seed}', {values}, {j})".format(
+    seed=S.SAMPLE_SEED,
+    values=", ".join(f"coalesce(cast({c} as varchar), '')" for c in _POINT.split(", ")),
+    j="cast(j as varchar)",
+)
+_DRAW = f"-ln((('0x' || substr(md5({_TEXT}), 1, 13))::bigint + 0.5::double) / {2**52}::double)"
+_SAMPLE = (
+    ("counted", f"select {_POINT}, count(*) as c from shots where {_SEASONS} group by all"),
+    ("copies", f"select *, unnest(range(1, least(c, {S.SAMPLE_POINTS}) + 1)) as j from counted"),
+    (
+        "drawn",
+        f"""select {_POINT}, sum({_DRAW} / (c - j + 1)) over (partition by {_POINT} order by j
+        rows unbounded preceding) as k from copies""",
+    ),
+    ("picked", f"select {_POINT} from drawn order by k, {_POINT} limit {S.SAMPLE_POINTS}"),
+)
+register(
+    "shot_sample_fixed",
+    lambda f: reshape.sample_points(serving.team_shot_points(f.shots, None, FIRST, LAST)),
+    O.sql(f"select {_POINT} from picked", *_SAMPLE, upto="shots"),
+)
+register(
+    "shot_chart_points",
+    lambda f: reshape.shot_chart(serving.team_shot_points(f.shots, None, FIRST, LAST)),
+    O.sql(
+        f"""select {_POINT}, case when made_flag = 1 then 'Made' else 'Missed' end as "Result",
+        x_bin, y_bin, count(*) over (partition by x_bin, y_bin) as "Density" from binned""",
+        *_SAMPLE,
+        (
+            "edges",
+            """select min(x) as lo_x, max(x) as hi_x, min(y) as lo_y, max(y) as hi_y from picked
+            where x is not null and y is not null""",
+        ),
+        (
+            "binned",
+            f"""select {_POINT}, {_CELL.format("x")}, {_CELL.format("y")} from picked, edges
+            where x is not null and y is not null""",
+        ),
+        upto="shots",
+    ),
+)
 register(
     "shot_density_grid",
     lambda f: reshape.density_grid(serving.team_shot_points(f.shots, None, FIRST, LAST)),
@@ -665,3 +820,101 @@ register(
         upto="tm",
     ),
 )
+
+# ---- branches and empty stores ---------------------------------------------------------------
+
+register(
+    "league_radar",
+    lambda f: _rounded(reshape.offensive_radar(reshape.league_average_label(_league(f)))),
+    O.sql(
+        " union all ".join(
+            f"""select 'League Average' as team, {i} as position, '{label}' as theta,
+            round(greatest(0.0, least(1.0, avg({c}) / {top}::double)), 6) as r from league"""
+            for i, (c, label, top) in enumerate(
+                (
+                    ("pace", "Pace", 110),
+                    ('"ORtg"', "ORtg", 120),
+                    ("three_point_rate", "3PT Rate", 0.6),
+                    ("rim_rate", "Rim Rate", 0.6),
+                    ("midrange_rate", "Midrange Rate", 0.6),
+                    ("pace", "Pace", 110),
+                )
+            )
+        ),
+        _LEAGUE_EVO,
+        upto="tm",
+    ),
+)
+register(
+    "pace_series_one_team",
+    lambda f: reshape.pace_series(
+        _league(f), serving.team_evolution(f.team_metrics, FIRST, LAST, teams=TEAM, ordered=False)
+    ),
+    O.sql(
+        "select season, 'League Average' as series, pace from league"
+        " union all select season, 'Team Pace', pace from one",
+        _LEAGUE_EVO,
+        ("one", _team_sql(f"team = '{TEAM}'")),
+        upto="tm",
+    ),
+)
+_MINE = f"shooter = '{PLAYER}' and {_LATE.format(8 * 60, 3)}"
+register(
+    "player_shot_points_clutch",
+    lambda f: serving.player_shot_points(f.shots, PLAYER, FIRST, LAST, True, 8, 3),
+    O.sql(f"select x, y, made_flag, shot_zone from shots where {_SEASONS} and {_MINE}", upto="shots"),
+)
+register(
+    "player_shot_profile_clutch",
+    lambda f: serving.player_shot_profile(f.shots, PLAYER, FIRST, LAST, True, 8, 3),
+    O.sql(_profile_sql(_LATE.format(8 * 60, 3)), upto="shots"),
+)
+_PICKED_ERA = "Pace & Space (2010-2015)"
+register(
+    "era_by_displayed_name",
+    lambda f: serving.league_evolution(f.team_metrics, *reshape.era_range(_PICKED_ERA)),
+    O.sql(
+        f"select season, {O.team_rates()} from tm where season between 2010 and 2015 group by season",
+        upto="tm",
+    ),
+)
+
+
+def _pages_of_nothing(f: Frames) -> DataFrame:
+    """(page, rows) over a store that was never built, beside the rows of the store that was."""
+    empty = FactStore(f.spark, f"{f.folder()}/none")
+    sizes = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"{page}.{name}").alias("frame"), "n_rows")
+        for page, frames_ in (
+            ("team", pages.team_page(empty, FIRST, LAST)),
+            ("player", pages.player_page(empty, PLAYER, FIRST, LAST)),
+        )
+        for name, df in frames_.items()
+    ]
+    teams = serving.all_teams(f.team_metrics).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = teams.select(F.lit("teams of the built store").alias("frame"), "n_rows")
+    for size in sizes:
+        out = out.unionByName(size)
+    return out
+
+
+_EMPTY_FRAMES = (
+    "team.shot_distribution", "team.pace", "team.shot_chart", "team.radar", "team.ratings",
+    "team.efficiency_table", "player.efficiency", "player.shot_profile", "player.career",
+    "player.shot_chart",
+)
+register(
+    "pages_of_an_empty_store",
+    _pages_of_nothing,
+    O.sql(
+        "select 'teams of the built store' as frame, count(distinct team)::bigint as n_rows from tm"
+        + "".join(f" union all select '{x}', 0::bigint" for x in _EMPTY_FRAMES),
+        upto="tm",
+    ),
+)
+
+
+def release() -> None:
+    """Drop what the registered queries wrote."""
+    for f in _FRAMES.values():
+        f.release()

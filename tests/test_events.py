@@ -145,7 +145,7 @@ def test_three_point_rules_differ_on_running_totals(spark):
 
 def test_empty_input_keeps_the_schema(spark):
     empty = events(spark, [])
-    cleaned = clean_events(empty)
+    cleaned = clean_events(empty, PLAIN)
     assert cleaned.count() == 0
     assert {"seconds_remaining", "score_margin", "assister", "is_clutch"} <= set(cleaned.columns)
     assert build_fact_shots(classify_shots(cleaned)).count() == 0

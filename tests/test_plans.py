@@ -9,10 +9,13 @@ from courtline.operators.game_order import GameProfile
 from courtline.operators.possessions import build_fact_possessions, reconstruct_possessions
 from courtline.operators.shots import build_fact_shots, classify_shots
 from courtline.operators.team import game_sides
-from courtline.plans.pipeline import fact_frames, mark_events, measure_events
+from courtline.plans.pipeline import fact_frames, mark_events, measure_events, seasonal_possessions
+from courtline.plans.staging import Staging
 from fixtures import catalog
 
-PROFILE = GameProfile((), True)
+from .helpers import rows
+
+PROFILE = GameProfile(None, True)
 
 
 def plan(df) -> str:
@@ -39,6 +42,19 @@ def test_possessions_with_season_skip_the_join(frames):
     assert "Join" not in text and len(exchanges(text)) == 1
 
 
+def test_possessions_of_the_pipeline_need_no_second_shuffle(spark, frames):
+    staging = Staging(spark)
+    try:
+        marked = staging.keep(mark_events(measure_events(frames.events), PROFILE), "marked", "gameid", 8)
+        facts = seasonal_possessions(marked, PROFILE)
+        assert exchanges(plan(facts)) == []
+        assert rows(facts, "possession_id", "season") == rows(
+            frames.facts["fact_possessions"], "possession_id", "season"
+        )
+    finally:
+        staging.drop()
+
+
 def test_free_text_stays_below_the_shuffle(frames):
     text = plan(mark_events(measure_events(frames.events), PROFILE))
     above = text.split("Exchange")[0]

@@ -1,6 +1,7 @@
 """Possessions: goldens, the split plan against the per-game plan, and conservation laws."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courtline.operators import game_order
@@ -60,7 +61,7 @@ def test_null_game_has_bare_numbers_and_no_season(spark):
     assert [r[0] for r in rows(facts, "possession_id")] == ["0", "1", "2", "3"]
     dated = possessions_with_season(facts, game_season_dim(tied_game(spark, gameid=None)))
     assert {r.season for r in dated.collect()} == {None}
-    frames = fact_frames(tied_game(spark, gameid=None))
+    frames = fact_frames(tied_game(spark, gameid=None), PLAIN)
     assert {r.season for r in frames["fact_possessions"].collect()} == {None}
 
 
@@ -73,14 +74,14 @@ def test_score_wins_over_turnover(spark):
 def test_game_under_two_seasons_counts_in_both(spark):
     two = tied_game(spark).withColumn("season", F.when(F.col("event_seq") < 4, 2023).otherwise(2024))
     assert not profile_games(two).one_season_per_game
-    got = fact_frames(two)["fact_possessions"]
+    got = fact_frames(two, profile_games(two))["fact_possessions"]
     assert got.count() == 8 and rows(got.select("season").distinct(), "season") == [(2023,), (2024,)]
 
 
 def test_partly_undated_game_takes_the_join(spark):
     part = tied_game(spark).withColumn("season", F.when(F.col("event_seq") < 4, 2023))
     assert not profile_games(part).one_season_per_game
-    assert rows(fact_frames(part)["fact_possessions"].select("season").distinct(), "season") == [(None,), (2023,)]
+    assert rows(fact_frames(part, profile_games(part))["fact_possessions"].select("season").distinct(), "season") == [(None,), (2023,)]
 
 
 def _awkward(spark, frames):
@@ -96,16 +97,20 @@ def _awkward(spark, frames):
     )
 
 
+def hot_ids(spark, *ids):
+    return spark.createDataFrame([(g,) for g in ids], "gameid string")
+
+
 @pytest.mark.parametrize("chunk, broadcast", [(3, "-1"), (1_000_000, "10m")])
 def test_split_plan_equals_per_game_plan(spark, frames, monkeypatch, chunk, broadcast):
     monkeypatch.setattr(game_order, "CHUNK_ROWS", chunk)
     raw = _awkward(spark, frames)
-    split = GameProfile(hot_games=("G00001", "G00002", "G00003", None), one_season_per_game=True)
+    split = GameProfile(hot_ids(spark, "G00001", "G00002", "G00003", None), one_season_per_game=True)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         columns = ("h_pts_ff", "a_pts_ff", "is_clutch", *MARKS)
         assert rows(marked(raw, split), *columns) == rows(marked(raw), *columns)
-        ours, plain = fact_frames(raw, split), fact_frames(raw, GameProfile((), True))
+        ours, plain = fact_frames(raw, split), fact_frames(raw, GameProfile(None, True))
         for table, schema in FACT_SCHEMAS.items():
             names = schema.fieldNames()
             assert rows(ours[table], *names) == rows(plain[table], *names), table
@@ -119,7 +124,7 @@ def test_split_plan_orders_struct_event_numbers(spark, frames, monkeypatch):
         "event_seq", F.struct(F.lit("f").alias("file"), F.lit(0).alias("split"), F.col("event_seq").alias("row"))
     )
     columns = ("event_seq.row", "h_pts_ff", "possession_team", "possession_id")
-    split = GameProfile(hot_games=("G00005", "G00006"))
+    split = GameProfile(hot_ids(spark, "G00005", "G00006"))
     assert rows(marked(raw, split), *columns) == rows(marked(raw), *columns)
 
 
@@ -128,9 +133,39 @@ def test_profile_finds_oversized_games(spark, frames):
     sizes = {r.gameid: r["count"] for r in raw.groupBy("gameid").count().collect()}
     limit = sorted(sizes.values())[-6]
     profile = profile_games(raw, hot_rows=limit)
-    assert set(profile.hot_games) == {g for g, n in sizes.items() if n > limit}
-    assert len(profile_games(raw, hot_rows=1, max_hot=3).hot_games) == 3
-    assert profile_games(raw).hot_games == ()
+    assert {r.gameid for r in profile.hot_games.collect()} == {g for g, n in sizes.items() if n > limit}
+    everything = profile_games(raw, hot_rows=0).hot_games
+    assert everything.count() == len(sizes)  # no bound on their number
+    assert profile_games(raw).hot_games is None
+
+
+@pytest.mark.parametrize("number", ["event_seq div 50", "if(event_seq > 9, event_seq, null)"])
+def test_repeated_and_unknown_event_numbers_are_refused(spark, frames, number):
+    with pytest.raises(ValueError, match="unique and not NULL"):
+        profile_games(frames.events.withColumn("event_seq", F.expr(number)))
+
+
+def test_number_repeated_in_other_games_is_fine(spark, frames):
+    place = F.row_number().over(Window.partitionBy("gameid").orderBy("event_seq"))
+    profile_games(frames.events.withColumn("event_seq", place))
+
+
+@pytest.mark.parametrize("seconds", [1, 60, 10_000])
+def test_segments_do_not_matter(spark, frames, monkeypatch, seconds):
+    monkeypatch.setattr(game_order, "SEGMENT_SECONDS", seconds)
+    monkeypatch.setattr(game_order, "CHUNK_ROWS", 2)
+    raw = _awkward(spark, frames)
+    split = profile_games(raw, hot_rows=0)
+    columns = ("h_pts_ff", "a_pts_ff", *MARKS)
+    assert rows(marked(raw, split), *columns) == rows(marked(raw), *columns)
+
+
+def test_no_window_of_the_split_plan_holds_a_game(spark, frames):
+    import re
+
+    text = marked(frames.events, profile_games(frames.events, hot_rows=0))._jdf.queryExecution().optimizedPlan().toString()
+    whole = [w for w in re.findall(r"Window \[[^\n]*", text.split("Join LeftSemi")[-1]) if "gameid" in w]
+    assert all("_seg" in w or "_tick" in w or "_chunk" in w for w in whole)
 
 
 def test_points_are_conserved(spark, frames):

@@ -186,6 +186,8 @@ def test_pace_series_names(spark):
     assert names(reshape.pace_series(league, one)) == {"League Average", "Team Pace"}
     assert names(reshape.pace_series(league, two)) == {"League Average", "A", "B"}
     assert names(reshape.pace_series(league, one.limit(0))) == {"League Average"}
+    unnamed = one.unionByName(evolution(spark, [(2020, None, 61.0, 0.0, 0.0, 0.0, 0.0, 0.0)]))
+    assert names(reshape.pace_series(league, unnamed)) == {"League Average", "Team Pace"}
 
 
 def test_team_averages_and_table(spark):
@@ -219,6 +221,8 @@ def test_latest_seasons_are_independent(spark):
         ("TS%", 0.5, 0.55, "50.0%", "55.0%"),
         ("eFG%", 0.4, 0.45, "40.0%", "45.0%"),
     ]
+    alone = reshape.efficiency_compare(reshape.latest_efficiency(player, league.limit(0)))
+    assert rows(alone, "player", "league", "delta", "league_label")[0][1:] == (None, None, None)
     nobody = reshape.latest_efficiency(player.limit(0), league)
     assert reshape.efficiency_compare(nobody).count() == 0
 
@@ -238,4 +242,7 @@ def test_eras(spark):
         ("Modern NBA", 2016, 2016, 3.0),
         ("Pace & Space", 2012, 2012, 4.0),
     ]
-    assert reshape.era_range("2000s") == (2000, 2009) and reshape.era_range("?") == (1997, 2026)
+    assert reshape.era_range("2000s") == reshape.era_range("2000s (2000-2009)") == (2000, 2009)
+    assert reshape.era_range("All Time") == (1997, 2026)
+    with pytest.raises(ValueError, match="unknown era"):
+        reshape.era_range("2000s (1997-2026)")

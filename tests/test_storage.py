@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from courtline.operators import serving
 from courtline.plans.pages import player_page, team_page
 from courtline.plans.pipeline import run_pipeline, table_counts
-from courtline.plans.staging import Staging, work_dir
+from courtline.plans.staging import STAGED_BYTES_PER_PARTITION, Staging, partitions_for, work_dir
 from courtline.schema import FACT_SCHEMAS, RAW_EVENTS
 from courtline.sources.event_files import get_raw_schema, ingest_data
 from courtline.sources.fact_store import FactStore
@@ -128,10 +128,51 @@ def test_staging_lives_in_the_shared_folder_and_is_removed(spark):
     assert staging.root.startswith(spark.conf.get("spark.checkpoint.dir")) and work_dir(spark) in staging.root
     kept = staging.keep(tied_game(spark), "game")
     assert kept.count() == 7 and os.path.isdir(staging.root)
+    assert 0 < staging.bytes("game") < 100_000
     staging.drop()
     assert not os.path.exists(staging.root)
 
 
+def test_shuffles_follow_the_bytes_that_were_staged(spark, frames):
+    staging = Staging(spark)
+    try:
+        # An optimizer multiplies the sizes of the two sides of this join; the staged bytes do not.
+        joined = frames.events.join(frames.events.select("event_seq").distinct(), "event_seq")
+        staging.keep(joined, "joined")
+        assert partitions_for(spark, staging.bytes("joined")) == 8
+    finally:
+        staging.drop()
+    assert partitions_for(spark, 1000 * STAGED_BYTES_PER_PARTITION) == 1000
+
+
+@pytest.mark.parametrize("folder", ["a", "b", "deep/er", "z 9"])
+def test_event_order_does_not_depend_on_the_folder(spark, tmp_path, folder):
+    source = tmp_path / folder
+    source.mkdir(parents=True)
+    for name, first in (("part_10.csv", 20), ("part_2.csv", 10), ("part_1.csv", 0)):
+        lines = [HEADER, *(_line(i) for i in range(first, first + 10))]
+        (source / name).write_text("\n".join(lines))
+    ordered = ingest_data(spark, str(source)).orderBy("event_seq").select("desc", "event_seq.file").collect()
+    assert [r.desc for r in ordered] == [f"row {i}" for i in range(30)]
+    assert [r.file for r in ordered] == [0] * 10 + [1] * 10 + [2] * 10
+
+
+def test_a_players_shots_lie_in_few_files_of_a_split_season(spark, tmp_path):
+    store, schema = FactStore(spark, str(tmp_path)), FACT_SCHEMAS["fact_shots"]
+    shots = spark.range(20_000).selectExpr("concat('P', id % 50) as shooter", "double(id) as x")
+    for field in schema:
+        if field.name not in shots.columns:
+            shots = shots.withColumn(field.name, F.lit(1).cast(field.dataType))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.write("fact_shots", shots)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = store.read("fact_shots").select("shooter", F.input_file_name().alias("f")).distinct().groupBy("shooter").count()
+    assert len([f for f in os.listdir(store.path("fact_shots") + "/season=1") if f.endswith(".parquet")]) == 8
+    assert files.agg(F.max("count")).first()[0] <= 2
+
+
 def test_counts(frames):
     got = dict(rows(table_counts(frames.store), "table_name", "n_rows"))
     assert got == {"fact_shots": 3988, "fact_possessions": 4333, "fact_team_metrics": 106, "fact_player_metrics": 400}
