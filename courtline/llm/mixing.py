@@ -73,6 +73,10 @@ def rate(most: int = MOST) -> Column:
     return F.least(F.lit(float(most)), F.exp(F.least(F.coalesce(power, F.lit(99.0)), F.lit(99.0))))
 
 
+def _exact_sum(c: Column) -> Column:
+    return F.sum(c.cast("decimal(28,6)")).cast("double")
+
+
 def multipliers(sized: DataFrame, targets: DataFrame, most: int = MOST) -> DataFrame:
     """(source, source_size, target, mean_size, multiplier) by Newton on log(words taken).
 
@@ -97,7 +101,8 @@ def multipliers(sized: DataFrame, targets: DataFrame, most: int = MOST) -> DataF
         at = lookup(sizes, state.filter("multiplier is not null").select("source", "mean_size", "multiplier"), ["source"])
         words = F.col("n") * F.col("size") * rate(most)
         moving = F.when(rate(most) < most, words * F.col("size") / F.col("mean_size")).otherwise(0.0)
-        taken = small(at.groupBy("source").agg(F.sum(words).alias("_taken"), F.sum(moving).alias("_slope")))
+        # Decimal sums do not depend on the order of rows, so reruns take the same steps.
+        taken = small(at.groupBy("source").agg(_exact_sum(words).alias("_taken"), _exact_sum(moving).alias("_slope")))
         now = lookup(state, taken, ["source"])
         m, too_few = F.col("multiplier"), F.col("_taken") < F.col("target")
         now = now.withColumns(
