@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import lookup, small, text_batches
 from .shingles import text_slices
-from .wordcache import WordCache
+from .wordcache import worker_cache
 
 END_ID = 2
 #: Text bytes per file, about.
-FILE_BYTES = 48_000_000
+FILE_BYTES = 32_000_000
 _HEAD, _TAIL, _META = "<QI", "<I", "<qBB"
 
 
@@ -76,7 +76,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer_path)
+        cache = worker_cache(tokenizer_path)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for first, last, _, _ in text_slices(texts):

@@ -1,4 +1,4 @@
-"""Encoding of many texts with a word-level tokenizer: every distinct word is encoded once per task.
+"""Encoding of many texts with a word-level tokenizer: every distinct word is encoded once per worker.
 
 For tokenizers that compose characters (NFC), lower their case, take white space as a break and drop it,
 break between letters and other characters and mark the end of a word in its last token, the ids of a
@@ -11,13 +11,15 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import unicodedata
 from itertools import chain
 
 import numpy as np
 
-#: Distinct words held in a task; when there are more, the cache starts anew.
-HELD_WORDS = 800_000
+#: Distinct words held; when there are more, the cache starts anew.
+HELD_WORDS = 600_000
 #: A mark behind a letter, where the tokenizer breaks too; the apostrophe may begin a contraction.
 _MARK = re.compile(r"(?<=[^\W\d_])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~])")
 
@@ -46,6 +48,15 @@ def one_word(word: str) -> bool:
     return word.isascii() or ("İ" not in word and unicodedata.is_normalized("NFC", word))
 
 
+def worker_cache(tokenizer_path: str) -> WordCache:
+    """The cache of this Python worker, which later tasks of the worker find filled."""
+    name = "_llm_word_cache"  # functions come to a worker by value, so its modules are where it lasts
+    module = sys.modules.setdefault(name, types.ModuleType(name))
+    if getattr(module, "path", None) != tokenizer_path:
+        module.path, module.cache = tokenizer_path, WordCache(tokenizer_path)
+    return module.cache
+
+
 class WordCache:
     def __init__(self, tokenizer_path: str, held: int = HELD_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -101,13 +112,17 @@ class WordCache:
         if len(self.codes) > self.held:
             self._clear()
         split = [plain(t).split(" ") for t in texts]
-        new = set().union(*split).difference(self.codes)
+        met = set().union(*split)
+        new = met.difference(self.codes)
         if new:
             self._add(new)
+        # All words look up a table of these texts' words, which fits a processor's cache; only distinct
+        # ones look up the large table.
+        codes = np.fromiter(map(self.codes.__getitem__, met), np.int64, len(met))
+        place = dict(zip(met, range(len(met))))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        codes = np.fromiter(
-            map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())
-        )
+        words = map(place.__getitem__, chain.from_iterable(split))
+        codes = codes[np.fromiter(words, np.int64, int(counts.sum()))]
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
