@@ -114,8 +114,11 @@ def lookup(
     return joined.drop(*renamed.values(), *(x for pair in extra for x in pair))
 
 
-def having(df: DataFrame, key: str, ids: DataFrame, limit: int = 2_000_000) -> DataFrame:
-    """Rows of ``df`` whose key, NULL included, is in the staged one-column table ``ids`` of numbers.
+def having(
+    df: DataFrame, key: str, ids: DataFrame, limit: int = 2_000_000, how: str = "semi"
+) -> DataFrame:
+    """Rows of ``df`` whose key, NULL included, is in the staged one-column table ``ids`` of numbers, or
+    with how="anti" is not.
 
     Up to ``limit`` ids (16 MB of numbers) are broadcast; more are joined by a shuffle.
     """
@@ -124,7 +127,7 @@ def having(df: DataFrame, key: str, ids: DataFrame, limit: int = 2_000_000) -> D
     right = ids.select(F.col(name).alias(other)).distinct()
     if ids.limit(limit + 1).count() <= limit:
         right = F.broadcast(right)
-    return df.join(right, df[key].eqNullSafe(right[other]), "semi")
+    return df.join(right, df[key].eqNullSafe(right[other]), how)
 
 
 def global_positions(

@@ -3,11 +3,11 @@
 A byte is removed when a string of LENGTH bytes that covers it also starts in a document with a smaller
 doc_id. Strings are judged on the input.
 
-Every window of LENGTH bytes has an anchor, the GRAM-byte string within it that has the smallest hash, so
+Copies of whole texts go first. Every window of LENGTH bytes has an anchor, the GRAM-byte string within it that has the smallest hash, so
 equal windows have equal anchors. A document is a row of fragments, the windows of one anchor together, a
 few dozen bytes longer than LENGTH at most. Fragments are dealt out by anchor. Anchors of one document
-only are dropped; where all fragments of an anchor are equal, the smallest doc_id stands for all their
-windows. The other anchors are buckets: the suffixes of their different fragments are ordered by the
+only are dropped; a fragment that shares no half with a different one of its anchor repeats as a whole or
+not at all. The others are buckets: the suffixes of their different fragments are ordered by the
 grouping construction in ``suffixes``, neighbours in the suffix array that agree in LENGTH bytes form the
 runs of equal windows, and the smallest doc_id of a run removes the window from all other documents.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import Workspace, global_positions, having, shuffle_parts, small, stage, text_batches
@@ -37,6 +37,7 @@ from .suffixes import suffix_arrays
 
 LENGTH = 50
 GRAM = 16
+HALF = (LENGTH - GRAM) // 2
 #: Windows hashed at once, and the bits for a place among their bytes.
 PART, PLACE_BITS = 8_000_000, 23
 #: Different fragments of one anchor that are ordered as one bucket.
@@ -46,23 +47,27 @@ SIDE_BY_SIDE = 2_000_000
 #: Bits for rows that share a doc_id, where any do.
 TIE_BITS = 20
 
-_FRAGMENT = "key bigint, ctx bigint, doc bigint, at bigint, shape int"
+#: A fragment's place and shape in one number.
+SHAPE_BITS = 12
+_FRAGMENT = "key bigint, ctx bigint, doc bigint, at bigint, halves int"
 
 
 # ---- fragments -------------------------------------------------------------------------------
 
 
 def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start, shape, anchor hash, content hash) of all fragments of a slice of texts; starts count
-    from the text's first byte, a fragment ends LENGTH - 1 bytes behind its last window's start, and shape
-    is the number of windows plus 64 times the anchor's place in the fragment.
+    """(row, start, shape, halves, anchor hash, content hash) of all fragments of a slice of texts; starts
+    count from the text's first byte, a fragment ends LENGTH - 1 bytes behind its last window's start, and
+    shape is the number of windows plus 64 times the anchor's place in the fragment. ``halves`` has 15 bits
+    each of what any window of the fragment holds at least one of, with the anchor: the HALF bytes before it
+    and those behind it; 0 where no window needs them.
 
     A slice is taken in parts of at most PART windows, so that a place fits the bits that it shares with
     the hash in the search for the smallest; a fragment that a part's end cuts is two.
     """
     parts = [_part(data, offsets, i) for i in range(0, max(len(data) - LENGTH + 1, 0), PART)]
     if not parts:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -99,7 +104,15 @@ def _part(whole: np.ndarray, offsets: np.ndarray, base: int) -> tuple[np.ndarray
     shape = (anchor - first) << 6 | count
     content = span_hash(sums, first, first + count + LENGTH - 1)
     content = mix64(content + shape.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return row, first + base - offsets[row], shape, hashes[anchor], content
+    halves = np.zeros(len(first), np.int64)
+    for has, low, high, bits in (
+        (anchor - first >= HALF, anchor - HALF, anchor + GRAM, 16),
+        (anchor - first - count < HALF, anchor, anchor + GRAM + HALF, 0),
+    ):
+        at_ = np.flatnonzero(has)
+        code = (mix64(span_hash(sums, low[at_], high[at_])) >> np.uint64(50)).astype(np.int64) + 1
+        halves[at_] |= code << bits
+    return row, first + base - offsets[row], shape, halves, hashes[anchor], content
 
 
 def _fragment_rows(own: DataFrame) -> DataFrame:
@@ -107,13 +120,14 @@ def _fragment_rows(own: DataFrame) -> DataFrame:
         for batch in batches:
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_slices(batch.column(1)):
-                row, at, shape, key, ctx = fragments(data, offsets)
+                row, at, shape, halves, key, ctx = fragments(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)),
-                        pa.array(docs[first:last][row]), pa.array(at), pa.array(shape.astype(np.int32)),
+                        pa.array(docs[first:last][row]), pa.array(at << SHAPE_BITS | shape),
+                        pa.array(halves.astype(np.int32)),
                     ],
-                    ["key", "ctx", "doc", "at", "shape"],
+                    ["key", "ctx", "doc", "at", "halves"],
                 )
 
     return own.select("doc", "text").mapInArrow(cut, _FRAGMENT)
@@ -125,7 +139,7 @@ def _fragment_rows(own: DataFrame) -> DataFrame:
 def _texts_of(own: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
     """(key, ctx, shape, m, most, bytes): the classes with the bytes of their first fragment."""
     by_doc = classes.groupBy(F.col("first.doc").alias("doc")).agg(
-        F.collect_list(F.struct(F.col("first.at").alias("at"), "shape", "key", "ctx", "most")).alias("cuts")
+        F.collect_list(F.struct(F.col("first.at").alias("at"), "key", "ctx", "most")).alias("cuts")
     )
     wanted = work.stage(by_doc, "cuts")
     texts = having(own.select("doc", "text"), "doc", wanted.select("doc"))
@@ -136,12 +150,13 @@ def _texts_of(own: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
             for i in range(batch.num_rows):
                 doc, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_buffer().to_pybytes()
                 cuts = batch.column(2)[i].values
-                at, n = cuts.field(0).to_numpy(), cuts.field(1).to_numpy() & 63
+                at = cuts.field(0).to_numpy()
+                at, shape = at >> SHAPE_BITS, at & ((1 << SHAPE_BITS) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        cuts.field(2), cuts.field(3), cuts.field(1),
-                        pa.array(np.full(len(at), doc)), cuts.field(4),
-                        pa.array([text[a : a + k + LENGTH - 1] for a, k in zip(at, n)], pa.binary()),
+                        cuts.field(1), cuts.field(2), pa.array(shape.astype(np.int32)),
+                        pa.array(np.full(len(at), doc)), cuts.field(3),
+                        pa.array([text[a : a + k + LENGTH - 1] for a, k in zip(at, shape & 63)], pa.binary()),
                     ],
                     ["key", "ctx", "shape", "m", "most", "bytes"],
                 )
@@ -183,13 +198,12 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
 def _may_repeat(keys: np.ndarray, anchor: np.ndarray, n: np.ndarray, starts: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Fragments that share with another of their bucket what any window they had in common would hold:
     half of the bytes around the anchor before it, or half behind it."""
-    half = (LENGTH - GRAM) // 2
     sums = running_hash(data, _VALUES)
     place = starts + anchor
     keep = np.zeros(len(keys), bool)
     for has, low, high in (
-        (anchor >= half, place - half, place + GRAM),
-        (anchor - (n - 1) <= half, place, place + GRAM + half),
+        (anchor >= HALF, place - HALF, place + GRAM),
+        (anchor - n < HALF, place, place + GRAM + HALF),
     ):
         at = np.flatnonzero(has)
         code = mix64(span_hash(sums, low[at], high[at]) + mix64(keys[at].view(np.uint64)))
@@ -305,26 +319,51 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     return stage(held.join(numbers, "_row").select("doc", "doc_id", "text"), "numbered"), TIE_BITS
 
 
+def _copies(own: DataFrame) -> DataFrame:
+    """Staged (doc, n_bytes): documents of LENGTH bytes or more whose whole text a smaller one has. All of it
+    goes, so they need no fragments, and a group of copies, however large, is one document from here on."""
+    n = F.octet_length("text").cast("long").alias("n_bytes")
+    texts = own.select("doc", n, F.xxhash64("text").alias("_x"), F.xxhash64(F.reverse("text")).alias("_y"))
+    texts = stage(texts.filter(F.col("n_bytes") >= LENGTH), "texts")
+    keys = ["n_bytes", "_x", "_y"]
+    first = texts.groupBy(*keys).agg(F.min("doc").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    found = texts.join(first.filter("_n > 1"), keys).filter(F.col("doc") > F.col("_first"))
+    return stage(found.select("doc", "n_bytes"), "copies")
+
+
 def removed_intervals(own: DataFrame, work: Workspace, shift: int = 0) -> DataFrame:
     """(doc, a, b): bytes a to b, exclusive, of the document's text are covered by one repeated window."""
 
     def smaller(a: str, b: str) -> str:
         return f"shiftright({a}, {shift}) < shiftright({b}, {shift})" if shift else f"{a} < {b}"
 
-    under = Window.partitionBy("key")
-    extremes = {
-        "_first": F.min("doc").over(under), "_last": F.max("doc").over(under),
-        "_a": F.min("ctx").over(under), "_b": F.max("ctx").over(under),
-    }
-    shared = _fragment_rows(own).withColumns(extremes).filter(smaller("_first", "_last"))
-    shared = shared.withColumn("alike", F.expr("_a = _b"))
-    shared = work.stage(shared.select("key", "ctx", "doc", "at", "shape", "alike", "_first"), "shared")
-    # One kind of fragment: all its windows repeat the first document's.
-    plain = shared.filter("alike").filter(smaller("_first", "doc"))
-    intervals = plain.select("doc", F.col("at").alias("a"), F.expr(f"at + (shape & 63) + {LENGTH - 1}").alias("b"))
-    several = shared.filter("not alike")
+    def over(*keys: str) -> WindowSpec:
+        return Window.partitionBy("key", *keys)
+
+    # One shuffle by anchor serves all windows. Fragments are compared where another of the bucket may
+    # share a window with them: it has the same half.
+    rows = _fragment_rows(own).withColumns(
+        {"_first": F.min("doc").over(over()), "_last": F.max("doc").over(over())}
+    )
+    rows = rows.filter(smaller("_first", "_last")).withColumns(
+        {"_left": F.shiftright("halves", 16), "_right": F.col("halves").bitwiseAND(F.lit(0xFFFF))}
+    )
+    compare = F.lit(False)
+    for half in ("_left", "_right"):
+        differ = F.min("ctx").over(over(half)) != F.max("ctx").over(over(half))
+        compare |= (F.col(half) > 0) & differ
+    rows = rows.withColumns({"compare": compare, "_own": F.min("doc").over(over("ctx"))})
+    rows = rows.filter(F.col("compare") | F.expr(smaller("_own", "doc")))
+    named = [F.when(F.col("compare"), F.col(c)).alias(c) for c in ("key", "ctx")]
+    shared = work.stage(rows.select(*named, "doc", "at", "compare"), "shared")
+    # Those with nothing to be compared with: all windows repeat the first document's of this fragment.
+    start = F.shiftright("at", SHAPE_BITS)
+    plain = shared.filter("not compare")
+    length = F.col("at").bitwiseAND(F.lit(63)) + LENGTH - 1
+    intervals = plain.select("doc", start.alias("a"), (start + length).alias("b"))
+    several = shared.filter("compare")
     classes = several.groupBy("key", "ctx").agg(
-        F.min(F.struct("doc", "at")).alias("first"), F.any_value("shape").alias("shape"), F.max("doc").alias("most")
+        F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("most")
     )
     pieces = work.stage(_texts_of(own, classes, work), "pieces")
     pieces = pieces.dropDuplicates(["key", "ctx"]) if shift else pieces
@@ -337,7 +376,7 @@ def removed_intervals(own: DataFrame, work: Workspace, shift: int = 0) -> DataFr
         verdicts = _verdicts_of_buckets(usual).unionByName(_verdicts_of_windows(having(pieces, "key", large)))
     verdicts = work.stage(verdicts, "verdicts")
     met = several.join(verdicts, ["key", "ctx"]).filter(smaller("m", "doc"))
-    more = met.select("doc", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + LENGTH).alias("b"))
+    more = met.select("doc", (start + F.col("a")).alias("a"), (start + F.col("b") + LENGTH).alias("b"))
     return intervals.unionByName(more)
 
 
@@ -353,7 +392,9 @@ def _runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is binary."""
     text_batches(docs.sparkSession)
-    own, shift = _numbered(docs)
+    every, shift = _numbered(docs)
+    copies = _copies(every) if not shift else None
+    own = every if copies is None else having(every, "doc", copies.select("doc"), how="anti")
     with Workspace(docs.sparkSession) as work:
         cuts = removed_intervals(own, work, shift).groupBy("doc")
         cuts = stage(cuts.agg(F.collect_list(F.struct("a", "b")).alias("cuts")), "intervals")
@@ -378,13 +419,18 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     changed = touched.mapInArrow(cut, schema)
-    right = cuts.select(F.col("doc").alias("_cut"))
-    if right.limit(2_000_001).count() <= 2_000_000:
-        right = F.broadcast(right)
-    rest = own.join(right, own["doc"] == right["_cut"], "anti").select("doc_id", text)
+    rest = having(own, "doc", cuts.select("doc"), how="anti").select("doc_id", text)
     zero = F.lit(0).cast("long")
     same = rest.select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"),
         zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept"),
     )
-    return same.unionByName(changed)
+    out = same.unionByName(changed)
+    if copies is None:
+        return out
+    nothing = F.lit(b"").cast("binary")
+    gone = copies.select(
+        F.col("doc").alias("doc_id"), "n_bytes", F.col("n_bytes").alias("n_removed"),
+        F.lit(1).cast("long").alias("n_spans"), F.sha2(nothing, 256).alias("kept_sha256"), nothing.alias("kept"),
+    )
+    return out.unionByName(gone)
