@@ -230,12 +230,15 @@ def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
     counts, bins x bins rows at most, are joined is left to adaptive execution.
     """
     placed = _placed(points)
-    edges = placed.agg(F.struct(*(c.alias(n) for n, c in _edges().items())).alias("e")).scalar()
-    binned = _cells(
-        placed.withColumn("_e", edges), {n: F.col(f"_e.{n}") for n in _edges()}, bins
-    ).drop("_e")
-    counts = binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("Density"))
-    return binned.join(counts, ["x_bin", "y_bin"]).select(
+    places = placed.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_n"))
+    edges = places.agg(F.struct(*(c.alias(n) for n, c in _edges().items())).alias("e")).scalar()
+
+    def binned(rows: DataFrame) -> DataFrame:
+        known = {n: F.col(f"_e.{n}") for n in _edges()}
+        return _cells(rows.withColumn("_e", edges), known, bins).drop("_e")
+
+    counts = binned(places).groupBy("x_bin", "y_bin").agg(F.sum("_n").alias("Density"))
+    return binned(placed).join(counts, ["x_bin", "y_bin"]).select(
         *points.columns, "x_bin", "y_bin", "Density"
     )
 
