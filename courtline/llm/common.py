@@ -24,7 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="llm-shared-"))
+        if "dir" not in _OWN:
+            _OWN["dir"] = tempfile.mkdtemp(prefix="llm-shared-")
+        folder = _OWN["dir"]
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
