@@ -98,12 +98,16 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the words of a slice."""
-    inside = ~_IS_SPACE[data]
+    return spans(~_IS_SPACE[data], offsets)
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the runs of marked bytes within rows."""
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
     bounds = offsets[1:-1]
-    cut = bounds[(bounds > 0) & (bounds < len(data))]
+    cut = bounds[(bounds > 0) & (bounds < len(inside))]
     first[cut] = inside[cut]
     last[cut - 1] = inside[cut - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1

@@ -2,7 +2,8 @@
 
 For tokenizers that compose characters (NFC), lower their case, take white space as a break and drop it,
 break between letters and other characters and mark the end of a word in its last token, the ids of a
-text are those of its words put together. Words are split at spaces and newlines. Where that cannot change
+text are those of its words put together. Words are known by 64-bit hashes of their bytes, which numpy
+takes of all texts at once, and become strings only when they are new. Words are split at spaces and newlines. Where that cannot change
 the ids, case is lowered first and a mark behind a letter begins a word of its own, so that a word is one
 entry in all its guises.
 """
@@ -18,8 +19,10 @@ from itertools import chain
 
 import numpy as np
 
-#: Distinct words held; when there are more, the cache starts anew.
-HELD_WORDS = 600_000
+from .shingles import _VALUES, mix64, running_hash, span_hash, spans
+
+#: Distinct words held, some 50 bytes each; when there are more, the cache starts anew.
+HELD_WORDS = 2_000_000
 #: A mark behind a letter, where the tokenizer breaks too; the apostrophe may begin a contraction.
 _MARK = re.compile(r"(?<=[^\W\d_])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~])")
 
@@ -70,14 +73,13 @@ class WordCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.keys, self.codes = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, words
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lengths = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = self.words = 0
 
-    def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first, n = len(self.codes), len(words)
+    def _append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        first, n = self.words, len(lengths)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while len(self.starts) < first + n:
@@ -86,45 +88,53 @@ class WordCache:
         self.flat[self.used : self.used + len(ids)] = ids
         self.starts[first : first + n] = self.used + np.cumsum(lengths) - lengths
         self.lengths[first : first + n] = lengths
-        self.codes.update(zip(words, range(first, first + n)))
         self.used += len(ids)
+        self.words += n
 
-    def _add(self, words: set[str]) -> None:
-        letters = list(filter(one_word, words))
-        others = words.difference(letters)
-        if letters:
+    def _add(self, words: list[str], keys: np.ndarray) -> None:
+        letters = np.fromiter(map(one_word, words), bool, len(words))
+        if letters.any():
             # One text of them all, cut after the tokens that end a word.
-            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, np.uint32)
+            text = " ".join(w for w, plain_ in zip(words, letters) if plain_)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids])
-            if len(ends) == len(letters):
-                self._append(letters, ids, np.diff(ends, prepend=-1))
+            if len(ends) == letters.sum():
+                self._append(ids, np.diff(ends, prepend=-1))
             else:  # a letter to one library is none to the other
-                others = words
+                letters[:] = False
+        others = [w for w, plain_ in zip(words, letters) if not plain_]
         if others:
-            named = list(others)
-            ids = [e.ids for e in self.tokenizer.encode_batch(named, add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch(others, add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-            self._append(named, flat, lengths)
+            self._append(np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
+        # Words were appended letters first.
+        added = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        codes = np.empty(len(words), np.int64)
+        codes[added] = np.arange(self.words - len(words), self.words)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.codes = np.insert(self.keys, at, keys), np.insert(self.codes, at, codes)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, n + 1 bounds of each text's ids)."""
-        if len(self.codes) > self.held:
+        if self.words > self.held:
             self._clear()
-        split = [plain(t).split(" ") for t in texts]
-        met = set().union(*split)
-        new = met.difference(self.codes)
-        if new:
-            self._add(new)
-        # All words look up a table of these texts' words, which fits a processor's cache; only distinct
-        # ones look up the large table.
-        codes = np.fromiter(map(self.codes.__getitem__, met), np.int64, len(met))
-        place = dict(zip(met, range(len(met))))
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = map(place.__getitem__, chain.from_iterable(split))
-        codes = codes[np.fromiter(words, np.int64, int(counts.sum()))]
+        raw = [plain(t).encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        starts, ends, rows = spans(data != 0x20, offsets)
+        keys = span_hash(running_hash(data, _VALUES), starts, ends) + (ends - starts).astype(np.uint64)
+        distinct, first, of = np.unique(mix64(keys), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == distinct[inside]
+        if not known.all():
+            new = np.flatnonzero(~known)
+            whole = data.tobytes()
+            self._add([whole[starts[i] : ends[i]].decode() for i in first[new]], distinct[new])
+            at = np.searchsorted(self.keys, distinct)
+        codes = self.codes[at][of]
         lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
-        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.flat[np.repeat(self.starts[codes] - until[:-1], lengths) + np.arange(until[-1])]
+        return ids, until[np.searchsorted(rows, np.arange(len(texts) + 1))]
