@@ -41,7 +41,7 @@ HALF = (LENGTH - GRAM) // 2
 #: Windows hashed at once, and the bits for a place among their bytes.
 PART, PLACE_BITS = 8_000_000, 23
 #: Different fragments of one anchor that are ordered as one bucket.
-BUCKET = 64
+BUCKET = 256
 #: Bytes of buckets that a task orders side by side.
 SIDE_BY_SIDE = 2_000_000
 #: Bits for rows that share a doc_id, where any do.
@@ -289,10 +289,11 @@ def _verdicts_of_windows(pieces: DataFrame) -> DataFrame:
     each = pieces.select(
         "key", "ctx", "m", "most", F.posexplode(F.expr("sequence(1, shape & 63)")).alias("a", "_p"), "bytes"
     )
-    window = F.substring("bytes", F.col("_p"), LENGTH)
-    each = each.select("key", "ctx", "m", "most", F.col("a").cast("long").alias("a"), window.alias("w"))
+    # Windows meet by a hash, as fragments and anchors do.
+    window = F.xxhash64(F.substring("bytes", F.col("_p"), LENGTH)).alias("w")
+    each = each.select("key", "ctx", "m", "most", F.col("a").cast("long").alias("a"), window)
     least = each.groupBy("w").agg(F.min("m").alias("_least"), F.max("most").alias("_most")).filter("_least < _most")
-    hit = each.join(least, "w").filter("_least < most")
+    hit = each.drop("m").join(least.drop("_most"), "w").filter("_least < most")
     return hit.select("key", "ctx", "a", F.col("a").alias("b"), F.col("_least").alias("m"))
 
 
