@@ -2,9 +2,11 @@
 
 Addresses, card and phone numbers are found by fixed patterns (the base). The corpus then tells which other
 terms reveal them: for an entity e, a value that the base finds in several different texts, and a term t
-beside it, the pointwise mutual information log p(t, e) / (p(t) p(e)) over documents measures how much t
+of these texts, wherever it stands, the pointwise mutual information log p(t, e) / (p(t) p(e)) over documents measures how much t
 discloses of e, at most the information content -log p(e), which it reaches when t never occurs without
-e. A term that discloses DISCLOSED of the content is a span of its own, to be generalised.
+e. A term that discloses DISCLOSED of the content is a span of its own, to be generalised, at each of its
+places in the texts that hold the entity; with ``everywhere``, as operator 5 runs it, in all texts, as it
+reveals the entity above all where the value itself is not given.
 
 Probabilities are document frequencies over all documents; equal texts count once in p(t, e) and p(e), so
 copies give no support. A pair needs SUPPORT different texts: below, its frequency says nothing.
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, having, small, stage
+from .common import SPACES, having, lookup, small, stage
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = len(KINDS)
@@ -36,28 +38,21 @@ DOUBLE = r"(?<=[\x20-])[\x20-]|[\x20-](?=[\x20-])"
 DISCLOSED = 0.8
 #: Different texts in which term and entity must stand together.
 SUPPORT = 3
-#: Characters before and after an entity in which terms are looked for.
-CONTEXT = 80
+#: Terms are words of letters, with hyphens and apostrophes inside; numbers and addresses are the base's business.
+WORD = r"^(?=..)[\p{L}\p{M}]+(?:[-'\u2019][\p{L}\p{M}]+)*$"
 _MARKS = ".,;:!?()[]{}\"'|#*$%&<>-"
 # Values of the span kinds in sanitised text.
 GENERAL = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
 
 
 def _pieces(text: Column, kind: int, pattern: str) -> Column:
-    """Matches of a pattern with what stands before and after, in order."""
+    """Matches of a pattern and the length of what stands before each, in order."""
     parts = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    n = F.size(found)
-    tail = F.transform(F.slice(parts, 1, n), lambda x: F.substring(x, -CONTEXT, CONTEXT))
-    head = F.transform(F.slice(parts, 2, n), lambda x: F.substring(x, 1, CONTEXT))
-    lengths = F.transform(F.slice(parts, 1, n), lambda x: F.char_length(x))
-    zipped = F.arrays_zip(found.alias("value"), lengths.alias("gap"), tail.alias("left"), head.alias("right"))
+    lengths = F.transform(F.slice(parts, 1, F.size(found)), lambda x: F.char_length(x))
     return F.transform(
-        zipped,
-        lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("i"), x["value"].alias("value"),
-            x["gap"].alias("gap"), x["left"].alias("left"), x["right"].alias("right"),
-        ),
+        F.arrays_zip(found.alias("value"), lengths.alias("gap")),
+        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), x["value"].alias("value"), x["gap"].alias("gap")),
     )
 
 
@@ -87,10 +82,10 @@ def _valid() -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """Staged (_row, doc_id, text_hash, kind, start, end, value, left, right): a row per base span, and one
+    """Staged (_row, doc_id, text_hash, kind, start, end, value): a row per base span, and one
     with kind NULL for every document without any."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    none = F.array().cast("array<struct<kind:int,i:int,value:string,gap:int,left:string,right:string>>")
+    none = F.array().cast("array<struct<kind:int,i:int,value:string,gap:int>>")
     masked = F.regexp_replace(t, DOUBLE, "x")
     found = F.concat(
         F.when(t.contains("@"), _pieces(t, 0, EMAIL)).otherwise(none),
@@ -113,9 +108,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     length = F.char_length("value")
     end = F.sum(F.col("gap") + length).over(upto)
     placed = held.filter("kind is not null").withColumn("end", end).withColumn("start", F.col("end") - length)
-    valid = placed.filter(_valid()).select(
-        "_row", "doc_id", "text_hash", "kind", "start", "end", "value", "left", "right"
-    )
+    valid = placed.filter(_valid()).select("_row", "doc_id", "text_hash", "kind", "start", "end", "value")
     rest = held.filter("kind is null or i = 0").select("_row", "doc_id", "text_hash").distinct()
     bare = rest.join(valid.select(F.col("_row").alias("_of")).distinct(), F.col("_row") == F.col("_of"), "anti")
     empty = bare.select(
@@ -128,83 +121,89 @@ def _term(word: Column) -> Column:
     return F.btrim(F.lower(word), F.lit(_MARKS))
 
 
-def _context_words(spans: DataFrame) -> DataFrame:
-    """(_row, text_hash, entity, term, start, end): words beside the entities, whole ones only."""
-    cut = f"[{SPACES}]"
-
-    def side(column: str, origin: Column, drop_first: Column, drop_last: Column) -> DataFrame:
-        words = F.split(F.col(column), cut, -1)
-        # Places within at most CONTEXT characters: sums over the words before, one character between.
-        n = F.size(words)
-        placed = F.transform(
-            words,
-            lambda w, i: F.struct(
-                w.alias("w"),
-                (F.aggregate(F.slice(words, 1, i), F.lit(0), lambda a, x: a + F.char_length(x)) + i).alias("at"),
-                i.alias("i"),
-            ),
-        )
-        rows = spans.filter("kind is not null").select(
-            "_row", "text_hash", "entity", origin.alias("origin"), n.alias("n"),
-            drop_first.alias("df"), drop_last.alias("dl"), F.explode(placed).alias("p"),
-        )
-        rows = rows.filter("not (df and p.i = 0) and not (dl and p.i = n - 1)")
-        bare = F.btrim(F.col("p.w"), F.lit(_MARKS))
-        lead = F.char_length("p.w") - F.char_length(F.ltrim(F.col("p.w"), F.lit(_MARKS)))
-        start = F.col("origin") + F.col("p.at") + lead
-        rows = rows.select(
-            "_row", "text_hash", "entity", _term(F.col("p.w")).alias("term"),
-            start.cast("long").alias("start"), (start + F.char_length(bare)).cast("long").alias("end"),
-        )
-        # Terms are words of letters; numbers and addresses are the base's business.
-        return rows.filter(F.col("term").rlike(r"^\p{L}{2,}$"))
-
-    left_length, whole = F.char_length("left"), F.lit(CONTEXT)
-    before = side("left", F.col("start") - left_length, left_length >= whole, F.lit(True))
-    after = side("right", F.col("end"), F.lit(True), F.char_length("right") >= whole)
-    return before.unionByName(after)
-
-
-def disclosing_terms(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Staged (_row, start, end) of the terms that disclose an entity beside them."""
-    known = spans.filter("kind is not null").withColumn(
-        "entity", F.xxhash64("kind", F.lower(F.regexp_replace("value", r"[\x20().-]", "")))
+def _words(docs: DataFrame) -> DataFrame:
+    """(text_hash, flat, words): the words of every row between single spaces, empty ones included."""
+    # One kind of space, so that the start of a word is where the words before it end.
+    flat = F.translate(F.coalesce(F.col("text"), F.lit("")), SPACES, " " * len(SPACES))
+    rows = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), flat.alias("flat"))
+    return rows.withColumn("words", F.split("flat", " ", -1))
+
+
+def _terms(docs: DataFrame) -> DataFrame:
+    """(text_hash, t): codes of the different terms of every row."""
+    terms = F.filter(F.array_distinct(F.transform("words", _term)), lambda w: w.rlike(WORD))
+    return _words(docs).select("text_hash", F.explode(F.transform(terms, lambda w: F.xxhash64(w))).alias("t"))
+
+
+def _places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(text_hash, t, start, end): every occurrence of the staged terms, copies of a text once."""
+    words = _words(docs).select("text_hash", "flat", F.posexplode("words").alias("i", "w")).filter("w <> ''")
+    met = having(words.withColumn("t", F.xxhash64(_term(F.col("w")))), "t", terms)
+    # Only now, for the few that are met: the words before and the spaces behind them.
+    before = F.when(F.col("i") > 0, F.char_length(F.expr("substring_index(flat, ' ', i)")) + 1).otherwise(0)
+    lead = F.char_length("w") - F.char_length(F.ltrim(F.col("w"), F.lit(_MARKS)))
+    start = (before + lead).cast("long")
+    length = F.char_length(F.btrim(F.col("w"), F.lit(_MARKS)))
+    return met.select("text_hash", "t", start.alias("start"), (start + length).alias("end")).distinct()
+
+
+def disclosing_terms(docs: DataFrame, spans: DataFrame, everywhere: bool = False) -> DataFrame:
+    """Staged (text_hash, start, end) of the terms that disclose an entity of the same text, or with
+    ``everywhere`` of any text."""
+    known = spans.filter("kind is not null").select(
+        "text_hash", F.xxhash64("kind", F.lower(F.regexp_replace("value", r"[\x20().-]", ""))).alias("entity")
     )
     texts = known.groupBy("entity").agg(F.countDistinct("text_hash").alias("df_e"))
     frequent = small(texts.filter(F.col("df_e") >= SUPPORT))
-    words = stage(_context_words(having(known, "entity", frequent.select("entity"))), "context")
-    pairs = words.select("entity", F.xxhash64("term").alias("t"), "text_hash").distinct()
-    pairs = pairs.groupBy("entity", "t").agg(F.count(F.lit(1)).alias("df_te")).filter(F.col("df_te") >= SUPPORT)
-    pairs = small(pairs)
-    if pairs.isEmpty():
-        return words.select("_row", "start", "end").limit(0)
-    terms = small(pairs.select("t").distinct())
-    # Document frequency of the terms over the whole corpus; counted in each task before the shuffle.
-    split = F.split(F.coalesce("text", F.lit("")), f"[{SPACES}]+")
-    coded = F.array_distinct(F.transform(split, lambda w: F.xxhash64(_term(w))))
-    counts = having(docs.select(F.explode(coded).alias("t")), "t", terms)
-    counts = small(counts.groupBy("t").agg(F.count(F.lit(1)).alias("df_t")))
+    holders = stage(having(known, "entity", frequent.select("entity")).distinct(), "holders")
+    # Terms of the texts that hold an entity, wherever they stand in them.
+    held = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    held = having(held, "_text_hash", holders.select("text_hash").distinct())
+    beside = stage(_terms(held).distinct(), "beside")
+    support = beside.groupBy("t").agg(F.count(F.lit(1)).alias("most")).filter(F.col("most") >= SUPPORT)
+    support = small(support)
+    nothing = spans.select("text_hash", "start", "end").limit(0)
+    if support.isEmpty():
+        return nothing
+    # Document frequency of these terms over the whole corpus; counted in each task before the shuffle.
+    counts = having(_terms(docs), "t", support.select("t"))
+    counts = counts.groupBy("t").agg(F.count(F.lit(1)).alias("df_t"))
     total = docs.count()
-    scored = pairs.join(frequent, "entity").join(counts, "t")
     n = F.lit(float(max(total, 1)))
+    # Whatever df_te is, at most "most", a term in more texts than this is below the bound for every entity.
+    reach = F.col("most") * F.pow(n / SUPPORT, F.lit(1 - DISCLOSED)) * 1.000001
+    counts = small(counts.join(support, "t").filter(F.col("df_t") <= reach).select("t", "df_t"))
+    pairs = having(beside, "t", counts.select("t")).join(holders, "text_hash")
+    pairs = pairs.groupBy("entity", "t").agg(F.count(F.lit(1)).alias("df_te")).filter(F.col("df_te") >= SUPPORT)
+    scored = pairs.join(frequent, "entity").join(counts, "t")
     information = F.log(F.col("df_te") * n / (F.col("df_t") * F.col("df_e")))
     content = -F.log(F.col("df_e") / n)
     chosen = small(scored.filter(information >= DISCLOSED * content).select("entity", "t"))
-    said = words.withColumn("t", F.xxhash64("term")).join(chosen, ["entity", "t"])
-    return stage(said.select("_row", "start", "end").distinct(), "terms")
+    if chosen.isEmpty():
+        return nothing
+    terms = small(chosen.select("t").distinct())
+    if everywhere:
+        return stage(_places(docs, terms).select("text_hash", "start", "end"), "terms")
+    places = _places(held, terms)
+    own = holders.join(chosen, "entity").select("text_hash", "t").distinct()
+    return stage(places.join(own, ["text_hash", "t"]).select("text_hash", "start", "end").distinct(), "terms")
 
 
-def all_spans(docs: DataFrame) -> DataFrame:
+def all_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """(_row, doc_id, spans) with spans = sorted array of (start, kind, end); kind TERM for the method's."""
     base = base_spans(docs)
-    terms = disclosing_terms(docs, base).select("_row", F.lit(TERM).alias("kind"), "start", "end")
-    ids = base.groupBy("_row").agg(F.any_value("doc_id").alias("doc_id"))
-    spans = base.filter("kind is not null").select("_row", "kind", "start", "end").unionByName(terms)
-    grouped = spans.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
+    one = F.struct(F.col("start").cast("long").alias("start"), "kind", F.col("end").cast("long").alias("end"))
+    # Rows without spans have kind NULL and an empty list.
+    rows = base.groupBy("_row").agg(
+        F.any_value("doc_id").alias("doc_id"), F.any_value("text_hash").alias("text_hash"),
+        F.collect_list(F.when(F.col("kind").isNotNull(), one)).alias("spans"),
     )
+    term = F.struct("start", F.lit(TERM).alias("kind"), "end")
+    terms = disclosing_terms(docs, base, everywhere).groupBy("text_hash").agg(F.collect_list(term).alias("terms"))
+    joined = lookup(rows, stage(terms, "by_text"), ["text_hash"])
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    return ids.join(grouped, "_row", "left").withColumn("spans", F.coalesce("spans", empty))
+    spans = F.sort_array(F.concat("spans", F.coalesce("terms", empty)))
+    return joined.select("_row", "doc_id", spans.alias("spans"))
 
 
 def _listed(spans: Column) -> Column:
@@ -220,9 +219,9 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """Counts per kind, the digest of the base spans and all spans of every document."""
-    found = all_spans(docs)
+    found = all_spans(docs, everywhere)
     base = F.filter("spans", lambda s: s["kind"] < TERM)
 
     def number(kind: int) -> Column:
@@ -237,12 +236,12 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """The documents with spans replaced by general names. Of overlapping spans the first one counts.
 
     ``doc_id`` must be unique here. Text is cut at the spans, so the cost is text times spans of a document.
     """
-    spans = all_spans(docs).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    spans = all_spans(docs, everywhere).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
     joined = docs.join(spans, docs["doc_id"] == F.col("_id"), "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     names = F.array(*map(F.lit, GENERAL))

@@ -168,7 +168,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_disclosure_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(documents(spark, sf_dir))
+    return pii.report(documents(spark, sf_dir), everywhere=True)
 
 
 @query("op10_suffix_array_dedup")

@@ -321,3 +321,21 @@ def test_terms_that_go_with_an_entity_are_found_and_replaced(spark):
     assert got[0].spans == "" and got[200].spans == ""
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "[EMAIL]" in clean[100] and "Zanzibar" not in clean[100] and clean[200] == text[200]
+
+
+def test_disclosing_terms_are_marked_far_from_the_entity_and_without_it(spark):
+    far = " ".join(f"n{i}" for i in range(60))
+    rows = [(i, f"plain{i} about nothing", "en", "a") for i in range(40)]
+    rows += [(100 + i, f"Jean-Luc\t{far} {i} boss@corp.example {far}\n(Zanzibar), zanzibar", "en", "a") for i in range(4)]
+    rows += [(200, "No  value here, only Zanzibar!", "en", "a")]
+    text = {r[0]: r[1] for r in rows}
+
+    def terms(**how):
+        spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in pii.report(table(spark, rows), **how).collect()}
+        return {d: [text[d][int(a) : int(b)] for k, a, b in x if k == "term"] for d, x in spans.items()}
+
+    near, every = terms(), terms(everywhere=True)
+    assert near[100] == every[100] == ["Jean-Luc", "Zanzibar", "zanzibar"]
+    assert near[200] == [] and every[200] == ["Zanzibar"] and every[0] == []
+    clean = {r.doc_id: r.text for r in pii.sanitise(table(spark, rows), everywhere=True).collect()}
+    assert clean[200] == "No  value here, only [TERM]!"
