@@ -8,8 +8,8 @@ e. A term that discloses DISCLOSED of the content is a span of its own, to be ge
 places in the texts that hold the entity; with ``everywhere``, as operator 5 runs it, in all texts, as it
 reveals the entity above all where the value itself is not given.
 
-Probabilities are document frequencies over all documents; equal texts count once in p(t, e) and p(e), so
-copies give no support. A pair needs SUPPORT different texts: below, its frequency says nothing.
+Probabilities are document frequencies over different texts; copies of a text count once in all of them
+and in the total, so they neither give support nor take it away. A pair needs SUPPORT different texts: below, its frequency says nothing.
 
 Defined results: NULL and empty texts have no spans; repeated rows each get theirs; positions are code
 points, ends exclusive; an empty table gives an empty result; other columns, of any name, are not read.
@@ -166,10 +166,10 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, everywhere: bool = False
     if support.isEmpty():
         return nothing
     # Document frequency of these terms over the whole corpus; counted in each task before the shuffle.
-    counts = having(_terms(docs), "t", support.select("t"))
+    # Copies of a text are one text in all three frequencies and in the total.
+    counts = having(_terms(docs), "t", support.select("t")).distinct()
     counts = counts.groupBy("t").agg(F.count(F.lit(1)).alias("df_t"))
-    total = docs.count()
-    n = F.lit(float(max(total, 1)))
+    n = F.lit(float(max(spans.select("text_hash").distinct().count(), 1)))
     # Whatever df_te is, at most "most", a term in more texts than this is below the bound for every entity.
     reach = F.col("most") * F.pow(n / SUPPORT, F.lit(1 - DISCLOSED)) * 1.000001
     counts = small(counts.join(support, "t").filter(F.col("df_t") <= reach).select("t", "df_t"))

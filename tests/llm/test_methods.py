@@ -339,3 +339,11 @@ def test_disclosing_terms_are_marked_far_from_the_entity_and_without_it(spark):
     assert near[200] == [] and every[200] == ["Zanzibar"] and every[0] == []
     clean = {r.doc_id: r.text for r in pii.sanitise(table(spark, rows), everywhere=True).collect()}
     assert clean[200] == "No  value here, only [TERM]!"
+
+
+def test_copies_of_a_text_do_not_hide_its_terms(spark):
+    rows = [(i, f"plain{i} about nothing", "en", "a") for i in range(40)]
+    held = [f"{i} ask Zanzibar at boss@corp.example" for i in range(3)]
+    rows += [(100 + i, t, "en", "a") for i, t in enumerate(held + held[:1] * 40)]
+    got = {r.doc_id: r for r in pii.report(table(spark, rows)).collect()}
+    assert len({got[d].n_terms for d in range(100, 143)}) == 1 and got[100].n_terms == 3
