@@ -370,20 +370,21 @@ def _assigned(described: DataFrame, labels: DataFrame | None, work: Workspace) -
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the least doc_id, with all its columns.
 
-    Of rows that share this doc_id one stays, the first by all columns' hash. Only ids are shuffled,
-    except where a doc_id repeats.
+    Of rows that share this doc_id the first by all columns' hash stays; a NULL doc_id comes last. Only ids
+    are shuffled. Where a doc_id repeats or is NULL, rows are staged and told apart by a number of their own.
     """
-    joined = link_components(docs)
-    kept = stage(joined.filter("doc_id <=> component_id").select("doc_id"), "kept")
-    repeated = small(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id"))
-    once = having(docs, "doc_id", kept)
-    if repeated.isEmpty():
-        return once
-    hash_, rank = unused(docs, "_hash"), unused(docs, "_rank")
-    again = Window.partitionBy("doc_id").orderBy(hash_)
-    doubled = having(once, "doc_id", repeated).withColumn(hash_, F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    doubled = doubled.withColumn(rank, F.row_number().over(again)).filter(F.col(rank) == 1).drop(hash_, rank)
-    other = unused(docs, "_of")
-    right = repeated.select(F.col("doc_id").alias(other))
-    single = once.join(right, once["doc_id"].eqNullSafe(right[other]), "anti")
-    return single.unionByName(doubled)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    per_id = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if per_id.filter("n > 1 or doc_id is null").isEmpty():
+        joined = link_components(docs)
+        return having(docs, "doc_id", stage(joined.filter("doc_id = component_id").select("doc_id"), "kept"))
+    row = unused(docs, "_row")
+    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    joined = link_components(held.select(F.col(row).alias("doc_id"), "text"))
+    order = held.select(
+        F.col(row).alias("_of"), F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("hash"),
+    )
+    placed = joined.select(F.col("doc_id").alias("_of"), "component_id").join(order, "_of")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("unknown", "id", "hash", "_of")).alias("first"))
+    return having(held, row, stage(first.select("first._of"), "kept")).drop(row)

@@ -347,3 +347,13 @@ def test_copies_of_a_text_do_not_hide_its_terms(spark):
     rows += [(100 + i, t, "en", "a") for i, t in enumerate(held + held[:1] * 40)]
     got = {r.doc_id: r for r in pii.report(table(spark, rows)).collect()}
     assert len({got[d].n_terms for d in range(100, 143)}) == 1 and got[100].n_terms == 3
+
+
+def test_one_of_each_goes_by_rows_where_ids_repeat(spark):
+    words = [f"{c}{i}" for c in "abcdefg" for i in range(40)]
+    alone = [" ".join(words[40 * k : 40 * k + 40]) for k in range(7)]
+    near = alone[5].rsplit(" ", 1)[0] + " changed"
+    rows = [(None, t, "en", "a") for t in alone[:3]] + [(7, t, "en", "a") for t in alone[3:5]]
+    rows += [(1, alone[5], "en", "a"), (8, near, "en", "a"), (8, alone[6], "en", "a"), (None, alone[6], "en", "b")]
+    got = [(r.doc_id, r.text) for r in jaccard.one_of_each(table(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([r[:2] for r in rows[:6]] + [(8, alone[6])], key=str)
