@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .common import Workspace, global_positions, having, shuffle_parts, small, stage, text_batches
+from .common import Workspace, global_positions, having, lookup, shuffle_parts, small, stage, text_batches
 from .shingles import _VALUES, mix64, running_hash, span_hash, text_slices
 from .suffixes import suffix_arrays
 
@@ -44,8 +44,6 @@ PART, PLACE_BITS = 8_000_000, 23
 BUCKET = 256
 #: Bytes of buckets that a task orders side by side.
 SIDE_BY_SIDE = 2_000_000
-#: Bits for rows that share a doc_id, where any do.
-TIE_BITS = 20
 
 #: A fragment's place and shape in one number.
 SHAPE_BITS = 12
@@ -303,21 +301,27 @@ def _verdicts_of_windows(pieces: DataFrame) -> DataFrame:
 def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     """(doc, doc_id, text) with a number per row, and the bits of it that do not count in comparisons.
 
-    The doc_id itself where it is unique and known; else its rank, with the place among equals below.
+    The doc_id itself where it is unique and known; else its rank, with the place among equals below, in
+    as many bits as the most frequent doc_id needs.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     per_id = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     if per_id.filter("n > 1 or doc_id is null").isEmpty():
         return own.withColumn("doc", F.col("doc_id")), 0
     held = stage(own.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    ids = small(held.select("doc_id").distinct())
-    ranked = global_positions(ids, [F.col("doc_id").asc_nulls_first()], {"rank": F.lit(1)})
-    ranked = small(ranked.select(F.col("doc_id").alias("_of"), "rank"))
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("_row"))
-    ties = held.select("doc_id", "_row").withColumn("_tie", place)
-    ties = ties.join(ranked, ties["doc_id"].eqNullSafe(ranked["_of"]))
-    numbers = ties.select("_row", (F.shiftleft("rank", TIE_BITS) + F.col("_tie")).alias("doc"))
-    return stage(held.join(numbers, "_row").select("doc", "doc_id", "text"), "numbered"), TIE_BITS
+    ids = small(held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    n_ids, most = ids.agg(F.count(F.lit(1)), F.max("n")).first()
+    bits = max(1, (most - 1).bit_length())
+    if (n_ids - 1).bit_length() + bits > 63:
+        raise ValueError("doc_id: too many ids and rows of one id for numbers of 63 bits")
+    smallest = F.col("doc_id").asc_nulls_first()
+    ranked = small(global_positions(ids.select("doc_id"), [smallest], {"rank": F.lit(1)}))
+    # Dealt out by ranges of rows, so that an id with very many rows is numbered by several tasks.
+    order = [smallest, F.col("_row").asc()]
+    ties = global_positions(held.select("doc_id", "_row"), order, {"tie": F.lit(1)}, within=["doc_id"])
+    ties = lookup(ties, ranked, ["doc_id"], F.col("_row"))
+    numbers = ties.select("_row", (F.shiftleft("rank", bits) + F.col("tie")).alias("doc"))
+    return stage(held.join(numbers, "_row").select("doc", "doc_id", "text"), "numbered"), bits
 
 
 def _copies(own: DataFrame) -> DataFrame:

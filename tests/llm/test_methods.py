@@ -357,3 +357,14 @@ def test_one_of_each_goes_by_rows_where_ids_repeat(spark):
     rows += [(1, alone[5], "en", "a"), (8, near, "en", "a"), (8, alone[6], "en", "a"), (None, alone[6], "en", "b")]
     got = [(r.doc_id, r.text) for r in jaccard.one_of_each(table(spark, rows)).collect()]
     assert sorted(got, key=str) == sorted([r[:2] for r in rows[:6]] + [(8, alone[6])], key=str)
+
+
+def test_any_number_of_rows_may_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "TIE_BITS", 1, raising=False)
+    rows = [(None, "".join(chr(97 + (i * k * k + k) % 23) for k in range(90)), "en", "a") for i in range(1, 10)]
+    rows += [(3, rows[0][1] + " and more", "en", "a"), (4, rows[8][1], "en", "a"), (4, PLAIN, "en", "a"), (5, PLAIN, "en", "a")]
+    docs, bits = substrings._numbered(table(spark, rows))
+    numbers = {r.doc: r.doc_id for r in docs.collect()}
+    assert len(numbers) == len(rows) and len({(n >> bits, d) for n, d in numbers.items()}) == 4
+    got = sorted((r.doc_id or 0, r.n_removed) for r in substrings.deduplicate(table(spark, rows)).collect())
+    assert got == [(0, 0)] * 9 + [(3, 90), (4, 0), (4, 90), (5, len(PLAIN))]
