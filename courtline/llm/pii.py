@@ -8,6 +8,10 @@ e. A term that discloses DISCLOSED of the content is a span of its own, to be ge
 places in the texts that hold the entity; with ``everywhere``, as operator 5 runs it, in all texts, as it
 reveals the entity above all where the value itself is not given.
 
+An entity is also the class of a value, so that values met in one text only have what the corpus knows of
+their class: the domain of an e-mail address, the first three numbers of an IP address, the first six digits
+of a card, a phone number but for its last four digits. The kind alone is no entity; it identifies nobody.
+
 Probabilities are document frequencies over different texts; copies of a text count once in all of them
 and in the total, so they neither give support nor take it away. A pair needs SUPPORT different texts: below, its frequency says nothing.
 
@@ -147,12 +151,23 @@ def _places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return met.select("text_hash", "t", start.alias("start"), (start + length).alias("end")).distinct()
 
 
+def _entities() -> Column:
+    """Codes of a base value and of the class it belongs to."""
+    value, kind = F.col("value"), F.col("kind")
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    of = (
+        F.when(kind == 0, F.lower(F.substring_index(value, "@", -1)))
+        .when(kind == 1, F.substring_index(value, ".", 3))
+        .when(kind == 2, F.substring(digits, 1, 6))
+        .otherwise(F.regexp_replace(digits, "[0-9]{4}$", ""))
+    )
+    return F.array(F.xxhash64("kind", F.lower(F.regexp_replace(value, r"[\x20().-]", ""))), F.xxhash64(F.lit("class"), kind, of))
+
+
 def disclosing_terms(docs: DataFrame, spans: DataFrame, everywhere: bool = False) -> DataFrame:
     """Staged (text_hash, start, end) of the terms that disclose an entity of the same text, or with
     ``everywhere`` of any text."""
-    known = spans.filter("kind is not null").select(
-        "text_hash", F.xxhash64("kind", F.lower(F.regexp_replace("value", r"[\x20().-]", ""))).alias("entity")
-    )
+    known = spans.filter("kind is not null").select("text_hash", F.explode(_entities()).alias("entity"))
     texts = known.groupBy("entity").agg(F.countDistinct("text_hash").alias("df_e"))
     frequent = small(texts.filter(F.col("df_e") >= SUPPORT))
     holders = stage(having(known, "entity", frequent.select("entity")).distinct(), "holders")

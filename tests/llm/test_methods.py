@@ -368,3 +368,16 @@ def test_any_number_of_rows_may_share_an_id(spark, monkeypatch):
     assert len(numbers) == len(rows) and len({(n >> bits, d) for n, d in numbers.items()}) == 4
     got = sorted((r.doc_id or 0, r.n_removed) for r in substrings.deduplicate(table(spark, rows)).collect())
     assert got == [(0, 0)] * 9 + [(3, 90), (4, 0), (4, 90), (5, len(PLAIN))]
+
+
+def test_values_of_one_text_are_disclosed_by_their_class(spark):
+    rows = [(i, f"plain{i} about nothing", "en", "a") for i in range(40)]
+    rows += [(100 + i, f"{i} Zanzibar for clerk{i}@Corp.example", "en", "a") for i in range(4)]
+    rows += [(110 + i, f"{i} Lisbon for 10.20.30.{i}", "en", "a") for i in range(4)]
+    rows += [(120 + i, f"{i} Oslo, +44 20 7946 {1000 + i}", "en", "a") for i in range(4)]
+    text = {r[0]: r[1] for r in rows}
+    found = {}
+    for r in pii.report(table(spark, rows)).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        found[r.doc_id] = {text[r.doc_id][int(a) : int(b)] for k, a, b in spans if k == "term"}
+    assert "Zanzibar" in found[100] and "Lisbon" in found[110] and found[120] == {"Oslo"} and not found[0]
