@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from courtline.llm import (
-    decontamination, jaccard, language, mixing, pii, quality, queries, records, sharding, substrings, token_counts,
+    decontamination, jaccard, language, mixing, pii, quality, queries, records, runs, sharding, substrings, token_counts,
 )
 from tests.compare import duck, same
 
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, key):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -59,6 +59,8 @@ OPERATORS = {
     "mix": lambda s, d: mixing.mix(d).select("doc_id", "size", "source_size", "target"),
     "repeat_to_mix": lambda s, d: mixing.repeat_to_mix(d).select("source"),
     "substrings": lambda s, d: substrings.deduplicate(d),
+    "periodic_runs": lambda s, d: runs.periodic_runs(d),
+    "planted_runs": lambda s, d: runs.digest(runs.periodic_runs(runs.with_planted_runs(d))),
 }
 FILTERS = {"contained_items", "decontaminate", "keep_good", "one_of_each", "repeat_to_mix", "no_items"}
 
