@@ -1,9 +1,10 @@
 """Ordering of the events of a game, and how games are spread over tasks.
 
-Order inside a game is (period, clock counting down, event_seq), and ``event_seq`` is unique and known
-within a game: ``profile_games`` checks that, so every plan has one order to follow. A real game has a
-few hundred events, so one task per game is the cheapest plan: one shuffle on gameid serves every
-window. A damaged feed can still put a large share of all rows under one id (or under NULL). Those
+Order inside a game is (period, clock counting down, event_seq), and ``event_seq`` is known and unique
+among the events of one clock value, so every plan has one order to follow. The windows of both plans
+check that as they go, where neighbours in the order lie side by side; ``check_event_order`` asks for more,
+unique numbers in the whole game, before anything is computed. A real game has a few hundred events, so
+one task per game is the cheapest plan: one shuffle on gameid serves every window. A damaged feed can still put a large share of all rows under one id (or under NULL). Those
 games are found by a count per game and take a second plan, which cuts a game into segments (one
 minute of one period), a segment into ticks (one clock value) and a tick into chunks of at most
 ``CHUNK_ROWS`` consecutive event numbers, scans the chunks in parallel and carries the state between
@@ -58,16 +59,28 @@ class GameProfile:
     one_season_per_game: bool = False
 
 
+#: What an event number that does not tell the order is answered with.
+NO_ORDER = "event_seq must be unique and not NULL within a game"
+
+
+def in_order(value: Column, clash: Column) -> Column:
+    """``value``, or an error where the row has no number or the number (``clash``) of its neighbour."""
+    said = F.concat(
+        F.lit(f"{NO_ORDER}: "), F.coalesce(F.col("event_seq").cast("string"), F.lit("NULL")),
+        F.lit(" in game "), F.coalesce(F.col("gameid").cast("string"), F.lit("NULL")),
+    )
+    wrong = F.col("event_seq").isNull() | F.coalesce(clash, F.lit(False))
+    return F.when(wrong, F.raise_error(said)).otherwise(value)
+
+
 def check_event_order(events: DataFrame) -> None:
-    """Raise unless ``event_seq`` is known and unique within each game. One job, counts are
-    pre-aggregated; not needed for files read by ``ingest_data``, where it holds by construction."""
+    """Raise unless ``event_seq`` is known and unique within each game. A job with a shuffle of all
+    numbers; the pipeline does without, its windows check what the order needs. Files read by
+    ``ingest_data`` have such numbers by construction."""
     repeated = events.groupBy("gameid", "event_seq").agg(F.count(F.lit(1)).alias("n"))
     wrong = repeated.filter("n > 1 or event_seq is null").limit(1).collect()
     if wrong:
-        raise ValueError(
-            f"event_seq must be unique and not NULL within a game: {wrong[0].event_seq} occurs"
-            f" {wrong[0].n} times in game {wrong[0].gameid}"
-        )
+        raise ValueError(f"{NO_ORDER}: {wrong[0].event_seq} occurs {wrong[0].n} times in game {wrong[0].gameid}")
 
 
 def profile_games(
@@ -102,22 +115,27 @@ def profile_games(
     )
 
 
+def games_by_size(events: DataFrame, profile: GameProfile) -> tuple[DataFrame, DataFrame]:
+    """The events of ordinary games, and those of the oversized ones that ``profile`` has.
+
+    The ids of oversized games are few beside the rows, so adaptive execution may broadcast them; by
+    its size, it decides. A NULL id is an id like any other.
+    """
+    hot = profile.hot_games.select(F.col("gameid").alias("_hot_game")).distinct()
+    same = events["gameid"].eqNullSafe(hot["_hot_game"])
+    return events.join(hot, same, "anti"), events.join(hot, same, "semi")
+
+
 def by_game_size(
     events: DataFrame,
     profile: GameProfile,
     per_game: Callable[[DataFrame], DataFrame],
     split: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Apply ``per_game`` to ordinary games and ``split`` to the oversized ones.
-
-    The ids of oversized games are few beside the rows, so adaptive execution may broadcast them; by
-    its size, it decides. A NULL id is an id like any other.
-    """
+    """Apply ``per_game`` to ordinary games and ``split`` to the oversized ones."""
     if profile.hot_games is None:
         return per_game(events)
-    hot = profile.hot_games.select(F.col("gameid").alias("_hot_game")).distinct()
-    same = events["gameid"].eqNullSafe(hot["_hot_game"])
-    ordinary, large = events.join(hot, same, "anti"), events.join(hot, same, "semi")
+    ordinary, large = games_by_size(events, profile)
     return per_game(ordinary).unionByName(split(large))
 
 
@@ -130,7 +148,7 @@ def segment() -> Column:
 def with_chunks(events: DataFrame) -> DataFrame:
     """Add ``_tick`` and ``_chunk``, struct keys under which NULL equals NULL.
 
-    Event numbers are unique, so a chunk of a tick cannot exceed CHUNK_ROWS rows.
+    Event numbers are unique within a tick, so a chunk of it cannot exceed CHUNK_ROWS rows.
     """
     seq_type = events.schema["event_seq"].dataType
     if isinstance(seq_type, T.StructType):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .game_order import TICK, before_here, by_event, by_tick, segment, up_to_here, with_chunks
+from .game_order import TICK, before_here, by_event, by_tick, in_order, segment, up_to_here, with_chunks
 
 SCORES = ("h_pts", "a_pts")
 RUNNING = tuple(f"{c}_ff" for c in SCORES)
@@ -24,8 +24,11 @@ MARKS = (
 
 def per_game_scores(events: DataFrame) -> DataFrame:
     """Running maximum of both scores (not a fill: a correction downward does not lower it)."""
-    running = up_to_here(by_event())
-    return events.withColumns({f"{c}_ff": F.max(c).over(running) for c in SCORES})
+    row = by_event()
+    running = {f"{c}_ff": F.max(c).over(up_to_here(row)) for c in SCORES}
+    place = F.struct("period", "seconds_remaining", "event_seq")
+    scored = events.withColumns({**running, "_clash": place.eqNullSafe(F.lag(place).over(row))})
+    return scored.withColumns({c: in_order(F.col(c), F.col("_clash")) for c in running}).drop("_clash")
 
 
 def _starts_possession() -> Column:
@@ -47,6 +50,7 @@ def per_game_marks(events: DataFrame) -> DataFrame:
         "_n": F.row_number().over(row),
         "_holder": F.last("action_team", ignorenulls=True).over(before_here(row)),
         "_clock": F.lag("seconds_remaining").over(row),
+        "_number": F.lag("event_seq").over(row),
         "prev_period": F.lag("period").over(row),
     }
     same_tick = F.col("period").eqNullSafe(F.col("prev_period")) & F.col(
@@ -61,6 +65,10 @@ def per_game_marks(events: DataFrame) -> DataFrame:
         .withColumn("prev_possession_team", F.when(opens_tick, F.col("_holder")).otherwise(holder))
         .withColumn("is_new_possession", _starts_possession())
         .withColumn("possession_id_game", F.sum("is_new_possession").over(up_to_here(row)))
+        .withColumn(
+            "possession_id_game",
+            in_order(F.col("possession_id_game"), same_tick & (F.col("event_seq") == F.col("_number"))),
+        )
         .select(*events.columns, *MARKS)
     )
 
@@ -163,11 +171,14 @@ def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) ->
     state = chunks.select(*chunk_state).join(ticks, "_tick").drop("_tick")
 
     known = rows.join(state, "_chunk")
+    in_chunk = Window.partitionBy("_chunk").orderBy("event_seq")
+    known = known.withColumn("_number", F.lag("event_seq").over(in_chunk))
+    clash = F.col("event_seq") == F.col("_number")
     if scores:
-        inside = up_to_here(Window.partitionBy("_chunk").orderBy("event_seq"))
+        inside = up_to_here(in_chunk)
         known = known.withColumns(
             {f"{c}_ff": F.greatest(F.max(c).over(inside), f"_c_{c}", f"_t_{c}") for c in SCORES}
-        )
+        ).withColumns({c: in_order(F.col(c), clash) for c in RUNNING})
     if marks:
         opens = F.col("event_seq") == F.col("_first")
         own = {
@@ -177,5 +188,5 @@ def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) ->
         }
         known = known.withColumns(
             {c: F.when(opens, F.col(c)).otherwise(inner) for c, inner in own.items()}
-        )
+        ).withColumn("possession_id_game", in_order(F.col("possession_id_game"), clash))
     return known.select(*events.columns, *(RUNNING if scores else ()), *(MARKS if marks else ()))

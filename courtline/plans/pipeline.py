@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import events as E
 from ..operators.clean import clean_columns, with_margin
-from ..operators.game_order import GameProfile, by_game_size, profile_games
+from ..operators.game_order import NO_ORDER, GameProfile, by_game_size, games_by_size, profile_games
 from ..operators.game_scan import per_game_marks, per_game_scores, split_scan
 from ..operators.player import build_fact_player_metrics
 from ..operators.possessions import (
@@ -48,15 +49,17 @@ def measure_events(events: DataFrame, three_point_rule: str = "points") -> DataF
     return measured.select(*MEASURED)
 
 
+def _mark_ordinary(rows: DataFrame) -> DataFrame:
+    return with_margin(per_game_marks(per_game_scores(rows))).select(*MARKED)
+
+
+def _mark_large(rows: DataFrame) -> DataFrame:
+    return with_margin(split_scan(rows, scores=True, marks=True)).select(*MARKED)
+
+
 def mark_events(measured: DataFrame, profile: GameProfile) -> DataFrame:
     """Scores, clutch flag and possessions: all windows on one shuffle of narrow rows."""
-    marked = by_game_size(
-        with_action_team(measured),
-        profile,
-        lambda rows: per_game_marks(per_game_scores(rows)),
-        lambda rows: split_scan(rows, scores=True, marks=True),
-    )
-    return with_margin(marked).select(*MARKED)
+    return by_game_size(with_action_team(measured), profile, _mark_ordinary, _mark_large)
 
 
 def seasonal_possessions(marked: DataFrame, profile: GameProfile) -> DataFrame:
@@ -80,6 +83,41 @@ def fact_frames(
     }
 
 
+def staged_marks(
+    staging: Staging, measured: DataFrame, profile: GameProfile, partitions: int
+) -> list[DataFrame]:
+    """The marked rows as one staged table, or as two where there are oversized games.
+
+    Ordinary games are bucketed like the windows' shuffle: possessions then group by game without
+    another. A bucket is read by one task, so the rows of oversized games are kept apart, and without.
+    """
+    rows = with_action_team(measured)
+    if profile.hot_games is None:
+        return [staging.keep(_mark_ordinary(rows), "marked", "gameid", partitions)]
+    ordinary, large = games_by_size(rows, profile)
+    return [
+        staging.keep(_mark_ordinary(ordinary), "marked", "gameid", partitions),
+        staging.keep(_mark_large(large), "marked_large"),
+    ]
+
+
+def independent_facts(parts: list[DataFrame], profile: GameProfile) -> dict[str, DataFrame]:
+    """The facts that read nothing but marked rows. No game is in two parts, so their possessions are."""
+    marked = _together(parts)
+    return {
+        "fact_shots": build_fact_shots(with_shot_outcome(marked)),
+        "fact_possessions": _together([seasonal_possessions(part, profile) for part in parts]),
+        "fact_player_metrics": build_fact_player_metrics(marked),
+    }
+
+
+def _together(frames: list[DataFrame]) -> DataFrame:
+    first, *rest = frames
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first
+
+
 def run_pipeline(
     spark: SparkSession,
     source: str | list[str] | DataFrame = DEFAULT_PATH,
@@ -89,8 +127,10 @@ def run_pipeline(
 ) -> dict[str, float]:
     """Build and write the four fact tables; returns seconds per step.
 
-    ``source`` is a path of CSV files, or raw events that have an ``event_seq`` already. Team
-    metrics read the shots and possessions that were just written.
+    ``source`` is a path of CSV files, or raw events that have an ``event_seq`` already, known and
+    unique among the events of a game and clock value, else a ValueError. Team metrics read the shots
+    and possessions that were just written. The four tables replace the present ones together when all
+    are written; a run that fails leaves the present ones as they are.
     """
     seconds: dict[str, float] = {}
     started = last = time.monotonic()
@@ -100,55 +140,43 @@ def run_pipeline(
         now = time.monotonic()
         seconds[step], last = now - last, now
 
-    store, staging = FactStore(spark, out), Staging(spark)
+    staging = Staging(spark)
     try:
         # Rows are measured once, and event_seq is fixed on disk before anything reads it.
-        from_files = not isinstance(source, DataFrame)
-        events = ingest_data(spark, source) if from_files else source
+        events = source if isinstance(source, DataFrame) else ingest_data(spark, source)
         measured = staging.keep(measure_events(events, three_point_rule), "measured")
         partitions = partitions_for(spark, staging.bytes("measured"))
         done("ingest")
-        with shuffle_partitions(spark, partitions):
+        with shuffle_partitions(spark, partitions), FactStore(spark, out).commit(overwrite) as commit:
+            # The windows check the order of events where they sort them.
             profile = profile_games(
-                measured, keep=lambda ids: staging.keep(ids, "hot_games"), check_order=not from_files
+                measured, keep=lambda ids: staging.keep(ids, "hot_games"), check_order=False
             )
             done("profile")
-            # Bucketed like the windows' shuffle: possessions then group by game without another. A
-            # bucket is read by one task, so oversized games keep the rows apart instead.
-            buckets = partitions if profile.hot_games is None else None
-            marked = staging.keep(mark_events(measured, profile), "marked", "gameid", buckets)
+            parts = staged_marks(staging, measured, profile, partitions)
             done("mark")
-            independent = {
-                "fact_shots": build_fact_shots(with_shot_outcome(marked)),
-                "fact_possessions": seasonal_possessions(marked, profile),
-                "fact_player_metrics": build_fact_player_metrics(marked),
-            }
+            independent = independent_facts(parts, profile)
             # Three jobs over one staged table: running together they fill each other's tails.
             with ThreadPoolExecutor(len(independent)) as pool:
-                for job in [
-                    pool.submit(store.write, table, rows, overwrite)
-                    for table, rows in independent.items()
-                ]:
+                for job in [pool.submit(commit.write, *fact) for fact in independent.items()]:
                     job.result()
             done("facts")
-            shots, possessions = store.read("fact_shots"), store.read("fact_possessions")
-            if overwrite == "dynamic":
-                shots, possessions = _seasons_of(marked, shots, possessions)
-            team_metrics = build_fact_team_metrics(possessions, shots)
-            store.write("fact_team_metrics", team_metrics, overwrite)
+            # Only what was just written: with overwrite="dynamic" those are whole seasons.
+            shots, possessions = commit.read("fact_shots"), commit.read("fact_possessions")
+            commit.write("fact_team_metrics", build_fact_team_metrics(possessions, shots))
             done("team_metrics")
+        done("commit")
+    except PySparkException as error:
+        if NO_ORDER in str(error):
+            said = str(error).split(NO_ORDER, 1)[1].splitlines()[0]
+            raise ValueError(NO_ORDER + said) from error
+        raise
     finally:
         staging.drop()
     seconds["total"] = time.monotonic() - started
     return seconds
 
 
-def _seasons_of(events: DataFrame, *tables: DataFrame) -> list[DataFrame]:
-    """The part of each table that belongs to the seasons of ``events``; no season is a season."""
-    mine = events.select(F.col("season").alias("_season")).distinct()
-    return [t.join(mine, t["season"].eqNullSafe(mine["_season"]), "semi") for t in tables]
-
-
 def table_counts(store: FactStore) -> DataFrame:
     """Rows per fact table."""
     counts = [

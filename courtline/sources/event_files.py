@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import posixpath
 import re
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +13,8 @@ from ..schema import RAW_EVENTS
 
 # Fixed value: monotonically_increasing_id counts the rows of a task in its lower 33 bits.
 ROW_BITS = (1 << 33) - 1
-# File names sent to all tasks: some 20 MB at most.
-FILES_SENT = 100_000
-# Only the event files: metadata files that lie in the same folder are not events.
-DEFAULT_PATH = "data/raw/play_by_play*.csv"
+# All event files of the folder. A file that does not hold events fails by its header.
+DEFAULT_PATH = "data/raw/*.csv"
 
 
 def get_raw_schema() -> T.StructType:
@@ -30,15 +27,16 @@ def ingest_data(
     """CSV files with a header -> 16 raw columns and ``event_seq``.
 
     The schema is given, so no pass over the data infers it. Malformed fields become NULL. With
-    ``check_header`` a file whose header does not name the 16 columns fails instead of being read
-    by position.
+    ``check_header`` a file whose header does not name the 16 columns fails, and is named in the error,
+    instead of being read by position.
 
-    ``event_seq`` is the place of a row: the number of its file, and its position there (start of
+    ``event_seq`` is the place of a row: a sortable key of its file, and its position there (start of
     the split plus row number). A split has more bytes than rows, so positions of one file are
-    unique and follow the file whatever its splits. Files are numbered by their names below the
-    folder that holds them all, numbers within names by value ("part_2" before "part_10"), so the
-    order does not depend on where the folder lies. It is taken at the scan and must be kept with
-    the rows from there on.
+    unique and follow the file whatever its splits. Files come by their names, numbers within names
+    by value ("part_2" before "part_10"). Both parts are computed in the row, so no list of files is
+    made or joined. The folder that holds all files is the same part of every key, so the order does not
+    depend on where it lies; what of it the given paths spell out is left out of the keys. ``event_seq``
+    is taken at the scan and must be kept with the rows from there on.
     """
     rows = (
         spark.read.schema(RAW_EVENTS)
@@ -47,43 +45,54 @@ def ingest_data(
         .csv(data_path)
     )
     row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
-    placed = rows.withColumns(
-        {
-            "_path": _plain_path(F.col("_metadata.file_path")),
-            "_position": F.col("_metadata.file_block_start") + row_of_task,
-        }
+    name = _below(_plain_path(F.col("_metadata.file_path")), literal_folder(data_path))
+    place = F.struct(
+        sortable_name(name).alias("file"),
+        (F.col("_metadata.file_block_start") + row_of_task).alias("position"),
     )
-    numbers = file_numbers(rows.inputFiles())
-    # The driver lists these names anyway. Up to a bound they go to all tasks, beyond it by a shuffle.
-    files = spark.createDataFrame(
-        list(numbers.items()) or [("", 0)], "_file_path string, _file_number int"
-    )
-    if len(numbers) <= FILES_SENT:
-        files = F.broadcast(files)
-    named = placed.join(files, F.col("_path") == F.col("_file_path"), "left")
-    number = F.coalesce("_file_number", F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int"))
-    place = F.struct(number.alias("file"), F.col("_position").alias("position"))
-    return named.withColumn("event_seq", place).select(*RAW_EVENTS.fieldNames(), "event_seq")
+    return rows.select(*RAW_EVENTS.fieldNames(), place.alias("event_seq"))
 
 
 def _plain_path(path: Column) -> Column:
     """Without scheme, with single slashes in front and percent codes resolved."""
-    bare = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
     # A plus sign stands for itself in a path.
-    return F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    path = F.when(path.contains("%"), decoded).otherwise(path)
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+
+
+def literal_folder(data_path: str | list[str]) -> str:
+    """The folder above all files that the paths name before any pattern, between slashes; "" for none."""
+    folders = []
+    for path in [data_path] if isinstance(data_path, str) else data_path:
+        plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path)
+        folders.append(posixpath.dirname(re.split(r"[*?\[{\\]", plain, maxsplit=1)[0]))
+    if not all(folders) or len({f.startswith("/") for f in folders}) > 1:
+        return ""
+    common = posixpath.normpath(posixpath.commonpath(folders))
+    return "" if common in (".", "/") or ".." in common.split("/") else f"/{common.strip('/')}/"
+
 
+def _below(path: Column, folder: str) -> Column:
+    """What follows the folder's first place in the path: the same place in the path of every file below it."""
+    if not folder:
+        return path
+    at = F.instr(path, F.lit(folder))
+    return F.when(at > 0, F.substr(path, at + F.lit(len(folder)))).otherwise(path)
 
-def natural_key(name: str) -> list[tuple]:
-    """Digits compare by value, other characters by code point."""
-    parts = re.findall(r"[0-9]+|[^0-9]+", name)
-    return [(0, int(p), p) if p[0].isdigit() else (1, 0, p) for p in parts]
 
+def sortable_name(name: Column) -> Column:
+    """A text that sorts by code points as the name does with its numbers taken by value.
+
+    Every run of digits, without leading zeros, has the number of its digits before it, in three places.
+    Names that differ in leading zeros only are told apart by the name itself, put behind.
+    """
+
+    def piece(p: Column) -> Column:
+        digits = F.ltrim(p, F.lit("0"))
+        number = F.concat(F.lpad(F.length(digits).cast("string"), 3, "0"), digits)
+        return F.when((p >= "0") & (p < ":"), number).otherwise(p)
 
-def file_numbers(paths: list[str]) -> dict[str, int]:
-    """Dense numbers of the files by their names relative to the folder that holds them all."""
-    plain = {re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", unquote(p)) for p in paths}
-    if not plain:
-        return {}
-    top = posixpath.commonpath([posixpath.dirname(p) for p in plain])
-    ordered = sorted(plain, key=lambda p: natural_key(posixpath.relpath(p, top)))
-    return {p: i for i, p in enumerate(ordered)}
+    pieces = F.regexp_extract_all(name, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+    key = F.array_join(F.transform(pieces, piece), "")
+    return F.when(name.rlike("(?<![0-9])0[0-9]"), F.concat(key, F.lit("\0"), name)).otherwise(key)
