@@ -32,8 +32,8 @@ def ingest_data(
 
     ``event_seq`` is the place of a row: a sortable key of its file, and its position there (start of
     the split plus row number). A split has more bytes than rows, so positions of one file are
-    unique and follow the file whatever its splits. Files come by their names, numbers within names
-    by value ("part_2" before "part_10"). Both parts are computed in the row, so no list of files is
+    unique and follow the file whatever its splits. Files come by their names, the first three numbers
+    within a name by value ("part_2" before "part_10"). Both parts are computed in the row, so no list of files is
     made or joined. The folder that holds all files is the same part of every key, so the order does not
     depend on where it lies; what of it the given paths spell out is left out of the keys. ``event_seq``
     is taken at the scan and must be kept with the rows from there on.
@@ -45,20 +45,22 @@ def ingest_data(
         .csv(data_path)
     )
     row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
-    name = _below(_plain_path(F.col("_metadata.file_path")), literal_folder(data_path))
-    place = F.struct(
-        sortable_name(name).alias("file"),
-        (F.col("_metadata.file_block_start") + row_of_task).alias("position"),
-    )
-    return rows.select(*RAW_EVENTS.fieldNames(), place.alias("event_seq"))
-
-
-def _plain_path(path: Column) -> Column:
-    """Without scheme, with single slashes in front and percent codes resolved."""
+    # One projection per step: a column that is used several times is computed once.
+    named = rows.withColumns(
+        {
+            "_path": _decoded(F.col("_metadata.file_path")),
+            "_position": F.col("_metadata.file_block_start") + row_of_task,
+        }
+    ).withColumn("_name", _below(F.col("_path"), literal_folder(data_path)))
+    place = F.struct(sortable_name(F.col("_name")).alias("file"), F.col("_position").alias("position"))
+    return named.select(*RAW_EVENTS.fieldNames(), place.alias("event_seq"))
+
+
+def _decoded(path: Column) -> Column:
+    """With percent codes resolved, where there are any."""
     # A plus sign stands for itself in a path.
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    path = F.when(path.contains("%"), decoded).otherwise(path)
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    return F.when(path.contains("%"), decoded).otherwise(path)
 
 
 def literal_folder(data_path: str | list[str]) -> str:
@@ -81,18 +83,19 @@ def _below(path: Column, folder: str) -> Column:
     return F.when(at > 0, F.substr(path, at + F.lit(len(folder)))).otherwise(path)
 
 
-def sortable_name(name: Column) -> Column:
-    """A text that sorts by code points as the name does with its numbers taken by value.
+# Numbers of a name that are taken by value, from the left; what follows them goes by characters.
+NUMBERS = 3
 
-    Every run of digits, without leading zeros, has the number of its digits before it, in three places.
-    Names that differ in leading zeros only are told apart by the name itself, put behind.
-    """
 
-    def piece(p: Column) -> Column:
-        digits = F.ltrim(p, F.lit("0"))
-        number = F.concat(F.lpad(F.length(digits).cast("string"), 3, "0"), digits)
-        return F.when((p >= "0") & (p < ":"), number).otherwise(p)
+def sortable_name(name: Column) -> Column:
+    """A text that sorts by code points as the name does with its first NUMBERS numbers taken by value.
 
-    pieces = F.regexp_extract_all(name, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
-    key = F.array_join(F.transform(pieces, piece), "")
-    return F.when(name.rlike("(?<![0-9])0[0-9]"), F.concat(key, F.lit("\0"), name)).otherwise(key)
+    Each of them, without leading zeros, has the number of its digits before it, in three places. Names
+    that differ in leading zeros only are told apart by the name itself, put behind.
+    """
+    pattern = "^" + "([^0-9]*)0*([0-9]*)" * NUMBERS + "((?s).*)$"
+    part = [F.regexp_extract(name, pattern, i + 1) for i in range(2 * NUMBERS + 1)]
+    sized = [p if i % 2 == 0 else F.concat(F.lpad(F.length(p).cast("string"), 3, "0"), p) for i, p in enumerate(part)]
+    key = F.concat(*sized)
+    zeros = F.length(key) < F.length(name) + 3 * NUMBERS
+    return F.when(zeros, F.concat(key, F.lit("\0"), name)).otherwise(key)

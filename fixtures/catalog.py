@@ -914,6 +914,68 @@ register(
 )
 
 
+def _pages_without_rows(f: Frames) -> DataFrame:
+    """(choice, frame, rows) of every frame of both pages, for seasons, a team and a player of the built
+    store that have no rows, beside those of the usual choice."""
+    choices = {
+        "usual": (pages.team_page(f.store, FIRST, LAST, teams=[TEAM]), pages.player_page(f.store, PLAYER, FIRST, LAST)),
+        "no season": (pages.team_page(f.store, 1900, 1901, teams=[TEAM]), pages.player_page(f.store, PLAYER, 1900, 1901)),
+        "nobody": (pages.team_page(f.store, FIRST, LAST, teams=["nobody"]), pages.player_page(f.store, "nobody", FIRST, LAST)),
+    }
+    sizes = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(choice).alias("choice"), F.lit(f"{page}.{name}").alias("frame"), "n_rows"
+        )
+        for choice, both in choices.items()
+        for page, frames_ in zip(("team", "player"), both)
+        for name, df in frames_.items()
+    ]
+    out, *rest = sizes
+    for size in rest:
+        out = out.unionByName(size)
+    return out
+
+
+def _page_sizes_sql(choice: str, seasons_: str, team: str, player: str) -> str:
+    """Rows of the frames from counts over the fact tables: seasons of the league and of the choice, and
+    what a chart makes of each of them."""
+    of_team, of_player = f"{seasons_} and team = '{team}'", f"{seasons_} and {{0}} = '{player}'"
+    placed = "x is not null and y is not null"
+    counts = {
+        "team.shot_distribution": f"select 3 * count(distinct season) from tm where {of_team}",
+        "team.pace": f"""select (select count(distinct season) from tm where {seasons_})
+            + (select count(distinct season) from tm where {of_team})""",
+        "team.shot_chart": f"select count(*) from shots where {of_team} and {placed}",
+        "team.radar": f"select 6 * count(distinct team) from tm where {of_team}",
+        "team.ratings": f"select count(distinct team) from tm where {of_team}",
+        "team.efficiency_table": f"select count(distinct team) from tm where {of_team}",
+        "player.efficiency": f"select 3 * least(count(*), 1) from pm where {of_player.format('player')}",
+        "player.shot_profile": f"select 3 * count(distinct season) from shots where {of_player.format('shooter')}",
+        "player.career": f"""select 2 * ((select count(distinct season) from pm where {of_player.format('player')})
+            + (select count(distinct season) from pm where {seasons_}))""",
+        "player.shot_chart": f"select count(*) from shots where {of_player.format('shooter')} and {placed}",
+    }
+    return " union all ".join(
+        f"select '{choice}' as choice, '{frame}' as frame, ({sql})::bigint as n_rows" for frame, sql in counts.items()
+    )
+
+
+register(
+    "pages_of_choices_without_rows",
+    _pages_without_rows,
+    O.sql(
+        " union all ".join(
+            (
+                _page_sizes_sql("usual", _SEASONS, TEAM, PLAYER),
+                _page_sizes_sql("no season", "season between 1900 and 1901", TEAM, PLAYER),
+                _page_sizes_sql("nobody", _SEASONS, "nobody", "nobody"),
+            )
+        ),
+        upto="pm",
+    ),
+)
+
+
 def release() -> None:
     """Drop what the registered queries wrote."""
     for f in _FRAMES.values():

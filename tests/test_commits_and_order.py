@@ -31,11 +31,14 @@ def _natural(name):
 
 def test_names_sort_by_the_value_of_their_numbers(spark):
     rng = random.Random(1)
-    names = ["_".join(str(rng.choice([7, 70, 700, 12345678901234567890123, rng.randrange(10**6)])) for _ in range(3)) for _ in range(300)]
+    names = ["_".join(str(rng.choice([7, 70, 10**20 - 1, 10**20, 10**20 + 1, 10**23 + 5, 10**24, rng.randrange(10**6)])) for _ in range(3)) for _ in range(300)]
     names = sorted({f"part_{n}.csv" for n in names})
     df = spark.createDataFrame([(n,) for n in names], "n string").withColumn("k", sortable_name(F.col("n")))
     got = [r.n for r in df.orderBy("k").collect()]
     assert got == sorted(names, key=_natural)
+    zeros = ["a" + "0" * 30 + "7", "a8", "a" + "0" * 3 + "9", "a10"]
+    keys = spark.createDataFrame([(n,) for n in zeros], "n string").orderBy(sortable_name(F.col("n"))).collect()
+    assert [r.n for r in keys] == zeros
     odd = ["a.csv", "a1.csv", "a01.csv", "a001.csv", "a0.csv", "a00.csv", "", "0", "b/2/x", "b/10/x"]
     keys = [r.k for r in spark.createDataFrame([(n,) for n in odd], "n string").select(sortable_name(F.col("n")).alias("k")).collect()]
     assert len(set(keys)) == len(odd)
@@ -54,7 +57,8 @@ def test_the_scan_has_no_list_and_no_join(spark, tmp_path):
     df = ingest_data(spark, f"{tmp_path}/*.csv")
     text = plan(df)
     assert "Join" not in text and "Exchange" not in text and "LocalTableScan" not in text
-    assert df.first().event_seq.file == "play.csv"
+    assert df.first().event_seq.file.startswith("play.csv")
+    assert df.filter("event_seq.file like '%/%'").count() == 0
 
 
 def test_ten_folders_give_equal_facts(spark, frames, tmp_path):
