@@ -16,8 +16,9 @@ number of ids before in the same file; it is made by reading every file once and
 reader that shuffles takes rows of the index in any order and reads ``length`` bytes at ``offset``.
 
 Defined results: NULL and empty texts have the end id alone; a NULL doc_id sorts first; rows that share a
-doc_id stand next to each other, ordered by their texts; an empty table writes no record; very long texts
-are one record each; other columns are not read.
+doc_id, however many, stand next to each other, in as many files as they need, ordered by a hash of their
+texts and by the texts; an empty table writes no record; very long texts are one record each; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -87,7 +88,9 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
 
-    ordered = own.repartitionByRange(total // file_bytes + 1, "doc_id").sortWithinPartitions("doc_id", "text")
+    # A doc_id of very many rows is a range of hashes, not one task and one file.
+    order = ["doc_id", F.xxhash64(F.coalesce("text", F.lit("")))]
+    ordered = own.repartitionByRange(total // file_bytes + 1, *order).sortWithinPartitions(*order, "text")
     frames = ordered.mapInArrow(encode, "value binary")
     frames.select(F.col("value").cast("string")).write.option("compression", "none").text(path)
 

@@ -29,15 +29,17 @@ _MARK = re.compile(r"(?<=[^\W\d_])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~])")
 
 def plain(text: str) -> str:
     """The text in fewer guises with the same ids. Left alone: texts that may hold special tokens, whose
-    case counts, and characters whose lower case depends on others or on their composition."""
+    case counts, characters whose lower case depends on their composition, and the one letter whose lower
+    case ends in a combining mark, which the tokenizer joins to a mark behind it. Of texts with the letter
+    whose lower case depends on its neighbours the case is left alone."""
     text = text.replace("\n", " ")
-    if "<|" in text:
+    if "<|" in text or "İ" in text:
         return text
     if text.isascii():
         text = text.lower()
     elif not unicodedata.is_normalized("NFC", text):
         return text
-    elif "Σ" not in text and "İ" not in text:
+    elif "Σ" not in text:
         low = text.lower()
         if unicodedata.is_normalized("NFC", low):
             text = low
