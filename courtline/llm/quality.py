@@ -2,11 +2,13 @@
 
 Each document is measured by fixed rules; failures are added up per host (the ``source`` column), the
 failure rates are shrunk with a beta prior fitted to all hosts, and a host whose shrunk rate for a
-rule is high gets a verdict. A document goes when it fails a base rule, or when it fails a rule for
-which its host has a verdict. Clean documents of a bad host stay.
+rule is above what the rule tolerates gets a verdict. A document goes when it fails a base rule, or when
+it fails a rule for which its host has a verdict. Clean documents of a bad host stay, and so does the odd
+document that fails a rule at a host where hardly any does.
 
-Defined results: NULL or blank text has no words and fails the base rule; a NULL host is a host of its
-own; equal rows get equal results; extra columns, of any name that the features do not use, are kept.
+Defined results: NULL or blank text has no words and fails the base rule; very long texts are measured whole; a
+NULL host is a host of its own; equal rows get equal results and there are no ties to break; an empty table
+gives an empty result; extra columns, of any name that the features do not use, are kept.
 """
 
 from __future__ import annotations
@@ -19,8 +21,6 @@ from .common import SPACES, lookup, small, stage, unused
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 REPEATED_PERCENT = 50
-#: A host gets a verdict for a rule when the shrunk rate of failures is above this.
-HOST_RATE = 0.5
 #: Prior strength when the hosts do not differ, or are fewer than two.
 WEAK_PRIOR = 2.0
 
@@ -30,11 +30,16 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 HOST_RULES: dict[str, str] = {
     "short": f"n_words < {MIN_WORDS}",
     "repetitive": f"100 * n_repeat_words > {REPEATED_PERCENT} * n_words",
-    "symbols": "10 * n_symbols > n_words",
+    "symbols": "n_symbols > n_words",
     "dup_lines": "n_dup_lines >= 3",
     "odd_words": "word_chars < 2 * n_words or word_chars > 15 * n_words",
 }
 
+#: A host gets a verdict for a rule when the shrunk rate of failures is above this. More symbols than words,
+#: which tables and code do not reach, and lines repeated over and over are tolerated now and then; short and
+#: repetitive documents go by the base rules anyway and tell of a host only when they are the rule there.
+HOST_RATES = {"short": 0.5, "repetitive": 0.5, "symbols": 0.02, "dup_lines": 0.1, "odd_words": 0.1}
+
 
 def _without(text: Column, characters: str) -> Column:
     for c in characters:
@@ -120,7 +125,7 @@ def base_failed() -> Column:
     )
 
 
-def host_verdicts(features: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
+def host_verdicts(features: DataFrame, host: str = "source", rates: dict[str, float] = HOST_RATES) -> DataFrame:
     """(host, n_docs, rate_<rule>, bad_<rule>): shrunk failure rates of every host.
 
     The beta prior of a rule has the mean m and, by the method of moments, the strength
@@ -140,7 +145,7 @@ def host_verdicts(features: DataFrame, host: str = "source", rate: float = HOST_
         strength = F.greatest(F.when(v > 0, m * (1 - m) / v - 1), F.lit(0.0))
         strength = F.coalesce(strength, F.lit(WEAK_PRIOR))
         shrunk = (F.col(f"f_{r}") + m * strength) / (F.col("n_docs") + strength)
-        out = out.withColumn(f"rate_{r}", shrunk).withColumn(f"bad_{r}", shrunk > rate)
+        out = out.withColumn(f"rate_{r}", shrunk).withColumn(f"bad_{r}", shrunk > rates[r])
     return out.select(host, "n_docs", *(f"{k}_{r}" for r in HOST_RULES for k in ("rate", "bad")))
 
 
@@ -157,20 +162,20 @@ def judge(features: DataFrame, verdicts: DataFrame, host: str = "source") -> Dat
     return judged.drop(*bad.values())
 
 
-def quality_rules(docs: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", rates: dict[str, float] = HOST_RATES) -> DataFrame:
     """doc_id, host, the features and the verdicts of every document."""
     measured = text_features(docs.select("doc_id", host, "text")).drop("text")
     features = stage(measured, "features")
-    return judge(features, small(host_verdicts(features, host, rate)), host)
+    return judge(features, small(host_verdicts(features, host, rates)), host)
 
 
-def keep_good(docs: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
+def keep_good(docs: DataFrame, host: str = "source", rates: dict[str, float] = HOST_RATES) -> DataFrame:
     """The documents that pass, with their own columns, of whatever names.
 
     Texts are measured twice, once for the hosts and once for themselves, so that none is written or
     shuffled (hosts beyond the bound of a broadcast apart).
     """
-    verdicts = small(host_verdicts(text_features(docs.select(host, "text")), host, rate))
+    verdicts = small(host_verdicts(text_features(docs.select(host, "text")), host, rates))
     held = docs.select(
         "text", host, F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("_doc")
     )

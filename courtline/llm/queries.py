@@ -63,7 +63,7 @@ _QUALITY_CTES = rf"""
     ),
     failing as (
       select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-        [n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words,
+        [n_words < 50, 100 * n_repeat_words > 50 * n_words, n_symbols > n_words,
          n_dup_lines >= 3, word_chars < 2 * n_words or word_chars > 15 * n_words] as fails
       from measured
     ),
@@ -76,7 +76,7 @@ _QUALITY_CTES = rf"""
       select source, r from (
         select h.*, m, coalesce(greatest(case when v > 0 then m * (1 - m) / v - 1 end, 0), 2.0) as k
         from hosts h join prior using (r)
-      ) where (f + m * k) / (n + k) > 0.5
+      ) where (f + m * k) / (n + k) > [0.5, 0.5, 0.02, 0.1, 0.1][r]
     ),
     judged as (
       select *, exists (
