@@ -4,10 +4,15 @@ Source, language, document id and size are quantised to a few bits each; documen
 index of their cell on the Hilbert curve and the order is cut into runs of equal length. Neighbours on
 the curve are alike in all four, so the statistics of a shard's files prune on any of them.
 
-Law ``rows``: shard sizes in documents differ by one at most. Equal texts of one cell are neighbours.
-Defined results: NULL text has 8 bytes; NULL ids, sources and languages have cells of their own value
-(ordered last, ids first); repeated rows take neighbouring slots; fewer documents than shards leave
-shards empty; an empty table gives an empty result.
+Law ``rows``: shard sizes in documents differ by one at most. Equal texts are neighbours: all of them are
+placed by the cell of the first one, that with the least doc_id, so only a cut between two shards, of which
+there is one less than shards, can part them.
+
+Defined results: NULL text has 8 bytes and is equal to empty text; very long texts count by their bytes; NULL
+ids, sources and languages have cells of their own value (ordered last, ids first); within a cell documents go
+by text, then by doc_id, size, source and language, and rows that repeat all of these take neighbouring slots;
+fewer documents than shards leave shards empty; an empty table gives an empty result; other columns, of any
+name, are not read, and ``write_shards`` keeps them.
 """
 
 from __future__ import annotations
@@ -73,8 +78,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, source, lang, size, text_crc32, hilbert, shard, slot of every document."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + OVERHEAD
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
     meta = stage(
-        docs.select("doc_id", "source", "lang", size.alias("size"), crc.alias("text_crc32")), "meta"
+        docs.select("doc_id", "source", "lang", size.alias("size"), crc.alias("text_crc32"), text.alias("_text")), "meta"
     )
     facts = meta.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
     total, low, high = facts[0], facts[1] or 0, facts[2] or 0
@@ -84,12 +90,29 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     by_id = F.coalesce(F.floor((F.col("doc_id") - low) / step), F.lit(0)).cast("int")
     by_size = F.least(F.floor(F.log2(F.col("size") / OVERHEAD) * 4), F.lit(top)).cast("int")
     indexed = cells.withColumn("hilbert", _curve("_c0", "_c1", by_id, by_size)).drop("_c0", "_c1")
-    order = [F.col(c) for c in ("hilbert", "text_crc32", "doc_id", "size", "source", "lang")]
+    indexed = _beside_equals(stage(indexed, "cells"))
+    order = [F.col(c) for c in ("hilbert", *_TEXT, "doc_id", "source", "lang")]
     ranked = global_positions(indexed, order, {"_rank": F.lit(1)})
     n = max(total, 1)
     cut = ranked.withColumn("shard", F.expr(f"cast(_rank * {shards} div {n} as int)"))
     slot = F.expr(f"_rank - (cast(shard as bigint) * {n} + {shards - 1}) div {shards}")
-    return cut.withColumn("slot", slot).drop("_rank")
+    return cut.withColumn("slot", slot).drop("_rank", "_text")
+
+
+# What tells texts apart: 96 bits of hashes and the size.
+_TEXT = ("text_crc32", "_text", "size")
+
+
+def _beside_equals(indexed: DataFrame) -> DataFrame:
+    """Equal texts at the place of the first of them. Cells are added up before the shuffle, so a text of very
+    many rows is no hot key; what is looked up are the texts whose rows have different cells."""
+    cells = indexed.groupBy(*_TEXT).agg(
+        F.min(F.struct("doc_id", "hilbert"))["hilbert"].alias("_first"),
+        F.min("hilbert").alias("_low"), F.max("hilbert").alias("_high"),
+    )
+    moved = stage(cells.filter("_low < _high").select(*_TEXT, "_first"), "moved")
+    placed = lookup(indexed, moved, list(_TEXT), F.xxhash64("doc_id", "source", "hilbert"))
+    return placed.withColumn("hilbert", F.coalesce("_first", "hilbert")).drop("_first")
 
 
 def contract(sharded: DataFrame) -> DataFrame:
