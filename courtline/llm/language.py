@@ -5,12 +5,15 @@ their joined states labels every byte with a language, and the probabilities of
 are averaged. Texts are read whole, in windows of WINDOW bytes that begin with an empty state. The network
 is trained here, in numpy, by backpropagation through time with Adam.
 
-It is fitted on a bounded sample of labelled documents, PER_LANGUAGE of each language at most, drawn by a
-hash of the doc_id among the documents that are not held out. Only their text and lang are learned from.
+It is fitted on a bounded sample of labelled documents, drawn by a hash of the doc_id among the documents that
+are not held out: PER_LANGUAGE of each language at most, and fewer where there are very many languages, so that
+there are SAMPLE documents at most or one of each language; of a longer text a piece of PIECE characters, its
+place drawn too. Only their text and lang are learned from. Every language that occurs is learned.
 
 Defined results: ``und`` with score 0 for NULL, empty and letterless texts, and for all texts when no
-document is labelled; NULL doc_ids are not held out; repeated rows get equal results; an empty table gives
-an empty result; other columns, of any name, are not read.
+document is labelled; of languages with equal scores the first by name; NULL doc_ids are not held out;
+repeated rows get equal results; very long texts are read whole; an empty table gives an empty result; other
+columns, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lookup, small, text_batches
@@ -28,7 +31,8 @@ from .shingles import text_slices
 HIDDEN = 8
 WINDOW = 64
 PER_LANGUAGE = 300
-MAX_LANGUAGES = 200
+#: Documents of the sample, unless there are more languages, and characters of each: 48 MB at most.
+SAMPLE, PIECE = 6_000, 2_000
 STEPS, BATCH, RATE = 240, 192, 0.02
 #: Windows that a task reads side by side.
 SIDE_BY_SIDE = 2048
@@ -187,22 +191,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[BiGRU | None
         F.col("lang").isNotNull() & (F.octet_length("text") > 0) & ~held_out()
     )
     counts = small(known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
-    frequent = counts.orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES)
-    labels = sorted(r["lang"] for r in frequent.collect())
+    labels = sorted(r["lang"] for r in counts.select("lang").collect())
     if not labels:
         return None, labels
+    most = max(1, min(per_language, SAMPLE // len(labels)))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.least(F.lit(2.0 * per_language) / F.col("_n"), F.lit(1.0)) * (1 << 30)
-    drawn = lookup(known, counts, ["lang"]).filter(draw < share).select("lang", "text", draw.alias("_d"), "doc_id")
-    # At most about 2 * per_language rows of each language come here.
-    rows = drawn.orderBy("_d", "doc_id").limit(2 * per_language * len(labels)).collect()
-    taken: dict[str, list[str]] = {x: [] for x in labels}
-    for r in rows:
-        if r["lang"] in taken and len(taken[r["lang"]]) < per_language:
-            taken[r["lang"]].append(r["text"])
-    texts = [t for x in labels for t in taken[x]]
-    of = np.concatenate([np.full(len(taken[x]), i) for i, x in enumerate(labels)])
-    return (train(texts, of, len(labels)) if texts else None), labels
+    # Some more than are taken; the smallest draws of every language are among them.
+    share = F.least(F.lit(2.0 * most + 20) / F.col("_n"), F.lit(1.0)) * (1 << 30)
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - PIECE, F.lit(0)) + 1)
+    piece = F.substr("text", (place + 1).cast("int"), F.lit(PIECE)).alias("text")
+    drawn = lookup(known, counts, ["lang"]).filter(draw < share).select("lang", draw.alias("_d"), "doc_id", piece)
+    order = Window.partitionBy("lang").orderBy("_d", "doc_id", "text")
+    rows = drawn.withColumn("_i", F.row_number().over(order)).filter(F.col("_i") <= most).collect()
+    of = {x: i for i, x in enumerate(labels)}
+    rows.sort(key=lambda r: (of[r["lang"]], r["_i"]))
+    texts, own = [r["text"] for r in rows], np.array([of[r["lang"]] for r in rows], np.int64)
+    return (train(texts, own, len(labels)) if texts else None), labels
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
