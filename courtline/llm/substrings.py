@@ -287,11 +287,11 @@ def _verdicts_of_windows(pieces: DataFrame) -> DataFrame:
     each = pieces.select(
         "key", "ctx", "m", "most", F.posexplode(F.expr("sequence(1, shape & 63)")).alias("a", "_p"), "bytes"
     )
-    # Windows meet by a hash, as fragments and anchors do.
+    # Windows meet by a hash and by their anchor, which equal windows share.
     window = F.xxhash64(F.substring("bytes", F.col("_p"), LENGTH)).alias("w")
     each = each.select("key", "ctx", "m", "most", F.col("a").cast("long").alias("a"), window)
-    least = each.groupBy("w").agg(F.min("m").alias("_least"), F.max("most").alias("_most")).filter("_least < _most")
-    hit = each.drop("m").join(least.drop("_most"), "w").filter("_least < most")
+    least = each.groupBy("key", "w").agg(F.min("m").alias("_least"), F.max("most").alias("_most"))
+    hit = each.drop("m").join(least.filter("_least < _most").drop("_most"), ["key", "w"]).filter("_least < most")
     return hit.select("key", "ctx", "a", F.col("a").alias("b"), F.col("_least").alias("m"))
 
 
