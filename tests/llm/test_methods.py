@@ -381,3 +381,202 @@ def test_values_of_one_text_are_disclosed_by_their_class(spark):
         spans = [s.split(":") for s in r.spans.split(",") if s]
         found[r.doc_id] = {text[r.doc_id][int(a) : int(b)] for k, a, b in spans if k == "term"}
     assert "Zanzibar" in found[100] and "Lisbon" in found[110] and found[120] == {"Oslo"} and not found[0]
+
+
+def test_every_language_is_learned_however_many(spark):
+    names = [f"l{i:03d}" for i in range(300)]
+    docs = table(spark, [(10 * i + j, f"{chr(0x4E00 + i)} " * 12, x, "a") for i, x in enumerate(names) for j in range(6)])
+    net, labels = language.fit(docs)
+    assert labels == names and net.p["V"].shape[1] == len(net.p["c"]) == 300
+    got = language.identify(docs)
+    assert set(r.lang_pred for r in got.select("lang_pred").distinct().collect()) <= set(names)
+
+
+def test_the_sample_is_bounded_in_rows_and_characters(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda texts, of, n: seen.update(texts=texts, of=of, n=n))
+    monkeypatch.setattr(language, "SAMPLE", 30)
+    rows = [(i, "a" * 10_000 if i % 2 else f"b{i}" * 40_000, "x" if i % 2 else "y", "a") for i in range(400)]
+    language.fit(table(spark, rows))
+    assert seen["n"] == 2 and np.bincount(seen["of"]).tolist() == [15, 15]
+    assert {len(t) for t in seen["texts"]} == {language.PIECE}
+
+
+def test_predictions_equal_a_plain_forward_pass(spark, documents):
+    """Per-byte states and pooled probabilities, one byte after another, in plain Python lists."""
+    net, labels = language.fit(documents, 20)
+    few = documents.orderBy("n_chars").filter("n_chars > 80").limit(6)
+
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-v))
+
+    def states(data, d):
+        h, out, state = language.HIDDEN, [None] * len(data), np.zeros(language.HIDDEN)
+        for t in range(len(data)) if d == "f" else reversed(range(len(data))):
+            inner = net.p[f"W{d}"][data[t]] + net.p[f"b{d}"]
+            rec = state @ net.p[f"U{d}"]
+            z, r = sigmoid(inner[:h] + rec[:h]), sigmoid(inner[h : 2 * h] + rec[h : 2 * h])
+            new = np.tanh(inner[2 * h :] + r * rec[2 * h :])
+            state = (1 - z) * new + z * state
+            out[t] = state
+        return out
+
+    from courtline.llm.shingles import text_slices
+    import pyarrow as pa
+
+    texts = [r.text for r in few.collect()]
+    _, _, data, offsets = next(text_slices(pa.array(texts)))
+    mean, _ = language.pooled(net, data, offsets)
+    for text, got in zip(texts, mean):
+        total, raw = np.zeros(len(labels)), text.encode()
+        for i in range(0, len(raw), language.WINDOW):
+            part = raw[i : i + language.WINDOW]
+            for f, b in zip(states(part, "f"), states(part, "b")):
+                score = np.concatenate([f, b]) @ net.p["V"] + net.p["c"]
+                score = np.exp(score - score.max())
+                total += score / score.sum()
+        assert np.allclose(got, total / len(raw), atol=2e-3)
+
+
+def test_equal_texts_share_a_shard_but_for_the_cuts(spark, documents):
+    rows = sharding.shard(documents).collect()
+    shards = collections.defaultdict(set)
+    for r in rows:
+        shards[(r.text_crc32, r.size)].add(r.shard)
+    assert sum(len(s) - 1 for s in shards.values()) < sharding.SHARDS
+    hot = table(spark, [(i, "the same text" if i % 3 else f"text {i}", "en" if i % 2 else None, f"s{i % 7}") for i in range(600)])
+    got = sharding.shard(hot).filter("size = 21").select("shard").distinct().count()
+    assert got <= 400 // 25 + 2
+
+
+def test_shards_equal_a_plain_sort(spark, documents):
+    """Cells, the curve, the order and the cuts once more, row by row."""
+    docs = [(r.doc_id, r.text or "", r.lang, r.source) for r in documents.collect()]
+    n, top = len(docs), (1 << sharding.BITS) - 1
+
+    def ordinal(values):
+        known = sorted({v for v in values if v is not None}) + ([None] if None in values else [])
+        before, at = {}, 0
+        for v in known:
+            before[v] = at * (top + 1) // n
+            at += values.count(v)
+        return before
+
+    sources, langs = ordinal([d[3] for d in docs]), ordinal([d[2] for d in docs])
+    low, high = min(d[0] for d in docs), max(d[0] for d in docs)
+    step = (high - low) // (top + 1) + 1
+    cells = [
+        (sources[d[3]], langs[d[2]], (d[0] - low) // step, min(int(np.floor(np.log2((len(d[1].encode()) + 8) / 8) * 4)), top))
+        for d in docs
+    ]
+    curve = sharding.hilbert_index(np.array(cells), sharding.BITS).tolist()
+    first = {}
+    for d, c in sorted(zip(docs, curve)):
+        first.setdefault(d[1], c)
+    got = {r.doc_id: (r.hilbert, r.shard, r.slot) for r in sharding.shard(documents).collect()}
+    assert {d[0]: first[d[1]] for d in docs} == {i: h for i, (h, _, _) in got.items()}
+    order = sorted(got, key=lambda i: got[i][1:])
+    text = {d[0]: d[1] for d in docs}
+    assert [got[i][0] for i in order] == sorted(h for h, _, _ in got.values())
+    assert [got[i][1] for i in order] == [k * sharding.SHARDS // n for k in range(n)]
+    assert [got[i][2] for i in order] == [k - next(j for j in range(n) if j * sharding.SHARDS // n == k * sharding.SHARDS // n) for k in range(n)]
+    met = [text[i] for i in order]
+    assert all(len(set(met[i : met.index(t) + met.count(t)])) == 1 for i, t in enumerate(met) if met.index(t) == i)
+
+
+def test_ids_of_random_strings_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(8)
+    alphabet = list("aAzZ  09.,;:!?'\"-_#<|>()") + list("İıΣσςéÉßŐfiⅧ²½日本한‐’…🙂") + [
+        "́", "̇", "̧", "ͅ", "‍", " ", "\x1c", "\n", "é", "İ", "'s", "'RE", "<|endoftext|>", "<|STARTOFTEXT|>",
+    ]
+    cache, plain = WordCache(path, held=20_000), Tokenizer.from_file(path)
+    for _ in range(20):
+        texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 14))) for _ in range(5_000)]
+        ids, bounds = cache.encode(texts)
+        expected = plain.encode_batch(texts, add_special_tokens=False)
+        wrong = [t for t, a, b, e in zip(texts, bounds[:-1], bounds[1:], expected) if ids[a:b].tolist() != e.ids]
+        assert not wrong, wrong[:5]
+
+
+def test_one_id_on_many_rows_is_spread_over_files(spark, tmp_path):
+    rows = [(None if i % 2 else 7, f"text number {i} " * 40, "en", "a") for i in range(400)]
+    records.write_records(table(spark, rows), str(tmp_path / "r"), public_tokenizers.path("word_bpe_49k.json"), file_bytes=20_000)
+    records.write_index(spark, str(tmp_path / "r"), str(tmp_path / "i"))
+    index = records.token_starts(spark.read.parquet(str(tmp_path / "i")))
+    files = {r.doc_id: r.n for r in index.groupBy("doc_id").agg(F.countDistinct("file").alias("n")).collect()}
+    assert min(files.values()) > 2
+    ordered = index.orderBy("start").collect()
+    assert [r.doc_id for r in ordered] == [None] * 200 + [7] * 200
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(ordered, ordered[1:]))
+
+
+def _plain_terms(rows):
+    """Every (entity, term) scored by the definition; the terms that disclose any entity."""
+    texts = sorted({r[1] for r in rows})
+    n = len(texts)
+    word = re.compile(r"^(?=..)[^\W\d_]+(?:[-'’][^\W\d_]+)*$")
+    of = {t: {w for w in (x.strip(pii._MARKS).lower() for x in t.split()) if word.match(w)} for t in texts}
+    entities = collections.defaultdict(set)
+    for t in texts:
+        for address in re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", t):
+            entities[("value", address.lower())].add(t)
+            entities[("class", address.split("@")[1].lower())].add(t)
+    holding = collections.defaultdict(set)
+    for t in texts:
+        for w in of[t]:
+            holding[w].add(t)
+    chosen = set()
+    for of_entity in entities.values():
+        for w, of_term in holding.items():
+            both = len(of_entity & of_term)
+            if both and len(of_entity) < n:
+                score = np.log(both * n / (len(of_entity) * len(of_term))) * (both / (both + 1)) ** 2
+                if score >= pii.DISCLOSED * -np.log(len(of_entity) / n):
+                    chosen.add(w)
+    return chosen
+
+
+def test_terms_equal_a_score_of_every_pair(spark):
+    rng = random.Random(12)
+    common = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(60)]
+    rows = []
+    for i in range(300):
+        words = rng.choices(common, k=25)
+        if i % 9 == 0:
+            domain = rng.randrange(4)
+            words.insert(rng.randrange(25), f"user{rng.randrange(8)}@corp{domain}.example")
+            words += [f"hint{chr(97 + domain)}"] * (rng.random() < 0.8) + ["shared-clue"] * (rng.random() < 0.5)
+        if i % 31 == 0:
+            words.append(f"hint{chr(97 + rng.randrange(4))}")
+        rows.append((i, " ".join(words), "en", "a"))
+    rows += [(1000 + i, rows[9 * (i % 5)][1], "en", "a") for i in range(50)]
+    text = {r[0]: r[1] for r in rows}
+    want = _plain_terms(rows)
+    assert any(w.startswith("hint") for w in want)
+    for r in pii.report(table(spark, rows), everywhere=True).collect():
+        found = {text[r.doc_id][int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "term"}
+        assert found == {w for w in text[r.doc_id].split() if w in want}
+
+
+def test_sanitising_goes_by_rows(spark):
+    rows = [(None, "write to a@b.example now", "en", "a"), (5, "one c@d.example", "en", "a"), (5, "two", "en", "a"), (5, "one c@d.example", "en", "a")]
+    got = sorted((r.doc_id or 0, r.text) for r in pii.sanitise(table(spark, rows)).collect())
+    assert got == [(0, "write to [EMAIL] now"), (5, "one [EMAIL]"), (5, "one [EMAIL]"), (5, "two")]
+
+
+def test_verdicts_on_hosts_take_junk_and_leave_the_rest(spark):
+    from courtline.llm import quality
+
+    words = " ".join(f"w{i}" for i in range(70))
+    junk = " ".join(f"w{i}&&" for i in range(70))
+    bars = " ".join(f"w{i} |" if i % 2 else f"w{i}" for i in range(70))
+    rows = [(i, words, "en", f"h{i % 4}") for i in range(200)]
+    rows += [(300 + i, junk, "en", "h1") for i in range(10)] + [(400 + i, bars, "en", "h1") for i in range(10)]
+    rows += [(500 + i, words, "en", "h9") for i in range(3000)] + [(4000, junk, "en", "h9")]
+    got = {r.doc_id: r for r in quality.quality_rules(table(spark, rows)).collect()}
+    assert all(not got[300 + i].kept and got[300 + i].host_failed for i in range(10))
+    assert all(got[400 + i].kept for i in range(10)) and all(got[i].kept for i in range(200))
+    assert got[4000].kept  # one among three thousand is not the host's habit
