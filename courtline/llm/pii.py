@@ -1,22 +1,25 @@
 """Personal data and terms that disclose it (operator 5), DataFrame functions only.
 
 Addresses, card and phone numbers are found by fixed patterns (the base). The corpus then tells which other
-terms reveal them: for an entity e, a value that the base finds in several different texts, and a term t
-of these texts, wherever it stands, the pointwise mutual information log p(t, e) / (p(t) p(e)) over documents measures how much t
-discloses of e, at most the information content -log p(e), which it reaches when t never occurs without
-e. A term that discloses DISCLOSED of the content is a span of its own, to be generalised, at each of its
-places in the texts that hold the entity; with ``everywhere``, as operator 5 runs it, in all texts, as it
-reveals the entity above all where the value itself is not given.
+terms reveal them: for an entity e, a value that the base finds in the texts, and a term t of these texts,
+wherever it stands, the pointwise mutual information log p(t, e) / (p(t) p(e)) over documents measures how
+much t discloses of e, at most the information content -log p(e), which it reaches when t never occurs
+without e. The estimate is smoothed by (k / (k + 1))^2 for a pair met in k texts, so few texts prove little. A
+term that discloses DISCLOSED of the content is a span of its own, to be generalised, at each of its places in
+the texts that hold the entity; with ``everywhere``, as operator 5 runs it, in all texts, as it reveals the
+entity above all where the value itself is not given.
 
 An entity is also the class of a value, so that values met in one text only have what the corpus knows of
 their class: the domain of an e-mail address, the first three numbers of an IP address, the first six digits
 of a card, a phone number but for its last four digits. The kind alone is no entity; it identifies nobody.
 
 Probabilities are document frequencies over different texts; copies of a text count once in all of them
-and in the total, so they neither give support nor take it away. A pair needs SUPPORT different texts: below, its frequency says nothing.
+and in the total, so they neither give support nor take it away.
 
-Defined results: NULL and empty texts have no spans; repeated rows each get theirs; positions are code
-points, ends exclusive; an empty table gives an empty result; other columns, of any name, are not read.
+Defined results: NULL and empty texts have no spans; repeated rows each get theirs, and ``sanitise`` goes by
+rows, whatever their doc_ids; very long texts are read whole; of base spans that start together the kind listed
+first comes first; positions are code points, ends exclusive; an empty table gives an empty result; other
+columns, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, having, lookup, small, stage
+from .common import SPACES, having, small, stage, unused
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = len(KINDS)
@@ -39,9 +42,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 DOUBLE = r"(?<=[\x20-])[\x20-]|[\x20-](?=[\x20-])"
 
 #: Share of an entity's information content from which a term counts as disclosing it.
-DISCLOSED = 0.8
-#: Different texts in which term and entity must stand together.
-SUPPORT = 3
+DISCLOSED = 0.5
+#: Rows of one text from which its terms are broadcast instead of joined by the text.
+HOT_TEXT = 10_000
 #: Terms are words of letters, with hyphens and apostrophes inside; numbers and addresses are the base's business.
 WORD = r"^(?=..)[\p{L}\p{M}]+(?:[-'\u2019][\p{L}\p{M}]+)*$"
 _MARKS = ".,;:!?()[]{}\"'|#*$%&<>-"
@@ -85,9 +88,22 @@ def _valid() -> Column:
     )
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
+def smoothing(k: Column) -> Column:
+    """What of an estimate from k texts counts."""
+    return F.pow(k / (k + 1), F.lit(2))
+
+
+def support(share: float) -> int:
+    """The least k that is not ruled out whatever the estimate: below, smoothing alone takes too much."""
+    k = 1
+    while (k / (k + 1)) ** 2 < share:
+        k += 1
+    return k
+
+
+def base_spans(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Staged (_row, doc_id, text_hash, kind, start, end, value): a row per base span, and one
-    with kind NULL for every document without any."""
+    with kind NULL for every document without any. Rows are numbered here, or by the column ``row``."""
     t = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<kind:int,i:int,value:string,gap:int>>")
     masked = F.regexp_replace(t, DOUBLE, "x")
@@ -98,7 +114,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         F.when(t.contains("+"), _pieces(t, 3, PHONE)).otherwise(none),
     )
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"),
+        (F.monotonically_increasing_id() if row is None else F.col(row)).alias("_row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(t).alias("text_hash"),
         found.alias("found"),
@@ -164,36 +180,45 @@ def _entities() -> Column:
     return F.array(F.xxhash64("kind", F.lower(F.regexp_replace(value, r"[\x20().-]", ""))), F.xxhash64(F.lit("class"), kind, of))
 
 
+def _document_frequencies(docs: DataFrame, terms: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(t, df_t): different texts with each of the staged terms. Texts that occur once, most of them, are
+    counted in each task before the shuffle; only those of the staged ``repeated`` are told apart by text."""
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    once = having(_terms(having(hashed, "_text_hash", repeated, how="anti")), "t", terms)
+    several = having(_terms(having(hashed, "_text_hash", repeated)), "t", terms).distinct()
+    parts = [x.groupBy("t").agg(F.count(F.lit(1)).alias("n")) for x in (once, several)]
+    return parts[0].unionByName(parts[1]).groupBy("t").agg(F.sum("n").alias("df_t"))
+
+
 def disclosing_terms(docs: DataFrame, spans: DataFrame, everywhere: bool = False) -> DataFrame:
     """Staged (text_hash, start, end) of the terms that disclose an entity of the same text, or with
     ``everywhere`` of any text."""
+    least = support(DISCLOSED)
     known = spans.filter("kind is not null").select("text_hash", F.explode(_entities()).alias("entity"))
-    texts = known.groupBy("entity").agg(F.countDistinct("text_hash").alias("df_e"))
-    frequent = small(texts.filter(F.col("df_e") >= SUPPORT))
+    holding = known.groupBy("entity").agg(F.countDistinct("text_hash").alias("df_e"))
+    frequent = small(holding.filter(F.col("df_e") >= least))
     holders = stage(having(known, "entity", frequent.select("entity")).distinct(), "holders")
     # Terms of the texts that hold an entity, wherever they stand in them.
     held = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     held = having(held, "_text_hash", holders.select("text_hash").distinct())
     beside = stage(_terms(held).distinct(), "beside")
-    support = beside.groupBy("t").agg(F.count(F.lit(1)).alias("most")).filter(F.col("most") >= SUPPORT)
-    support = small(support)
+    met = small(beside.groupBy("t").agg(F.count(F.lit(1)).alias("most")).filter(F.col("most") >= least))
     nothing = spans.select("text_hash", "start", "end").limit(0)
-    if support.isEmpty():
+    if met.isEmpty():
         return nothing
-    # Document frequency of these terms over the whole corpus; counted in each task before the shuffle.
-    # Copies of a text are one text in all three frequencies and in the total.
-    counts = having(_terms(docs), "t", support.select("t")).distinct()
-    counts = counts.groupBy("t").agg(F.count(F.lit(1)).alias("df_t"))
-    n = F.lit(float(max(spans.select("text_hash").distinct().count(), 1)))
-    # Whatever df_te is, at most "most", a term in more texts than this is below the bound for every entity.
-    reach = F.col("most") * F.pow(n / SUPPORT, F.lit(1 - DISCLOSED)) * 1.000001
-    counts = small(counts.join(support, "t").filter(F.col("df_t") <= reach).select("t", "df_t"))
+    texts = stage(spans.groupBy("text_hash").agg(F.min("_row").alias("_a"), F.max("_row").alias("_b")), "texts")
+    n = F.lit(float(max(texts.count(), 1)))
+    repeated = stage(texts.filter("_a < _b").select("text_hash"), "repeated")
+    counts = _document_frequencies(docs, met.select("t"), repeated)
+    # Whatever a pair's texts, at most "most", a term in more texts than this is below the bound for all.
+    reach = F.col("most") * F.pow(n / least, F.lit(1 - DISCLOSED)) * 1.000001
+    counts = small(counts.join(met, "t").filter(F.col("df_t") <= reach).select("t", "df_t"))
     pairs = having(beside, "t", counts.select("t")).join(holders, "text_hash")
-    pairs = pairs.groupBy("entity", "t").agg(F.count(F.lit(1)).alias("df_te")).filter(F.col("df_te") >= SUPPORT)
+    pairs = pairs.groupBy("entity", "t").agg(F.count(F.lit(1)).alias("df_te")).filter(F.col("df_te") >= least)
     scored = pairs.join(frequent, "entity").join(counts, "t")
-    information = F.log(F.col("df_te") * n / (F.col("df_t") * F.col("df_e")))
+    information = F.log(F.col("df_te") * n / (F.col("df_t") * F.col("df_e"))) * smoothing(F.col("df_te"))
     content = -F.log(F.col("df_e") / n)
-    chosen = small(scored.filter(information >= DISCLOSED * content).select("entity", "t"))
+    chosen = small(scored.filter((information >= DISCLOSED * content) & (content > 0)).select("entity", "t"))
     if chosen.isEmpty():
         return nothing
     terms = small(chosen.select("t").distinct())
@@ -204,9 +229,9 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, everywhere: bool = False
     return stage(places.join(own, ["text_hash", "t"]).select("text_hash", "start", "end").distinct(), "terms")
 
 
-def all_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
+def all_spans(docs: DataFrame, everywhere: bool = False, row: str | None = None) -> DataFrame:
     """(_row, doc_id, spans) with spans = sorted array of (start, kind, end); kind TERM for the method's."""
-    base = base_spans(docs)
+    base = base_spans(docs, row)
     one = F.struct(F.col("start").cast("long").alias("start"), "kind", F.col("end").cast("long").alias("end"))
     # Rows without spans have kind NULL and an empty list.
     rows = base.groupBy("_row").agg(
@@ -215,12 +240,26 @@ def all_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     )
     term = F.struct("start", F.lit(TERM).alias("kind"), "end")
     terms = disclosing_terms(docs, base, everywhere).groupBy("text_hash").agg(F.collect_list(term).alias("terms"))
-    joined = lookup(rows, stage(terms, "by_text"), ["text_hash"])
+    terms = stage(terms.withColumnRenamed("text_hash", "_of"), "by_text")
+    joined = _with_terms(rows, terms, base)
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     spans = F.sort_array(F.concat("spans", F.coalesce("terms", empty)))
     return joined.select("_row", "doc_id", spans.alias("spans"))
 
 
+def _with_terms(rows: DataFrame, terms: DataFrame, base: DataFrame) -> DataFrame:
+    """Left join of rows and the terms of their texts. Texts of very many rows, of which there are few, come
+    by a broadcast, so that no text gathers its rows in one task."""
+    sizes = base.select("text_hash", "_row").groupBy("text_hash").agg(F.count(F.lit(1)).alias("_n"))
+    hot = small(sizes.filter(F.col("_n") > HOT_TEXT).select("text_hash"))
+    if hot.isEmpty():
+        return rows.join(terms, rows["text_hash"] == terms["_of"], "left")
+    large, usual = having(rows, "text_hash", hot), having(rows, "text_hash", hot, how="anti")
+    few = F.broadcast(having(terms, "_of", hot))
+    by_text = usual.join(terms, usual["text_hash"] == terms["_of"], "left")
+    return by_text.unionByName(large.join(few, large["text_hash"] == few["_of"], "left"))
+
+
 def _listed(spans: Column) -> Column:
     names = F.array(*(F.lit(k) for k in (*KINDS, "term")))
     return F.array_join(
@@ -254,10 +293,14 @@ def report(docs: DataFrame, everywhere: bool = False) -> DataFrame:
 def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """The documents with spans replaced by general names. Of overlapping spans the first one counts.
 
-    ``doc_id`` must be unique here. Text is cut at the spans, so the cost is text times spans of a document.
+    Rows are numbered and staged, so every row gets its own spans, whatever its doc_id. Text is cut at the
+    spans, so the cost is text times spans of a document.
     """
-    spans = all_spans(docs, everywhere).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"] == F.col("_id"), "left")
+    row = unused(docs, "_row_of")
+    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    spans = all_spans(held, everywhere, row).filter(F.size("spans") > 0)
+    spans = spans.select(F.col("_row").alias("_id"), F.col("spans").alias("_spans"))
+    joined = held.join(spans, held[row] == spans["_id"], "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     names = F.array(*map(F.lit, GENERAL))
 
