@@ -15,7 +15,8 @@ A bucket of more than BUCKET different fragments, as at the edge of a passage th
 quote, is dealt out again by its windows, each of which is then its own bucket of equal strings; no task
 holds a large bucket, and nothing is left out.
 
-Defined results: NULL and empty texts have nothing to remove; texts below LENGTH bytes keep all; rows that
+Defined results: NULL and empty texts have nothing to remove; texts below LENGTH bytes keep all; very long texts
+are cut into fragments in parts; rows that
 share a doc_id are separate documents of which neither is smaller; a NULL doc_id is smaller than any
 other; repeated text within a document is not removed; an empty table gives an empty result; other columns,
 of any name, are not read.
@@ -324,16 +325,18 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     return stage(held.join(numbers, "_row").select("doc", "doc_id", "text"), "numbered"), bits
 
 
-def _copies(own: DataFrame) -> DataFrame:
-    """Staged (doc, n_bytes): documents of LENGTH bytes or more whose whole text a smaller one has. All of it
-    goes, so they need no fragments, and a group of copies, however large, is one document from here on."""
+def _copies(own: DataFrame, shift: int = 0) -> DataFrame:
+    """Staged (doc, doc_id, n_bytes): documents of LENGTH bytes or more whose whole text a smaller one has. All of
+    it goes, so they need no fragments, and a group of copies, however large, is one document from here on, or
+    as many as share its smallest doc_id."""
     n = F.octet_length("text").cast("long").alias("n_bytes")
-    texts = own.select("doc", n, F.xxhash64("text").alias("_x"), F.xxhash64(F.reverse("text")).alias("_y"))
+    texts = own.select("doc", "doc_id", n, F.xxhash64("text").alias("_x"), F.xxhash64(F.reverse("text")).alias("_y"))
     texts = stage(texts.filter(F.col("n_bytes") >= LENGTH), "texts")
     keys = ["n_bytes", "_x", "_y"]
     first = texts.groupBy(*keys).agg(F.min("doc").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    found = texts.join(first.filter("_n > 1"), keys).filter(F.col("doc") > F.col("_first"))
-    return stage(found.select("doc", "n_bytes"), "copies")
+    smaller = F.shiftright("_first", shift) < F.shiftright("doc", shift)
+    found = texts.join(first.filter("_n > 1"), keys).filter(smaller)
+    return stage(found.select("doc", "doc_id", "n_bytes"), "copies")
 
 
 def removed_intervals(own: DataFrame, work: Workspace, shift: int = 0) -> DataFrame:
@@ -379,9 +382,22 @@ def removed_intervals(own: DataFrame, work: Workspace, shift: int = 0) -> DataFr
         right = large.withColumnRenamed("key", "_large")
         usual = pieces.join(right, pieces["key"] == right["_large"], "anti")
         verdicts = _verdicts_of_buckets(usual).unionByName(_verdicts_of_windows(having(pieces, "key", large)))
-    verdicts = work.stage(verdicts, "verdicts")
-    met = several.join(verdicts, ["key", "ctx"]).filter(smaller("m", "doc"))
-    more = met.select("doc", (start + F.col("a")).alias("a"), (start + F.col("b") + LENGTH).alias("b"))
+    # One row per class: the windows that each document takes, as bits. So a member meets one row.
+    bits = F.expr("shiftleft(shiftleft(1L, int(b - a + 1)) - 1, int(a))")
+    verdicts = verdicts.select("key", "ctx", F.struct("m", bits.alias("bits")).alias("v"))
+    by_class = work.stage(verdicts.groupBy("key", "ctx").agg(F.collect_list("v").alias("taken")), "verdicts")
+    met = several.join(by_class, ["key", "ctx"])
+    of = F.expr(f"aggregate(filter(taken, v -> {smaller('v.m', 'doc')}), 0L, (x, v) -> x | v.bits)")
+    met = met.select("doc", start.alias("start"), of.alias("bits")).filter("bits <> 0")
+    # Runs of windows that follow each other: from a bit without one below it to a bit without one above.
+    places = "filter(sequence(0, 62), i -> ({0} & shiftleft(1L, i)) <> 0)"
+    runs = F.arrays_zip(
+        F.expr(places.format("(bits & ~shiftleft(bits, 1))")).alias("a"),
+        F.expr(places.format("(bits & ~shiftrightunsigned(bits, 1))")).alias("b"),
+    )
+    more = met.select("doc", "start", F.explode(runs).alias("r")).select(
+        "doc", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") + LENGTH).alias("b")
+    )
     return intervals.unionByName(more)
 
 
@@ -398,8 +414,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is binary."""
     text_batches(docs.sparkSession)
     every, shift = _numbered(docs)
-    copies = _copies(every) if not shift else None
-    own = every if copies is None else having(every, "doc", copies.select("doc"), how="anti")
+    copies = _copies(every, shift)
+    own = having(every, "doc", copies.select("doc"), how="anti")
     with Workspace(docs.sparkSession) as work:
         cuts = removed_intervals(own, work, shift).groupBy("doc")
         cuts = stage(cuts.agg(F.collect_list(F.struct("a", "b")).alias("cuts")), "intervals")
@@ -431,11 +447,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept"),
     )
     out = same.unionByName(changed)
-    if copies is None:
-        return out
     nothing = F.lit(b"").cast("binary")
     gone = copies.select(
-        F.col("doc").alias("doc_id"), "n_bytes", F.col("n_bytes").alias("n_removed"),
+        "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"),
         F.lit(1).cast("long").alias("n_spans"), F.sha2(nothing, 256).alias("kept_sha256"), nothing.alias("kept"),
     )
     return out.unionByName(gone)

@@ -580,3 +580,38 @@ def test_verdicts_on_hosts_take_junk_and_leave_the_rest(spark):
     assert all(not got[300 + i].kept and got[300 + i].host_failed for i in range(10))
     assert all(got[400 + i].kept for i in range(10)) and all(got[i].kept for i in range(200))
     assert got[4000].kept  # one among three thousand is not the host's habit
+
+
+@pytest.mark.parametrize("bucket", [1, 3, 10_000])
+def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch, bucket):
+    """Near copies of one template, a passage quoted at many places, copies, and ids that repeat or are NULL."""
+    monkeypatch.setattr(substrings, "BUCKET", bucket)
+    rng = random.Random(21)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    template, passage = noise(400), noise(160)
+    rows = []
+    for i in range(60):
+        t = list(template)
+        for _ in range(rng.randrange(5)):
+            t[rng.randrange(len(t))] = "#"
+        rows += [(3 * i, "".join(t)), (3 * i + 1, noise(rng.randrange(90)) + passage + noise(40)), (3 * i + 2, noise(200))]
+    rows += [(None, template), (None, template), (7, template), (7, rows[6][1]), (500, rows[1][1]), (501, rows[1][1])]
+    rng.shuffle(rows)
+    starts = {}
+    for d, t in rows:
+        for k in range(len(t) - 49):
+            starts[t[k : k + 50]] = min(starts.get(t[k : k + 50], 10**9), -1 if d is None else d)
+    want = []
+    for d, t in rows:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 49):
+            if starts[t[k : k + 50]] < (-1 if d is None else d):
+                gone[k : k + 50] = True
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        want.append((d, len(t), int(gone.sum()), spans, hashlib.sha256(kept.encode()).hexdigest()))
+    got = substrings.deduplicate(table(spark, [(d, t, "en", "a") for d, t in rows])).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
