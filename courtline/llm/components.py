@@ -13,7 +13,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round points every node at the least label next to it and then at that label's label. Rounds
     are checkpointed; their number grows with the logarithm of the longest path. Sums are taken before
-    the shuffle, so a node with very many edges is no hot key; nothing is collected.
+    the shuffle, so a node with very many edges is no hot key; nothing is collected. Joins on a label gather
+    the nodes that share it, so the largest component is the largest task.
+
+    Defined results: an edge of a node with itself and repeated edges change nothing; a NULL end is no node
+    and its edge is left out; no edges give no rows; other columns, of any name, are not read.
     """
     pairs = small(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct())
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -13,8 +13,10 @@ under a shingle are they compared with each other, so components are exact, whil
 copies costs n comparisons and not n * n. Equal sets are one set throughout.
 
 Defined results: NULL, empty or blank text has an empty set and is a component of its own; fewer than
-five words are one shingle; repeated rows are copies of each other; an empty table gives an empty result;
-other columns are not read, whatever their names.
+five words are one shingle; very long texts give whole sets; repeated rows are copies of each other; of the
+documents of a component the smallest doc_id names it, and ``one_of_each`` keeps one row of it, of rows with that
+doc_id the first by a hash of all columns; an empty table gives an empty result; other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -75,7 +77,7 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def set_id(own: np.ndarray) -> int:
-    """64 bits of a set; sets are told apart by them and their size together."""
+    """64 bits of a set, by which sets are told apart."""
     total = mix64(own + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)
     return int(np.int64(total.view(np.int64)))
 

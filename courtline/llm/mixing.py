@@ -7,8 +7,10 @@ by Newton steps; each step is one aggregation over (source, size, number of docu
 rounded to whole copies, 0 to 3, so that the words taken from a source meet its target.
 
 Defined results: NULL or blank text has size 0 and changes no total; NULL is a source of its own, last
-in order; repeated rows are told apart by a row number of the staged table; an empty table gives an
-empty result; all weights fall to the sources that have words.
+in order; repeated rows are told apart by a row number of the staged table, which also settles every other
+tie, so that reruns on the same files agree; very long texts count by all their words; an empty table gives an
+empty result; all weights fall to the sources that have words; other columns, of any name, are not read, and
+``repeat_to_mix`` keeps them.
 """
 
 from __future__ import annotations
