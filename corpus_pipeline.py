@@ -1,4 +1,10 @@
-"""Corpus pipeline: documents through stages, each written as Parquet and read again by the next."""
+"""Corpus pipeline: documents through stages, each written as Parquet and read again by the next.
+
+Defined results: a document without text, or with an empty one, goes at the first stage; rows that repeat, or
+share or lack a doc_id, are rows of their own until the second stage keeps one of each linked group; very
+long texts are read whole by every stage; ties go by the rules of each operator; an empty table gives an empty
+result; extra columns, of any name, are kept up to the last stage, which returns shards and slots.
+"""
 
 from __future__ import annotations
 
