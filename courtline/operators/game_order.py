@@ -5,9 +5,9 @@ among the events of one clock value, so every plan has one order to follow. The
 check that as they go, where neighbours in the order lie side by side; ``check_event_order`` asks for more,
 unique numbers in the whole game, before anything is computed. A real game has a few hundred events, so
 one task per game is the cheapest plan: one shuffle on gameid serves every window. A damaged feed can still put a large share of all rows under one id (or under NULL). Those
-games are found by a count per game and take a second plan, which cuts a game into segments (one
-minute of one period), a segment into ticks (one clock value) and a tick into chunks of at most
-``CHUNK_ROWS`` consecutive event numbers, scans the chunks in parallel and carries the state between
+games are found by a count per game and take a second plan, which cuts a game into segments (ranges of
+about ``SEGMENT_TICKS`` clock values), a segment into ticks (one clock value) and a tick into chunks of at
+most ``CHUNK_ROWS`` consecutive event numbers, scans the chunks in parallel and carries the state between
 them through small summaries. Both plans give the same rows.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 # A game above this many rows takes the split plan; a task sorts that many rows with ease.
 HOT_GAME_ROWS = 1_000_000
 CHUNK_ROWS = 1_000_000
-# Clock seconds in a segment of a game.
-SEGMENT_SECONDS = 60
+# Clock values in a segment of a game, on average.
+SEGMENT_TICKS = 100_000
 
 TICK = ("gameid", "period", "seconds_remaining")
 
@@ -139,10 +139,25 @@ def by_game_size(
     return per_game(ordinary).unionByName(split(large))
 
 
-def segment() -> Column:
-    """Key of a segment: NULLs are values of their own inside the struct."""
-    minute = F.floor(F.col("seconds_remaining") / SEGMENT_SECONDS)
-    return F.struct("gameid", "period", minute.alias("minute"))
+def with_segments(ticks: DataFrame) -> DataFrame:
+    """Add ``_place``, the order of a tick in its game, and ``_seg``, the key of its segment.
+
+    A game is cut at clock values drawn by their hash, one of SEGMENT_TICKS, and a segment is what
+    lies between two cuts, whatever periods and clock values the game has. The draw depends on the
+    values alone, so every part of a plan finds the same cuts without a sort, a sample or a job. A game
+    has as many cuts as one of SEGMENT_TICKS of its ticks; most have none.
+    """
+    clock = F.col("seconds_remaining")
+    place = F.struct("period", clock.isNull().alias("unknown"), (-clock).alias("down"))
+    drawn = F.pmod(F.xxhash64(*TICK), F.lit(SEGMENT_TICKS)) == 0
+    placed = ticks.withColumn("_place", place)
+    cuts = placed.filter(drawn).groupBy(F.col("gameid").alias("_cut_game")).agg(
+        F.collect_list("_place").alias("_cuts")
+    )
+    known = placed.join(cuts, placed["gameid"].eqNullSafe(cuts["_cut_game"]), "left")
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place")))
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(passed)
+    return known.withColumn("_seg", F.struct("gameid", number.alias("n"))).drop("_cuts", "_cut_game")
 
 
 def with_chunks(events: DataFrame) -> DataFrame:

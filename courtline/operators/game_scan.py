@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .game_order import TICK, before_here, by_event, by_tick, in_order, segment, up_to_here, with_chunks
+from .game_order import TICK, before_here, by_event, by_tick, in_order, up_to_here, with_chunks, with_segments
 
 SCORES = ("h_pts", "a_pts")
 RUNNING = tuple(f"{c}_ff" for c in SCORES)
@@ -77,28 +77,27 @@ def _scan_ticks(ticks: DataFrame, scores: bool, marks: bool) -> DataFrame:
     """State of ticks (one row each) without a window over a whole game.
 
     Ticks are summarised per segment; windows over the segments of a game give each segment what
-    came before it, and windows over the ticks of a segment do the rest. Numbers of possessions
-    take a second pass, as a segment's first flag depends on what came before.
+    came before it, and windows over the ticks of a segment do the rest. Periods never fall along
+    the order, so the latest is the greatest. Numbers of possessions take a second pass, as a
+    segment's first flag depends on what came before.
     """
-    ticks = ticks.withColumns({"_seg": segment(), **{c: F.col(f"_tick.{c}") for c in TICK}})
-    clock = F.coalesce("seconds_remaining", F.lit(0.0))
+    ticks = with_segments(ticks.withColumns({c: F.col(f"_tick.{c}") for c in TICK}))
     parts: list[Column] = []
     if scores:
         parts += [F.max(c).alias(c) for c in SCORES]
     if marks:
-        on_ball = F.when(F.col("action_team").isNotNull(), clock)
-        parts += [F.min_by("action_team", on_ball).alias("action_team")]
-    order = [F.col("_seg.period").asc_nulls_first(), F.col("_seg.minute").desc_nulls_last()]
-    in_game = Window.partitionBy("_seg.gameid").orderBy(*order)
-    in_segment = Window.partitionBy("_seg").orderBy(F.col("seconds_remaining").desc_nulls_last())
-    segments = ticks.groupBy("_seg").agg(*(parts or [F.count(F.lit(1)).alias("_n")]))
+        on_ball = F.when(F.col("action_team").isNotNull(), F.col("_place"))
+        parts += [F.max_by("action_team", on_ball).alias("action_team"), F.max("period").alias("period")]
+    in_game = Window.partitionBy("_seg.gameid").orderBy("_seg.n")
+    in_segment = Window.partitionBy("_seg").orderBy("_place")
+    segments = ticks.groupBy("_seg").agg(*parts)
     carried = {}
     if scores:
         carried |= {f"_s_{c}": F.max(c).over(before_here(in_game)) for c in SCORES}
     if marks:
         carried |= {
             "_s_team": F.last("action_team", ignorenulls=True).over(before_here(in_game)),
-            "_s_period": F.lag("_seg.period").over(in_game),
+            "_s_period": F.max("period").over(before_here(in_game)),
         }
     known = ticks.join(segments.select("_seg", *(c.alias(n) for n, c in carried.items())), "_seg")
     if scores:
@@ -108,12 +107,13 @@ def _scan_ticks(ticks: DataFrame, scores: bool, marks: bool) -> DataFrame:
         )
     if not marks:
         return known
-    inside = F.last("action_team", ignorenulls=True).over(before_here(in_segment))
-    opens_segment = F.row_number().over(in_segment) == 1
+    inside = before_here(in_segment)
     flagged = known.withColumns(
         {
-            "prev_possession_team": F.coalesce(inside, "_s_team"),
-            "prev_period": F.when(opens_segment, F.col("_s_period")).otherwise(F.col("period")),
+            "prev_possession_team": F.coalesce(
+                F.last("action_team", ignorenulls=True).over(inside), "_s_team"
+            ),
+            "prev_period": F.coalesce(F.max("period").over(inside), "_s_period"),
         }
     )
     flagged = flagged.withColumn(

@@ -226,12 +226,14 @@ def density_grid(points: DataFrame, bins: int = S.GRID_BINS) -> DataFrame:
     """Add ``Density``: how many points share the cell of an equal-width grid over the data.
 
     The last edge belongs to the last cell; a range of zero width is widened by 0.5 both ways;
-    rows without coordinates are left out. Points are counted per place before the shuffle; how the
-    counts, bins x bins rows at most, are joined is left to adaptive execution.
+    rows without coordinates are left out. Points are counted per place before the shuffle, once: edges
+    and counts are read from the same exchange of places, as both ask for all of its columns. How the
+    counts, bins x bins rows at most, are joined to the rows is left to adaptive execution.
     """
     placed = _placed(points)
     places = placed.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_n"))
-    edges = places.agg(F.struct(*(c.alias(n) for n, c in _edges().items())).alias("e")).scalar()
+    bounds = {**_edges(), "points": F.sum("_n")}
+    edges = places.agg(F.struct(*(c.alias(n) for n, c in bounds.items())).alias("e")).scalar()
 
     def binned(rows: DataFrame) -> DataFrame:
         known = {n: F.col(f"_e.{n}") for n in _edges()}

@@ -83,3 +83,10 @@ def test_no_python_and_no_pairwise_join(frames, key):
     text = plan(catalog.QUERIES[key](frames))
     assert "Python" not in text and "InPandas" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_the_density_grid_counts_places_once(frames):
+    """Edges and counts read one exchange of places, so the facts are scanned for places and for rows."""
+    grid = catalog.QUERIES["shot_density_grid"](frames)
+    assert grid.collect()
+    assert "ReusedExchange [x" in plan(grid)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from courtline.functions.events import clock_seconds
 from courtline.operators import game_order
 from courtline.operators.clean import clean_events
 from courtline.operators.game_order import GameProfile, profile_games
@@ -14,7 +15,7 @@ from courtline.operators.possessions import (
     reconstruct_possessions,
 )
 from courtline.plans.pipeline import fact_frames
-from courtline.schema import FACT_SCHEMAS
+from courtline.schema import FACT_SCHEMAS, RAW_EVENTS
 
 from .helpers import events, rows, tied_game, worked_example
 
@@ -150,9 +151,9 @@ def test_number_repeated_in_other_games_is_fine(spark, frames):
     profile_games(frames.events.withColumn("event_seq", place))
 
 
-@pytest.mark.parametrize("seconds", [1, 60, 10_000])
-def test_segments_do_not_matter(spark, frames, monkeypatch, seconds):
-    monkeypatch.setattr(game_order, "SEGMENT_SECONDS", seconds)
+@pytest.mark.parametrize("ticks", [1, 4, 100_000])
+def test_segments_do_not_matter(spark, frames, monkeypatch, ticks):
+    monkeypatch.setattr(game_order, "SEGMENT_TICKS", ticks)
     monkeypatch.setattr(game_order, "CHUNK_ROWS", 2)
     raw = _awkward(spark, frames)
     split = profile_games(raw, hot_rows=0)
@@ -168,6 +169,47 @@ def test_no_window_of_the_split_plan_holds_a_game(spark, frames):
     assert all("_seg" in w or "_tick" in w or "_chunk" in w for w in whole)
 
 
+def test_a_minute_of_very_many_clock_values_is_cut(spark, monkeypatch):
+    """100,000 clock values in one minute: no segment, which is what a window holds, has many of them."""
+    monkeypatch.setattr(game_order, "SEGMENT_TICKS", 2_000)
+    clock = F.format_string("PT03M%.5fS", F.col("id") * 0.0005)
+    team = F.when(F.col("id") % 7 != 0, F.concat(F.lit("T"), (F.col("id") % 11 % 3).cast("string")))
+    kind = F.when(F.col("id") % 3 == 0, "Rebound").otherwise("Made Shot")
+    raw = spark.range(100_000).select(
+        F.lit("HOT").alias("gameid"), F.lit(2024).alias("season"), F.lit(2).alias("period"), clock.alias("clock"),
+        team.alias("team"), kind.alias("type"), F.lit("Layup (2 PTS)").alias("desc"),
+        (F.col("id") * 31 % 977).cast("double").alias("h_pts"), (F.col("id") * 17 % 991).cast("double").alias("a_pts"),
+        F.col("id").alias("event_seq"),
+    )
+    full = raw.select(*(
+        F.col(f.name).cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in RAW_EVENTS.fields
+    ), "event_seq")
+    ticks = full.select("gameid", "period", clock_seconds(F.col("clock")).alias("seconds_remaining")).distinct()
+    sizes = [r["count"] for r in game_order.with_segments(ticks).groupBy("_seg").count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) > 20 and max(sizes) < 2_000 * 12
+    columns = ("event_seq", "h_pts_ff", "a_pts_ff", "possession_team", "prev_possession_team", "possession_id")
+    split, plain = (marked(full, p).select(*columns).toPandas() for p in (GameProfile(hot_ids(spark, "HOT")), PLAIN))
+    split, plain = (f.sort_values("event_seq", ignore_index=True) for f in (split, plain))
+    assert len(plain) == 100_000 and split.equals(plain)
+
+
+def test_segments_follow_each_other_in_the_order_of_the_game(spark, monkeypatch):
+    """Cuts part a game by its order, unknown periods first and unknown clocks last of their period."""
+    monkeypatch.setattr(game_order, "SEGMENT_TICKS", 3)
+    known = [(g, p, s) for g in ("A", None) for p in (None, -70_000, 1, 2, 80_000) for s in (None, 0.0, 0.5, 59.9, 60.0, 1e6)]
+    ticks = spark.createDataFrame(known, "gameid string, period int, seconds_remaining double")
+    got = game_order.with_segments(ticks).collect()
+    assert len(got) == len(known)
+    for game in ("A", None):
+        mine = [r for r in got if r.gameid == game]
+        mine.sort(key=lambda r: (
+            r.period is not None, r.period or 0, r.seconds_remaining is None, -(r.seconds_remaining or 0.0)
+        ))
+        numbers = [r._seg.n for r in mine]
+        assert numbers == sorted(numbers) and len(set(numbers)) > 3
+
+
 def test_points_are_conserved(spark, frames):
     events_points = frames.marked.agg(F.sum("points_scored_event")).first()[0]
     assert frames.facts["fact_possessions"].agg(F.sum("points_scored")).first()[0] == events_points == 5713
