@@ -139,21 +139,21 @@ def by_game_size(
     return per_game(ordinary).unionByName(split(large))
 
 
-def with_segments(ticks: DataFrame) -> DataFrame:
+def with_segments(ticks: DataFrame, events: DataFrame) -> DataFrame:
     """Add ``_place``, the order of a tick in its game, and ``_seg``, the key of its segment.
 
-    A game is cut at clock values drawn by their hash, one of SEGMENT_TICKS, and a segment is what
-    lies between two cuts, whatever periods and clock values the game has. The draw depends on the
-    values alone, so every part of a plan finds the same cuts without a sort, a sample or a job. A game
-    has as many cuts as one of SEGMENT_TICKS of its ticks; most have none.
+    A game is cut at clock values of ``events`` drawn by their hash, one of SEGMENT_TICKS, and a segment
+    is what lies between two cuts, whatever periods and clock values the game has. The draw depends on
+    the values alone, so every part of a plan finds the same cuts without a sort, a sample or a job, and
+    drops all other rows where it reads them. Most games have no cut.
     """
     clock = F.col("seconds_remaining")
     place = F.struct("period", clock.isNull().alias("unknown"), (-clock).alias("down"))
     drawn = F.pmod(F.xxhash64(*TICK), F.lit(SEGMENT_TICKS)) == 0
-    placed = ticks.withColumn("_place", place)
-    cuts = placed.filter(drawn).groupBy(F.col("gameid").alias("_cut_game")).agg(
-        F.collect_list("_place").alias("_cuts")
+    cuts = events.filter(drawn).select(*TICK).distinct().groupBy(F.col("gameid").alias("_cut_game")).agg(
+        F.collect_list(place).alias("_cuts")
     )
+    placed = ticks.withColumn("_place", place)
     known = placed.join(cuts, placed["gameid"].eqNullSafe(cuts["_cut_game"]), "left")
     passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place")))
     number = F.when(F.col("_cuts").isNull(), 0).otherwise(passed)

@@ -73,57 +73,84 @@ def per_game_marks(events: DataFrame) -> DataFrame:
     )
 
 
-def _scan_ticks(ticks: DataFrame, scores: bool, marks: bool) -> DataFrame:
+def _started(before: Column) -> Column:
+    """How many possessions a segment starts, given the team that held the ball before it.
+
+    Ticks after its first team are counted from within (``inner``). That first team starts one unless
+    it goes on with the one before in the same period; ticks before it start one with each new period.
+    """
+    turned = F.coalesce(F.col("first_period") != F.col("_s_period"), F.lit(False))
+    goes_on = (F.col("opener") == before) & ~F.col("opener_turned") & ~(F.col("opens") & turned)
+    idle = F.col("idle") + F.when(turned & ~F.col("opens"), 1).otherwise(0)
+    return (
+        F.col("inner")
+        + F.when(F.col("opener").isNotNull() & ~F.coalesce(goes_on, F.lit(False)), 1).otherwise(0)
+        + F.when(before.isNotNull(), idle).otherwise(0)
+    )
+
+
+def _scan_ticks(ticks: DataFrame, events: DataFrame, scores: bool, marks: bool) -> DataFrame:
     """State of ticks (one row each) without a window over a whole game.
 
-    Ticks are summarised per segment; windows over the segments of a game give each segment what
-    came before it, and windows over the ticks of a segment do the rest. Periods never fall along
-    the order, so the latest is the greatest. Numbers of possessions take a second pass, as a
-    segment's first flag depends on what came before.
+    Windows over the ticks of a segment tell what is known within it, segments are summarised, and
+    windows over the segments of a game give each segment what came before it, the number of
+    possessions included (see ``_started``). Periods never fall along the order, so the latest is the
+    greatest.
     """
-    ticks = with_segments(ticks.withColumns({c: F.col(f"_tick.{c}") for c in TICK}))
-    parts: list[Column] = []
-    if scores:
-        parts += [F.max(c).alias(c) for c in SCORES]
-    if marks:
-        on_ball = F.when(F.col("action_team").isNotNull(), F.col("_place"))
-        parts += [F.max_by("action_team", on_ball).alias("action_team"), F.max("period").alias("period")]
-    in_game = Window.partitionBy("_seg.gameid").orderBy("_seg.n")
+    ticks = with_segments(ticks.withColumns({c: F.col(f"_tick.{c}") for c in TICK}), events)
+    in_game = before_here(Window.partitionBy("_seg.gameid").orderBy("_seg.n"))
     in_segment = Window.partitionBy("_seg").orderBy("_place")
-    segments = ticks.groupBy("_seg").agg(*parts)
-    carried = {}
+    inside = before_here(in_segment)
+    own: dict[str, Column] = {}
+    totals: list[Column] = []
+    carried: dict[str, Column] = {}
     if scores:
-        carried |= {f"_s_{c}": F.max(c).over(before_here(in_game)) for c in SCORES}
+        own |= {f"_i_{c}": F.max(c).over(inside) for c in SCORES}
+        totals += [F.max(c).alias(c) for c in SCORES]
+        carried |= {f"_s_{c}": F.max(c).over(in_game) for c in SCORES}
     if marks:
+        own |= {
+            "_team": F.last("action_team", ignorenulls=True).over(inside),
+            "_period": F.max("period").over(inside),
+            "_first": F.row_number().over(in_segment) == 1,
+        }
+        team, held, first = F.col("action_team"), F.col("_team"), F.col("_first")
+        turned = F.coalesce(F.col("period") != F.col("_period"), F.lit(False))
+        on_ball = F.when(team.isNotNull(), F.col("_place"))
+        totals += [
+            F.max_by("action_team", on_ball).alias("action_team"),
+            F.max("period").alias("period"),
+            F.min_by("action_team", on_ball).alias("opener"),
+            F.max(F.when(first, F.col("period"))).alias("first_period"),
+            F.bool_or(first & team.isNotNull()).alias("opens"),
+            F.bool_or(held.isNull() & team.isNotNull() & turned).alias("opener_turned"),
+            F.count_if(held.isNotNull() & ((F.coalesce(team, held) != held) | turned)).alias("inner"),
+            F.count_if(held.isNull() & team.isNull() & turned).alias("idle"),
+        ]
         carried |= {
-            "_s_team": F.last("action_team", ignorenulls=True).over(before_here(in_game)),
-            "_s_period": F.max("period").over(before_here(in_game)),
+            "_s_team": F.last("action_team", ignorenulls=True).over(in_game),
+            "_s_period": F.max("period").over(in_game),
         }
-    known = ticks.join(segments.select("_seg", *(c.alias(n) for n, c in carried.items())), "_seg")
+    seen = ticks.withColumns(own)
+    segments = seen.groupBy("_seg").agg(*totals).withColumns(carried)
+    if marks:
+        before = F.sum(_started(F.col("_s_team"))).over(in_game)
+        segments = segments.withColumn("_before", F.coalesce(before, F.lit(0)))
+        carried |= {"_before": before}
+    known = seen.join(segments.select("_seg", *carried), "_seg")
     if scores:
-        earlier = before_here(in_segment)
-        known = known.withColumns(
-            {f"_t_{c}": F.greatest(F.max(c).over(earlier), f"_s_{c}") for c in SCORES}
-        )
+        known = known.withColumns({f"_t_{c}": F.greatest(f"_i_{c}", f"_s_{c}") for c in SCORES})
     if not marks:
         return known
-    inside = before_here(in_segment)
-    flagged = known.withColumns(
+    known = known.withColumns(
         {
-            "prev_possession_team": F.coalesce(
-                F.last("action_team", ignorenulls=True).over(inside), "_s_team"
-            ),
-            "prev_period": F.coalesce(F.max("period").over(inside), "_s_period"),
+            "prev_possession_team": F.coalesce("_team", "_s_team"),
+            "prev_period": F.coalesce("_period", "_s_period"),
         }
-    )
-    flagged = flagged.withColumn(
-        "possession_team", F.coalesce("action_team", "prev_possession_team")
-    ).withColumn("is_new_possession", _starts_possession())
-    counts = flagged.groupBy("_seg").agg(F.sum("is_new_possession").alias("_started"))
-    before = F.coalesce(F.sum("_started").over(before_here(in_game)), F.lit(0))
-    numbered = flagged.join(counts.select("_seg", before.alias("_before")), "_seg")
+    ).withColumn("possession_team", F.coalesce("action_team", "prev_possession_team"))
+    flagged = known.withColumn("is_new_possession", _starts_possession())
     number = F.sum("is_new_possession").over(up_to_here(in_segment)) + F.col("_before")
-    return numbered.withColumn("possession_id_game", number)
+    return flagged.withColumn("possession_id_game", number)
 
 
 def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) -> DataFrame:
@@ -160,7 +187,7 @@ def split_scan(events: DataFrame, scores: bool = False, marks: bool = False) ->
     if marks:
         # A tick's first event number stands for it.
         tick_state += [F.col("event_seq").alias("_first"), *map(F.col, MARKS)]
-    ticks = _scan_ticks(chunks.groupBy("_tick").agg(*merged).select("_tick.*", "*"), scores, marks)
+    ticks = _scan_ticks(chunks.groupBy("_tick").agg(*merged), events, scores, marks)
     ticks = ticks.select("_tick", *tick_state)
 
     chunk_state = ["_tick", "_chunk"]

@@ -186,7 +186,7 @@ def test_a_minute_of_very_many_clock_values_is_cut(spark, monkeypatch):
         for f in RAW_EVENTS.fields
     ), "event_seq")
     ticks = full.select("gameid", "period", clock_seconds(F.col("clock")).alias("seconds_remaining")).distinct()
-    sizes = [r["count"] for r in game_order.with_segments(ticks).groupBy("_seg").count().collect()]
+    sizes = [r["count"] for r in game_order.with_segments(ticks, ticks).groupBy("_seg").count().collect()]
     assert sum(sizes) == 100_000 and len(sizes) > 20 and max(sizes) < 2_000 * 12
     columns = ("event_seq", "h_pts_ff", "a_pts_ff", "possession_team", "prev_possession_team", "possession_id")
     split, plain = (marked(full, p).select(*columns).toPandas() for p in (GameProfile(hot_ids(spark, "HOT")), PLAIN))
@@ -199,7 +199,7 @@ def test_segments_follow_each_other_in_the_order_of_the_game(spark, monkeypatch)
     monkeypatch.setattr(game_order, "SEGMENT_TICKS", 3)
     known = [(g, p, s) for g in ("A", None) for p in (None, -70_000, 1, 2, 80_000) for s in (None, 0.0, 0.5, 59.9, 60.0, 1e6)]
     ticks = spark.createDataFrame(known, "gameid string, period int, seconds_remaining double")
-    got = game_order.with_segments(ticks).collect()
+    got = game_order.with_segments(ticks, ticks).collect()
     assert len(got) == len(known)
     for game in ("A", None):
         mine = [r for r in got if r.gameid == game]
