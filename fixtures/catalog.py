@@ -64,10 +64,14 @@ class Frames:
     def facts(self) -> dict[str, DataFrame]:
         return pipeline.fact_frames(self.events, self.profile)
 
+    def staging(self) -> Staging:
+        """Tables that go with ``release``."""
+        self._stagings.append(Staging(self.spark))
+        return self._stagings[-1]
+
     def folder(self) -> str:
         """A folder that goes with ``release``."""
-        self._stagings.append(Staging(self.spark))
-        return self._stagings[-1].root
+        return self.staging().root
 
     def release(self) -> None:
         """Drop whatever was written for these frames; they write it again when asked."""
@@ -264,9 +268,11 @@ _event_columns(
 
 
 def _all_split(f: Frames) -> DataFrame:
-    """Every game through the plan for oversized games."""
-    profile = profile_games(f.events, hot_rows=0)
-    cleaned = clean.clean_events(f.events, profile)
+    """Every game through the plan for oversized games; ids and scored events are staged, as the
+    pipeline does with ids and rows, so neither is computed again wherever the plan reads it."""
+    staging = f.staging()
+    profile = profile_games(f.events, hot_rows=0, keep=lambda ids: staging.keep(ids, "ids"))
+    cleaned = staging.keep(clean.clean_events(f.events, profile), "cleaned")
     return possessions.reconstruct_possessions(cleaned, profile)
 
 
