@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from courtline.llm import jaccard, language, mixing, pii, records, sharding, substrings, token_counts
+from courtline.llm.common import lookup
 from courtline.llm.components import components
 from courtline.llm.suffixes import suffix_arrays
 from courtline.llm.wordcache import WordCache
@@ -43,6 +44,19 @@ def test_components_are_exact(spark):
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_components_of_a_star(spark, monkeypatch, copies):
+    """A node with 100,000 edges, least or greatest of its component, and a tail behind one of its leaves."""
+    if copies:  # lookups as for tables too large to be broadcast
+        monkeypatch.setattr(lookup, "__defaults__", (None, 0))
+    leaves = spark.range(1, 100_001).select(F.col("id").alias("a"), F.lit(200_000).cast("long").alias("b"))
+    low = spark.range(300_001, 302_001).select(F.lit(300_000).cast("long").alias("a"), F.col("id").alias("b"))
+    tail = spark.createDataFrame([(100_000, 250_000), (250_000, 250_001), (250_001, 250_002), (None, 7), (8, 8)], "a bigint, b bigint")
+    got = components(leaves.unionByName(low).unionByName(tail))
+    assert {tuple(r) for r in got.groupBy("component").count().collect()} == {(1, 100_004), (300_000, 2_001)}
+    assert got.filter("node >= 300000 and component <> 300000").isEmpty()
+
+
 def test_links_equal_all_pairs(spark):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(60)}" for _ in range(rng.randrange(5, 90))] for _ in range(12)]
