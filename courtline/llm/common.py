@@ -3,6 +3,8 @@ positions."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,19 +21,42 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), one is made and set."""
+    """The folder in spark.checkpoint.dir; where it is unset (tests), one is made, set and at the end of
+    this process removed."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if "dir" not in _OWN:
             _OWN["dir"] = tempfile.mkdtemp(prefix="llm-shared-")
+            atexit.register(shutil.rmtree, _OWN["dir"], ignore_errors=True)
         folder = _OWN["dir"]
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 _OWN: dict[str, str] = {}
+#: By application and shared folder, the database in whose folder its staged tables lie.
+_SCRATCH: dict[tuple[str, str], str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder of this application in the shared one. It is the place of a database without tables,
+    through which Spark itself removes it, see ``release``."""
+    own = (spark.sparkContext.applicationId, shared_dir(spark))
+    if own not in _SCRATCH:
+        name = f"llm_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{own[1]}/{name}'")
+        _SCRATCH[own] = name
+    return f"{own[1]}/{_SCRATCH[own]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what operators of this application have staged and not removed themselves. Results that
+    were not written or read by then cannot be read any more; what is staged later has a new folder."""
+    name = _SCRATCH.pop((spark.sparkContext.applicationId, shared_dir(spark)), None)
+    if name is not None:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -45,9 +70,10 @@ def text_batches(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage and survives lost executors."""
+    """Write to the shared folder and read again: cuts the lineage and survives lost executors. The files
+    stay until ``release``, as results read them."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    path = f"{scratch(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     bitplanes, decontamination, jaccard, language, mixing, pii, quality, records, runs, sharding, substrings, token_counts, topk,
 )
-from .common import shared_dir
+from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,7 +149,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_token_records")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    folder = f"{scratch(spark)}/{uuid.uuid4().hex}"
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     records.write_records(documents(spark, sf_dir), f"{folder}/records", tokenizer)
     records.write_index(spark, f"{folder}/records", f"{folder}/index")

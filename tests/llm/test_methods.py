@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from courtline.llm import jaccard, language, mixing, pii, records, sharding, substrings, token_counts
-from courtline.llm.common import lookup
+from courtline.llm.common import lookup, release, scratch, stage
 from courtline.llm.components import components
 from courtline.llm.suffixes import suffix_arrays
 from courtline.llm.wordcache import WordCache
@@ -44,6 +45,18 @@ def test_components_are_exact(spark):
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
 
 
+def test_staged_files_go_when_released(spark):
+    docs = table(spark, [(1, PLAIN, "en", "a"), (2, None, None, None)])
+    folder = scratch(spark)
+    kept = stage(docs, "one")
+    assert kept.count() == 2 and len(sharding.shard(docs).collect()) == 2
+    assert os.path.isdir(folder) and os.listdir(folder)
+    release(spark)
+    release(spark)
+    assert not os.path.exists(folder)
+    assert stage(docs, "one").count() == 2 and scratch(spark) != folder
+
+
 @pytest.mark.parametrize("copies", [False, True])
 def test_components_of_a_star(spark, monkeypatch, copies):
     """A node with 100,000 edges, least or greatest of its component, and a tail behind one of its leaves."""
