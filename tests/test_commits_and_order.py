@@ -14,6 +14,7 @@ from courtline.plans.pipeline import fact_frames, independent_facts, measure_eve
 from courtline.plans.staging import Staging
 from courtline.schema import FACT_SCHEMAS, RAW_EVENTS
 from courtline.sources import fact_store
+from courtline.sources import event_files
 from courtline.sources.event_files import ingest_data, literal_folder, sortable_name
 from courtline.sources.fact_store import FactStore
 
@@ -61,6 +62,27 @@ def test_the_scan_has_no_list_and_no_join(spark, tmp_path):
     assert df.filter("event_seq.file like '%/%'").count() == 0
 
 
+def test_ranks_follow_files_and_rows_without_a_sort_of_rows(spark, tmp_path):
+    sizes = {"part_10.csv": 700, "part_2.csv": 3, "part_1 b.csv": 400, "part_3.csv": 0}
+    for name, n in sizes.items():
+        (tmp_path / name).write_text("\n".join([HEADER, *(_line(i) for i in range(n))]) + "\n")
+    name = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(name)
+    try:
+        for most in (usual, "9000"):
+            spark.conf.set(name, most)
+            df = event_files.ranked_events(spark, f"{tmp_path}/*.csv")
+            want = [r[:-1] for r in ingest_data(spark, f"{tmp_path}/*.csv").orderBy("event_seq").collect()]
+            got = sorted((tuple(r) for r in df.collect()), key=lambda r: r[-1])
+            assert [r[-1] for r in got] == list(range(1, 1104))
+            assert [r[:-1] for r in got] == want
+            # What is sorted and windowed is a row per split: the rows themselves are on the side without an exchange.
+            assert "rangepartitioning" not in plan(df) and plan(df).count("Window") >= 1
+            assert "BroadcastHashJoin" in plan(df)
+    finally:
+        spark.conf.set(name, usual)
+
+
 def test_ten_folders_give_equal_facts(spark, frames, tmp_path):
     names = RAW_EVENTS.fieldNames()
     game = [r for r in frames.events.filter("gameid in ('G00001', 'G00002')").orderBy("event_seq").select(*names).collect()]
