@@ -642,3 +642,31 @@ def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch, bucket):
         want.append((d, len(t), int(gone.sum()), spans, hashlib.sha256(kept.encode()).hexdigest()))
     got = substrings.deduplicate(table(spark, [(d, t, "en", "a") for d, t in rows])).drop("kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_large_buckets_keep_only_what_may_repeat(spark, monkeypatch):
+    """Fragments of one anchor: those that share no window drop out, equal parts need no order, others become buckets."""
+    monkeypatch.setattr(substrings, "BUCKET", 3)
+    rng = random.Random(4)
+    anchor = b"0123456789abcdef"
+    letters = b"ghijklmnopqrstuvwxyz"
+
+    def noise(n):
+        return bytes(rng.choice(letters) for _ in range(n))
+
+    schema = "key bigint, ctx bigint, shape int, m bigint, most bigint, bytes binary, bucket bigint, skip int"
+
+    def parts(texts):
+        rows = [(1, i, 34 << 6 | 35, i, i, bytearray(t), 1, 0) for i, t in enumerate(texts)]
+        with substrings.Workspace(spark) as work:
+            verdicts, usual = substrings._parts_of_large(spark.createDataFrame(rows, schema), work)
+            return [tuple(r) for r in verdicts.collect()], [tuple(r) for u in usual for r in u.select("ctx", "skip", "shape").collect()]
+
+    assert parts([noise(34) + anchor + noise(34) for _ in range(30)]) == ([], [])
+    tail = noise(34)
+    verdicts, usual = parts([noise(32) + bytes([128 + i]) + b"g" + anchor + tail for i in range(30)])
+    # Windows 33 and 34 alone begin at or behind the shared byte.
+    assert not usual
+    assert {(ctx, w) for _, ctx, a, b, m in verdicts for w in range(a, b + 1) if m == 0} == {
+        (i, w) for i in range(1, 30) for w in (33, 34)
+    }
