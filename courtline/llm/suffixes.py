@@ -1,169 +1,76 @@
-"""Suffix arrays of many small buckets of strings at once, by grouping on Lyndon prefixes.
+"""Suffix arrays of many small buckets of strings at once, by ranks of longer and longer prefixes.
 
-Suffixes of a bucket are first grouped by their first byte. Groups are then processed in descending order.
-For each suffix of the group at hand, the pointer to the previous smaller suffix leads to the one suffix
-whose Lyndon prefix it continues; those are moved to the end of their own group, the ones continued more
-often further back. When the last group is done, suffixes are grouped by their whole Lyndon prefix, and the
-groups are in order. In ascending order each group then orders its members by the rank of the next smaller
-suffix, known by then. No names are given and nothing recurs.
+Suffixes are ranked by their first WORD bytes. The ranks of the prefixes that begin at a suffix, behind the first
+and behind the second then rank prefixes of three times the length, until these are as long as asked for or as the
+longest string. A bucket's suffixes by rank are its suffix array. Ranks do not depend on the bucket, so that every
+step is one sort of all buckets' suffixes in numpy, however the strings are made.
 
-The steps of one bucket are sequential; those of different buckets are not, so step k is done for all
-buckets together in numpy. A string ends with a sentinel below all bytes; suffixes that are equal up to it
-have no order among themselves.
+A string ends with a sentinel below all bytes; suffixes that are equal up to it, or in as many bytes as asked for,
+have the same rank and no order among themselves.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Bytes in a first rank, below which there is room for how many of them the string has.
+WORD = 7
 
-def _ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """All integers of the ranges, one after the other."""
-    lengths = ends - starts
-    total = np.cumsum(lengths)
-    n = int(total[-1]) if len(total) else 0
-    return np.repeat(starts - (total - lengths), lengths) + np.arange(n)
 
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Ranks from 1; equal keys have equal ranks."""
+    order = np.argsort(key)
+    sorted_key = key[order]
+    new = np.ones(len(key), np.int64)
+    new[1:] = sorted_key[1:] != sorted_key[:-1]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank
 
-def suffix_arrays(text: np.ndarray, string_start: np.ndarray, bucket_start: np.ndarray) -> np.ndarray:
-    """Order of the suffixes within each bucket, bucket after bucket.
-
-    ``text`` holds the strings end to end, ``string_start`` and ``bucket_start`` the first positions
-    (with the length of the text at the end); every bucket begins at a string.
-    """
-    n = len(text)
-    if n == 0:
-        return np.zeros(0, np.int64)
-    first = np.repeat(string_start[:-1], np.diff(string_start))
-    bucket = np.repeat(np.arange(len(bucket_start) - 1), np.diff(bucket_start))
-    previous, head, size, order = _lyndon_groups(text, first, bucket, bucket_start)
-    return _emit(previous, head, size, order, first, string_start, bucket_start)
-
-
-def _lyndon_groups(
-    text: np.ndarray, first: np.ndarray, bucket: np.ndarray, bucket_start: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(previous smaller suffix or -1, start of the own group, group size by start, suffixes by group)."""
-    n = len(text)
-    code = bucket * 256 + text
-    order = np.argsort(code, kind="stable")
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    sorted_code = code[order]
-    begins = np.flatnonzero(np.concatenate([[True], sorted_code[1:] != sorted_code[:-1]]))
-    size = np.zeros(n, np.int64)
-    size[begins] = np.diff(np.append(begins, n))
-    head = np.empty(n, np.int64)
-    head[order] = np.repeat(begins, size[begins])
-    previous = np.arange(-1, n - 1)
-    previous[previous < first] = -1
-    low, high = bucket_start[:-1].copy(), bucket_start[1:].copy()
-    while True:
-        active = low < high
-        if not active.all():
-            low, high = low[active], high[active]
-            if not len(low):
-                return previous, head, size, order
-        start = head[order[high - 1]]
-        members = order[_ragged(start, high)]
-        own = np.repeat(start, high - start)
-        high = start
-        # Previous smaller suffix: jump over suffixes of this and of higher groups.
-        at = previous[members]
-        todo = np.flatnonzero(at >= 0)
-        while len(todo):
-            todo = todo[head[at[todo]] >= own[todo]]
-            at[todo] = previous[at[todo]]
-            todo = todo[at[todo] >= 0]
-        previous[members] = at
-        parents = at[at >= 0]
-        if len(parents):
-            _move_up(np.sort(parents), order, place, head, size)
-
-
-def _move_up(parents: np.ndarray, order: np.ndarray, place: np.ndarray, head: np.ndarray, size: np.ndarray) -> None:
-    """Move continued suffixes, given once per continuation, to the end of their groups."""
-    change = np.flatnonzero(np.concatenate([[True], parents[1:] != parents[:-1]]))
-    moved, times = parents[change], np.diff(np.append(change, len(parents)))
-    group = head[moved]
-    by = np.lexsort((times, group))
-    moved, times, group = moved[by], times[by], group[by]
-    new_group = np.concatenate([[True], group[1:] != group[:-1]])
-    g_at = np.flatnonzero(new_group)
-    n_moved = np.diff(np.append(g_at, len(moved)))
-    g = group[g_at]
-    end = g + size[g]
-    target = _ragged(end - n_moved, end)
-    # Swap: suffixes that sit in the target slots and stay go to the slots left free, group by group.
-    was = place[moved]
-    mark = np.zeros(len(moved), bool)
-    slot_of = np.searchsorted(target, was)
-    slot_of[slot_of == len(target)] = 0
-    inside = target[slot_of] == was
-    mark[slot_of[inside]] = True
-    displaced = order[target[~mark]]
-    free = np.sort(was[~inside])
-    order[free] = displaced
-    place[displaced] = free
-    order[target] = moved
-    place[moved] = target
-    # Classes of equal group and count get a start of their own; the rest keeps the old one.
-    size[g] -= n_moved
-    new_class = new_group | np.concatenate([[True], times[1:] != times[:-1]])
-    c_at = np.flatnonzero(new_class)
-    n_class = np.diff(np.append(c_at, len(moved)))
-    begin = target[c_at]
-    head[moved] = np.repeat(begin, n_class)
-    size[begin] = n_class
 
+def prefix_ranks(
+    text: np.ndarray, string_start: np.ndarray, depth: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(position, rank by the first ``depth`` bytes) of the suffixes that have as many; without a depth, of all
+    suffixes by all their bytes.
 
-def _next_smaller(previous: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A suffix and all that it is the previous smaller one of, directly or not, stand together; the
-    next smaller suffix, or the end of the string, follows them."""
-    n = len(previous)
-    extent = np.ones(n, np.int64)
-    depth = np.arange(n) - first
-    by_depth = np.argsort(-depth, kind="stable")
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(depth)[::-1])])
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        at = by_depth[a:b]  # one suffix of each string at most
-        at = at[previous[at] >= 0]
-        extent[previous[at]] += extent[at]
-    return np.arange(n) + extent
-
-
-def _emit(
-    previous: np.ndarray, head: np.ndarray, size: np.ndarray, order: np.ndarray, first: np.ndarray,
-    string_start: np.ndarray, bucket_start: np.ndarray,
+    ``text`` holds the strings end to end, ``string_start`` their first positions and the length of the text.
+    """
+    n, lengths = len(text), np.diff(string_start)
+    left = np.repeat(string_start[1:], lengths) - np.arange(n)
+    at = np.arange(n) if depth is None else np.flatnonzero(left >= depth)
+    if not len(at):
+        return at, at
+    goal = int(lengths.max()) if depth is None else depth
+    known = min(WORD, goal)
+    key = text.astype(np.int64)
+    for k in range(1, known):
+        key <<= 8
+        key[: n - k] |= np.where(left[: n - k] > k, text[k:], 0)
+    rank = _dense(key << 3 | np.minimum(left, known))
+    # Three ranks in one number, two where they are large.
+    parts = 3 if n < 1 << 21 else 2
+    bits = 63 // parts
+    while known < goal:
+        reach = min(parts * known, goal)
+        of = at if reach == goal else np.arange(n)
+        key = rank[of]
+        for k in range(1, parts):
+            ahead = min(k * known, reach - known)
+            inside = left[of] > ahead
+            key = key << bits | np.where(inside, rank[np.where(inside, of + ahead, 0)], 0)
+        rank, known = _dense(key), reach
+    return at, rank if len(rank) == len(at) else rank[at]
+
+
+def suffix_arrays(
+    text: np.ndarray, string_start: np.ndarray, bucket_start: np.ndarray, depth: int | None = None
 ) -> np.ndarray:
-    n = len(previous)
-    following = _next_smaller(previous, first)
-    last = np.repeat(string_start[1:], np.diff(string_start))
-    ends = following == last
-    rank = np.full(n + 1, -1, np.int64)  # -1: not placed, or the sentinel
-    out = np.empty(n, np.int64)
-    low, high = bucket_start[:-1].copy(), bucket_start[1:]
-    while True:
-        active = low < high
-        if not active.all():
-            low, high = low[active], high[active]
-            if not len(low):
-                return out
-        width = size[low]
-        # A singleton needs no order.
-        members = order[_ragged(low, low + width)]
-        group = np.repeat(np.arange(len(low)), width)
-        base = low.copy()
-        low = low + width
-        while len(members):
-            key = np.where(ends[members], -1, rank[following[members]])
-            ready = ends[members] | (key >= 0)
-            now, of = members[ready], group[ready]
-            by = np.lexsort((key[ready], of))
-            now, of = now[by], of[by]
-            n_of = np.bincount(of, minlength=len(base))
-            slot = _ragged(base, base + n_of)
-            out[slot] = now
-            rank[now] = slot
-            base += n_of
-            members, group = members[~ready], group[~ready]
+    """Order of the suffixes within each bucket, bucket after bucket; with a depth, of those that have as many bytes,
+    by these.
+
+    Every bucket begins at a string; ``bucket_start`` ends with the length of the text.
+    """
+    at, rank = prefix_ranks(text, string_start, depth)
+    bucket = np.repeat(np.arange(len(bucket_start) - 1), np.diff(bucket_start))
+    return at[np.argsort(bucket[at] << 32 | rank, kind="stable")]

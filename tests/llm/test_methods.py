@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from courtline.llm import jaccard, language, mixing, pii, records, sharding, substrings, token_counts
+from courtline.llm import jaccard, language, mixing, pii, records, sharding, substrings, suffixes, token_counts
 from courtline.llm.common import lookup, release, scratch, stage
 from courtline.llm.components import components
 from courtline.llm.suffixes import suffix_arrays
@@ -670,3 +670,40 @@ def test_large_buckets_keep_only_what_may_repeat(spark, monkeypatch):
     assert {(ctx, w) for _, ctx, a, b, m in verdicts for w in range(a, b + 1) if m == 0} == {
         (i, w) for i in range(1, 30) for w in (33, 34)
     }
+
+
+@pytest.mark.parametrize("depth", [5, 50, 64])
+def test_suffix_arrays_to_a_depth(monkeypatch, depth):
+    """Suffixes of enough bytes by these bytes alone, in as many sorts for many unlike buckets as for one."""
+    rng = random.Random(depth)
+    sorts = []
+    dense = suffixes._dense
+    monkeypatch.setattr(suffixes, "_dense", lambda key: sorts.append(1) or dense(key))
+    taken = set()
+    for n_buckets in (1, 40):
+        strings, buckets, text = [0], [0], b""
+        for _ in range(n_buckets):
+            base = bytes(rng.choice(b"ab\x00\xff") for _ in range(84))
+            for _ in range(rng.randrange(1, 30)):
+                k = rng.randrange(80)
+                text += base[k // 2 : k] + bytes([rng.randrange(256)]) + base[k:]
+                strings.append(len(text))
+            buckets.append(len(text))
+        sorts.clear()
+        order = suffix_arrays(np.frombuffer(text, np.uint8), np.array(strings), np.array(buckets), depth)
+        taken.add(len(sorts))
+        ends = np.repeat(strings[1:], np.diff(strings))
+        of = np.searchsorted(buckets, order, "right")
+        assert sorted(order) == [i for i in range(len(text)) if i + depth <= ends[i]]
+        got = [(b, text[i : i + depth]) for b, i in zip(of, order)]
+        assert got == sorted(got)
+    assert len(taken) == 1
+
+
+def test_windows_of_a_document_become_runs_before_they_are_gathered(spark):
+    """Windows of a text of one letter are fragments of their own; what a document gathers are runs."""
+    full, rows = (1 << 35) - 1, [(7, i, 1) for i in range(1500)]
+    rows += [(7, 1549, full), (7, 1700, full), (8, 0, 0b1001), (8, 35, 1 << 34), (9, 70, full), (9, 20, full)]
+    got = substrings._joined(spark.createDataFrame(rows, "doc bigint, start bigint, bits bigint"))
+    want = [(7, 0, 1633), (7, 1700, 1784), (8, 0, 53), (8, 69, 119), (9, 20, 154)]
+    assert sorted(tuple(r) for r in got.collect()) == want
