@@ -20,7 +20,7 @@ way, no task holds a large bucket, and nothing is left out.
 Defined results: NULL and empty texts have nothing to remove; texts below LENGTH bytes keep all; very long texts
 are cut into fragments in parts; rows that
 share a doc_id are separate documents of which neither is smaller; a NULL doc_id is smaller than any
-other; repeated text within a document is not removed; an empty table gives an empty result; other columns,
+other, or with ``nulls_smallest=False`` neither smaller nor larger than any; repeated text within a document is not removed; an empty table gives an empty result; other columns,
 of any name, are not read.
 """
 
@@ -448,10 +448,12 @@ def _runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[first], reach[np.append(first[1:], len(a)) - 1]
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, nulls_smallest: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; ``kept`` is binary."""
     text_batches(docs.sparkSession)
-    every, shift = _numbered(docs)
+    # Where a NULL doc_id compares with none, its document keeps all and no other loses anything to it.
+    apart = F.lit(False) if nulls_smallest else F.col("doc_id").isNull()
+    every, shift = _numbered(docs.filter(~apart))
     copies = _copies(every, shift)
     own = having(every, "doc", copies.select("doc"), how="anti")
     with Workspace(docs.sparkSession) as work:
@@ -479,6 +481,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     changed = touched.mapInArrow(cut, schema)
     rest = having(own, "doc", cuts.select("doc"), how="anti").select("doc_id", text)
+    rest = rest.unionByName(docs.filter(apart).select(F.col("doc_id").cast("long"), text))
     zero = F.lit(0).cast("long")
     same = rest.select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"),

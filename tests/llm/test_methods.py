@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from courtline.llm import jaccard, language, mixing, pii, records, sharding, substrings, suffixes, token_counts
+from courtline.llm import jaccard, language, mixing, pii, queries, records, sharding, substrings, suffixes, token_counts
 from courtline.llm.common import lookup, release, scratch, stage
 from courtline.llm.components import components
 from courtline.llm.suffixes import suffix_arrays
@@ -707,3 +707,17 @@ def test_windows_of_a_document_become_runs_before_they_are_gathered(spark):
     got = substrings._joined(spark.createDataFrame(rows, "doc bigint, start bigint, bits bigint"))
     want = [(7, 0, 1633), (7, 1700, 1784), (8, 0, 53), (8, 69, 119), (9, 20, 154)]
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_registered_substrings_take_no_null_id_for_smaller(spark, tmp_path):
+    """Nothing is smaller than an unknown doc_id, nor is it smaller than anything; also beside ids that repeat."""
+    rows = [(None, PLAIN), (None, PLAIN), (None, None), (4, PLAIN + " and more"), (4, PLAIN), (9, PLAIN), (10, None)]
+    for name, used in (("unlike", [r for r in rows if r != (4, PLAIN)]), ("alike", rows), ("unknown", rows[:3])):
+        table(spark, [(*r, "en", "a") for r in used]).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = queries.QUERIES["op10_suffix_array_dedup"](spark, f"{tmp_path}/{name}").collect()
+        want = []
+        for d, t in used:
+            raw, gone = (t or "").encode(), d == 9
+            kept = hashlib.sha256(b"" if gone else raw).hexdigest()
+            want.append((d, len(raw), len(raw) if gone else 0, int(gone), kept))
+        assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
