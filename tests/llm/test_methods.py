@@ -18,7 +18,7 @@ from courtline.llm.components import components
 from courtline.llm.suffixes import suffix_arrays
 from courtline.llm.wordcache import WordCache
 
-from .helpers import PLAIN, table
+from .helpers import PLAIN, same_rows, table
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -476,6 +476,28 @@ def test_equal_texts_share_a_shard_but_for_the_cuts(spark, documents):
     assert got <= 400 // 25 + 2
 
 
+def test_copies_of_a_dealt_out_lookup_are_not_broadcast(spark, monkeypatch):
+    """Equal texts in many cells, more than a lookup broadcasts: its copies are merged, whatever size Spark takes them for."""
+    docs = table(spark, [(i, f"text {i % 40}", ("en", "de")[i // 40 % 2], f"s{i % 7}") for i in range(400)]).localCheckpoint()
+    expected = same_rows(sharding.contract(sharding.shard(docs)))
+    plans = []
+
+    def dealt(df, moved, keys, spread=None):
+        assert moved.count() > 4
+        joined = lookup(df, moved, keys, spread, limit=4)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(sharding, "lookup", lambda df, moved, keys, *a: (dealt if len(keys) == 3 else lookup)(df, moved, keys, *a))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        got = same_rows(sharding.contract(sharding.shard(docs)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == expected
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_shards_equal_a_plain_sort(spark, documents):
     """Cells, the curve, the order and the cuts once more, row by row."""
     docs = [(r.doc_id, r.text or "", r.lang, r.source) for r in documents.collect()]
